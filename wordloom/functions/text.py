@@ -79,6 +79,7 @@ class ScriptProfile:
     letter_drop: str      # regex of chars removed by fold (after translate)
     clean_drop: str       # regex of chars removed by clean_word
     has_script: str       # regex: text contains the script
+    letter: str           # regex of one letter of the script
     fold_map: tuple[str, str]
     clean_map: tuple[str, str]
 
@@ -111,6 +112,7 @@ def hebrew() -> ScriptProfile:
         letter_drop=r"[^\x{05D0}-\x{05EA}]",
         clean_drop=r"[^\x{0590}-\x{05FF}]|" + _combining_class_in(0x0590, 0x05FF),
         has_script=r"[\x{0590}-\x{05FF}]",
+        letter=r"[\x{0590}-\x{05FF}]",
         fold_map=heb_map,
         clean_map=heb_map,
     )
@@ -125,6 +127,7 @@ def latin() -> ScriptProfile:
         letter_drop=r"\P{L}",
         clean_drop=r"\P{L}",
         has_script=r"[^\x00-\x7F]",
+        letter=r"\p{L}",
         fold_map=m,
         clean_map=m,
     )
@@ -185,7 +188,7 @@ def split_lines(x) -> Column:
 
 def remove_brackets(x, multiline: bool = True) -> Column:
     """T5 drop ``[...]`` (lazily); across lines when ``multiline``."""
-    return F.regexp_replace(_c(x), r"(?s)\[.*?\]" if multiline else r"\[[^\n\r]*?\]", "")
+    return F.regexp_replace(_c(x), r"(?s)\[.*?\]" if multiline else r"\[[^\n]*?\]", "")
 
 
 def remove_lrm(x) -> Column:
@@ -200,12 +203,14 @@ def remove_bidi_embedding(x) -> Column:
 
 def collapse_blank_lines(x) -> Column:
     """T7 blank-line runs → one empty line, then strip."""
-    return strip(F.regexp_replace(_c(x), r"\n\s*\n", "\n\n"))
+    return strip(F.regexp_replace(_c(x), r"\n" + WS_CLASS + r"*\n", "\n\n"))
 
 
-# T8 pattern: Python's \w / \s are Unicode-aware; Java needs (?U) plus an
-# explicit letter/number class so marks (niqqud) do not count as word chars.
-TRAILING_ARTIST = r"(?U)" + WS_CLASS + r"*[-\x{2013}]" + WS_CLASS + r"*[\p{L}\p{N}_\t\n\x0B\x0C\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}'\x{05F4}&]+$"
+# T8 pattern: Python's \w / \s are Unicode-aware, Java's and RE2's are not, so
+# the classes are spelled out: \w = letters, numbers, '_' (marks excluded).
+_WS_BODY = WS_CLASS[1:-1]
+TRAILING_ARTIST = (WS_CLASS + r"*[-\x{2013}]" + WS_CLASS + r"*[\p{L}\p{N}_" + _WS_BODY
+                   + r"'\x{05F4}&]+$")
 
 
 def strip_trailing_artist(line) -> Column:

@@ -18,24 +18,32 @@ from .ordering import keep_first, sorted_list
 PAYLOAD = ("hebrew", "transcription", "root", "part_of_speech", "meaning", "audio_url", "word_url", "tables")
 
 
-def word_list(raw: DataFrame, prof="hebrew") -> DataFrame:
-    """S5 + fold: ``raw`` has ``word_ord`` and ``word`` (a string, or a JSON
-    object text with ``word``/``hebrew``/``text``) → ``word_ord, bare``."""
-    v = F.try_parse_json(F.col("word"))
-    as_obj = F.coalesce(
-        F.when(F.variant_get(v, "$", "string").isNull(), None),
-        F.try_variant_get(v, "$.word", "string"),
-        F.try_variant_get(v, "$.hebrew", "string"),
-        F.try_variant_get(v, "$.text", "string"))
+def extract_word(word) -> F.Column:
+    """S5 ``extract_word_string``: a plain string, or a JSON object text whose
+    first present key among word/hebrew/text gives the word; stripped. An
+    object with none of the keys raises."""
+    w = F.col(word) if isinstance(word, str) else word
+    v = F.try_parse_json(w)
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    word = F.when(is_obj, as_obj).otherwise(F.col("word"))
-    return raw.select("word_ord", T.fold(T.strip(word), prof).alias("bare"))
+    obj_word = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("word", "hebrew", "text")])
+    picked = F.when(is_obj & obj_word.isNull(),
+                    F.raise_error(F.concat(F.lit("Cannot extract word from entry: "), w)).cast("string"))
+    return T.strip(F.when(is_obj, F.coalesce(obj_word, picked)).otherwise(w))
+
+
+def word_list(raw: DataFrame, prof="hebrew") -> DataFrame:
+    """S5 + fold: ``raw`` has ``word_ord`` and ``word`` → ``word_ord, bare``."""
+    return raw.select("word_ord", T.fold(extract_word("word"), prof).alias("bare"))
 
 
 def meaning_pairs(words: DataFrame, dictionary: DataFrame, prof="hebrew") -> DataFrame:
     """J1 + W1: ``(bare, ord)`` of every entry having a form that folds to a
-    listed word, first entry per ``uid`` only. Ids only — no payload."""
-    idx = form_index(dictionary, prof).join(words.select("bare").distinct(), "bare", "left_semi")
+    listed word, first entry per ``uid`` only. Ids only — no payload.
+
+    The index is built from the dictionary alone (the small, bounded side);
+    it is not pre-filtered by the word list, which would evaluate the whole
+    corpus plan a second time."""
+    idx = form_index(dictionary, prof)
     return keep_first(idx, ["bare", "uid"], ["ord"]).select("bare", "ord")
 
 

@@ -17,7 +17,7 @@ from ..functions import text as T
 from ..operators import assemble as A
 from ..operators import frequency, lexicon, sentences
 from ..operators.ordering import keep_first, top_k
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import corpus as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def tok(x: str) -> str:
     return TOK.format(x=x)
 
 
+def sql_quote(s: str) -> str:
+    """Body of a SQL string literal."""
+    return s.replace("'", "''")
+
+
 def sql_strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 
@@ -114,7 +119,9 @@ def q_folded_sources(spark, sf):
 
 
 def _tokens_of(spark, sf, name) -> DataFrame:
-    return table(spark, sf, name).select(F.explode(T.tokens(F.col("text"), C.PROFILE)).alias("word"))
+    key = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id"}[name]
+    return spread(table(spark, sf, name).select(key, "text"), key).select(
+        F.explode(T.tokens(F.col("text"), C.PROFILE)).alias("word"))
 
 
 def common(spark, sf) -> DataFrame:
@@ -178,9 +185,11 @@ def q_word_meanings(spark, sf):
 
 
 def vocab_flat(spark, sf) -> DataFrame:
-    words = common(spark, sf).select(F.col("word").alias("word_ord"), T.fold(F.col("word"), C.PROFILE).alias("bare"))
+    ws = C.word_sources(spark, sf)  # one tokenising pass feeds words and counts
+    words = (lexicon.common_from_sources(ws, "songs", "youtube", C.PROFILE)
+             .select(F.col("word").alias("word_ord"), T.fold(F.col("word"), C.PROFILE).alias("bare")))
     sents = sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE)
-    srcs = frequency.folded_sources(C.word_sources(spark, sf), C.PROFILE)
+    srcs = frequency.folded_sources(ws, C.PROFILE)
     return A.assemble_flat(words, C.dictionary(spark, sf), sents, srcs, C.PROFILE)
 
 
@@ -241,3 +250,249 @@ def q_sentence_lookup(spark, sf):
     s = sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE)
     return s.select(F.col("bare").alias("word"), "source", F.col("ord.a").alias("src_id"),
                     F.col("ord.b").alias("src_turn"), F.col("ord.c").alias("src_pos"), "sentence")
+
+
+def _keyed_doc_lines(spark, sf) -> DataFrame:
+    """Document lines keyed by the folded first token (empty keys dropped)."""
+    return (C.document_lines(spark, sf)
+            .withColumn("word", T.fold(C.first_token(F.col("line")), C.PROFILE))
+            .where(F.col("word") != ""))
+
+
+SQL_DOC_LINES = f"""
+SELECT strip_accents(regexp_extract(u.line, '\\p{{L}}+', 0)) AS word, doc_id::BIGINT AS doc_id,
+       (u.i - 1)::BIGINT AS pos, u.line AS line, lang
+FROM documents, unnest(string_split_regex(text, '{LB}')) WITH ORDINALITY AS u(line, i)
+"""
+
+
+@register("sentences_top3", f"""
+SELECT word, doc_id, pos, line, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY doc_id, pos)::BIGINT AS rank
+  FROM ({SQL_DOC_LINES}) WHERE word <> '') WHERE rank <= 3
+""")
+def q_sentences_top3(spark, sf):
+    """The first three result lines per folded key."""
+    r = top_k(_keyed_doc_lines(spark, sf), ["word"], ["doc_id", "pos"], T.EXAMPLES_PER_WORD)
+    return r.select("word", "doc_id", "pos", "line", F.col("rank").cast("long"))
+
+
+@register("first_use", f"""
+SELECT line, doc_id, pos FROM (
+  SELECT {sql_strip('line')} AS line, doc_id, pos,
+         row_number() OVER (PARTITION BY {sql_strip('line')} ORDER BY doc_id, pos) AS r
+  FROM ({SQL_DOC_LINES})) WHERE r = 1 AND line <> ''
+""")
+def q_first_use(spark, sf):
+    """Each distinct (stripped) line with the first document using it."""
+    lines = (C.document_lines(spark, sf).select(T.strip(F.col("line")).alias("line"), "doc_id", "pos")
+             .where(F.col("line") != ""))
+    return keep_first(lines, ["line"], ["doc_id", "pos"]).select("line", "doc_id", "pos")
+
+
+# C5 on driver tables: required words = folded benchmark vocabulary; the
+# "search results" of a word = document lines whose folded first token is the
+# word, in (doc_id, pos) order; translation = the rest of the line.
+REST_OF_LINE = r"^[^\p{L}]*\p{L}+"
+
+SQL_COVERAGE_CTES = f"""
+words AS (SELECT DISTINCT strip_accents(u.w) AS word FROM benchmark, unnest({tok('text')}) AS u(w)),
+lines AS (SELECT word, doc_id, pos, line AS sentence,
+                 {sql_strip(f"regexp_replace(line, '{REST_OF_LINE}', '')")} AS translation
+          FROM ({SQL_DOC_LINES})),
+cand AS (SELECT * FROM (
+           SELECT l.*, row_number() OVER (PARTITION BY l.word ORDER BY doc_id, pos) AS rk
+           FROM lines l WHERE l.word IN (SELECT word FROM words)) WHERE rk <= 3),
+valid AS (SELECT * FROM cand WHERE sentence <> '' AND translation <> ''),
+kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sentence ORDER BY word, doc_id, pos) AS r
+                        FROM valid) WHERE r = 1),
+missing AS (SELECT w.word, CASE WHEN w.word IN (SELECT word FROM cand) THEN 'no_valid_translation'
+                                ELSE 'no_sentence' END AS reason
+            FROM words w WHERE w.word NOT IN (SELECT word FROM kept))
+"""
+
+
+def _coverage(spark, sf):
+    words = (_tokens_of(spark, sf, "benchmark").select(T.fold(F.col("word"), C.PROFILE).alias("word"))
+             .distinct().withColumn("word_ord", F.col("word")))
+    lines = _keyed_doc_lines(spark, sf).join(words.select("word"), "word", "left_semi")
+    cand = top_k(lines, ["word"], ["doc_id", "pos"], T.EXAMPLES_PER_WORD).select(
+        "word", F.struct("doc_id", "pos").alias("pos"), F.col("line").alias("sentence"),
+        T.strip(F.regexp_replace(F.col("line"), REST_OF_LINE, "")).alias("translation"))
+    return sentences.keep_candidates(words, cand)
+
+
+@register("sentence_candidates", f"""
+WITH {SQL_COVERAGE_CTES}
+SELECT word, doc_id, pos, sentence, translation FROM kept
+""")
+def q_sentence_candidates(spark, sf):
+    """First three results per word, valid pairs only, each
+    sentence used by the first word only."""
+    kept, _ = _coverage(spark, sf)
+    return kept.select("word", F.col("pos.doc_id").alias("doc_id"), F.col("pos.pos").alias("pos"),
+                       "sentence", "translation")
+
+
+@register("coverage", f"WITH {SQL_COVERAGE_CTES} SELECT word, reason FROM missing")
+def q_coverage(spark, sf):
+    """Required words without a sentence, with the reason."""
+    _, missing = _coverage(spark, sf)
+    return missing.select("word", "reason")
+
+
+def _sql_em(x: str) -> str:
+    return f"nullif({sql_strip(f"regexp_replace({x}, '</?em>', '', 'g')")}, '')"
+
+
+@register("sentences_fill", f"""
+WITH {SQL_COVERAGE_CTES},
+conv AS (SELECT strip_accents(regexp_extract(u.line, '\\p{{L}}+', 0)) AS word, role,
+                conv_id::BIGINT AS a, turn::BIGINT AS b, (u.i - 1)::BIGINT AS c, u.line AS line
+         FROM conversations, unnest(string_split_regex(text, '{LB}')) WITH ORDINALITY AS u(line, i)),
+prior AS (SELECT word, {_sql_em('line')} AS sentence FROM conv WHERE role = 'user'),
+todo AS (SELECT DISTINCT word FROM missing WHERE word NOT IN (SELECT word FROM prior)),
+fcand AS (SELECT word, 0 AS tier, a, b, c, {_sql_em('line')} AS sentence, {_sql_em('role')} AS translation
+         FROM conv WHERE role = 'assistant'
+         UNION ALL
+         SELECT word, 1, doc_id, 0, pos, {_sql_em('line')}, {_sql_em('lang')} FROM ({SQL_DOC_LINES})),
+c2 AS (SELECT * FROM fcand WHERE sentence IS NOT NULL AND translation IS NOT NULL
+         AND word IN (SELECT word FROM todo)
+         AND NOT EXISTS (SELECT 1 FROM prior p WHERE p.word = fcand.word AND p.sentence = fcand.sentence)),
+d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY word, sentence ORDER BY tier, a, b, c) AS r
+                     FROM c2) WHERE r = 1)
+SELECT word, tier::BIGINT AS tier, rank, sentence, translation FROM (
+  SELECT *, row_number() OVER (PARTITION BY word ORDER BY tier, a, b, c)::BIGINT AS rank FROM d)
+WHERE rank <= 3
+""")
+def q_sentences_fill(spark, sf):
+    """Words still missing get up to three sentences, API tier
+    (assistant turns) first, HTML tier (documents) topping up; words already
+    in the prior output (user turns) are skipped."""
+    _, missing = _coverage(spark, sf)
+    conv = C.conversation_lines(spark, sf).select(
+        T.fold(C.first_token(F.col("line")), C.PROFILE).alias("word"), "role",
+        F.struct(F.col("conv_id").alias("a"), F.col("turn").alias("b"), F.col("pos").alias("c")).alias("pos"),
+        "line")
+    api = conv.where(F.col("role") == "assistant").select(
+        "word", "pos", F.col("line").alias("s_text"), F.col("role").alias("t_text"))
+    prior = conv.where(F.col("role") == "user").select(
+        "word", T.strip_em(F.col("line")).alias("sentence"), F.col("role").alias("translation"))
+    html = C.document_lines(spark, sf).select(
+        T.fold(C.first_token(F.col("line")), C.PROFILE).alias("word"),
+        F.struct(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"), F.col("pos").alias("c")).alias("pos"),
+        F.col("line").alias("src"), F.col("lang").alias("trg"))
+    out = sentences.fill_sentences(missing, api, html, prior)
+    return out.select("word", F.col("tier").cast("long"), F.col("rank").cast("long"), "sentence", "translation")
+
+
+# ---------------------------------------------------------------------------
+# Song corpus on documents (one document = one song file)
+# ---------------------------------------------------------------------------
+def sql_song_lines() -> str:
+    body = r"regexp_replace(replace(text, chr(8206), ''), '(?s)\[.*?\]', '', 'g')"
+    return f"""
+SELECT doc_id::BIGINT AS doc_id, line, min(pos)::BIGINT AS pos FROM (
+  SELECT doc_id, (u.i - 1) AS pos,
+         {sql_strip(f"regexp_replace({sql_strip('u.line')}, '{sql_quote(T.TRAILING_ARTIST)}', '')")} AS line
+  FROM documents, unnest(string_split_regex({body}, '{LB}')) WITH ORDINALITY AS u(line, i)
+  WHERE {sql_strip('u.line')} <> '')
+WHERE line <> '' GROUP BY doc_id, line
+"""
+
+
+def _song_lines(spark, sf):
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    from ..operators import songs
+    return songs.song_lines(docs.withColumnRenamed("doc_id", "song"))
+
+
+@register("line_dedupe", sql_song_lines())
+def q_line_dedupe(spark, sf):
+    """Cleaned lines, first occurrence per document."""
+    return _song_lines(spark, sf).select(F.col("song").alias("doc_id"), "line", "pos")
+
+
+@register("shuffled_lines", f"SELECT line FROM ({sql_song_lines()})")
+def q_shuffled_lines(spark, sf):
+    """O2 K2: the combined song corpus in random order (same multiset)."""
+    from ..operators import songs
+    return songs.shuffled(_song_lines(spark, sf).select("line"), seed=42)
+
+
+@register("split_title", f"""
+WITH t AS (SELECT s_suppkey::BIGINT AS s_suppkey, s_name || ' - ' || n_name AS text
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT s_suppkey, artist, title, title || ' ' || artist AS query,
+       regexp_replace(artist, '[\\\\/*?:"<>|]', '', 'g') || ' - ' ||
+       regexp_replace(title, '[\\\\/*?:"<>|]', '', 'g') || '.txt' AS file_name
+FROM (SELECT s_suppkey, regexp_extract(text, '{{PAT}}', 1) AS artist, regexp_extract(text, '{{PAT}}', 2) AS title
+      FROM t WHERE regexp_matches(text, '{{PAT}}'))
+""".replace("{PAT}", rf"^(.*?){WS}*-{WS}*(.*\p{{L}}.*)$"))
+def q_split_title(spark, sf):
+    """``artist - title`` split of chart rows."""
+    from ..operators import songs
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    t = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+        "s_suppkey", F.concat("s_name", F.lit(" - "), "n_name").alias("text"))
+    s = songs.select_songs(t, "text", C.PROFILE)
+    files = songs.lyric_files(s.withColumn("lyrics", F.lit("")))
+    return s.join(files.select("artist", "title", "file_name"), ["artist", "title"]).select(
+        "s_suppkey", "artist", "title", songs.search_query(F.col("title"), F.col("artist")).alias("query"),
+        "file_name").dropDuplicates(["s_suppkey"])
+
+
+@register("script_filter", """
+SELECT doc_id::BIGINT AS doc_id, lang FROM documents
+WHERE regexp_matches(text, '[^\\x00-\\x7F]') OR regexp_matches(source, '[^\\x00-\\x7F]')
+""")
+def q_script_filter(spark, sf):
+    """rows whose title or channel contains a script character."""
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text", "source")
+    return d.where(T.has_script(F.col("text"), C.PROFILE) | T.has_script(F.col("source"), C.PROFILE)).select(
+        "doc_id", "lang")
+
+
+SQL_RESOLVE_CTES = """
+hits AS (SELECT o_custkey AS ord, min(o_orderkey) AS first_hit FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
+anyo AS (SELECT DISTINCT o_custkey AS ord FROM orders),
+s AS (SELECT c.c_custkey AS ord, c.c_name, h.first_hit,
+             CASE WHEN a.ord IS NULL THEN 'ERROR' WHEN h.first_hit IS NOT NULL THEN 'FOUND' ELSE 'NOT FOUND' END AS outcome
+      FROM customer c LEFT JOIN hits h ON h.ord = c.c_custkey LEFT JOIN anyo a ON a.ord = c.c_custkey),
+r AS (SELECT *, sum(CASE WHEN outcome = 'FOUND' THEN 1 ELSE 0 END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS run
+      FROM s),
+ev AS (SELECT * FROM r WHERE run - (CASE WHEN outcome = 'FOUND' THEN 1 ELSE 0 END) < 500)
+"""
+
+
+def _resolve(spark, sf):
+    from ..operators import songs
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), "c_name")
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    hits = orders.where(F.col("o_orderstatus") == "O").select(
+        F.col("o_custkey").alias("ord"), F.col("o_orderkey").alias("hit_pos"),
+        F.concat(F.lit("/orders/"), F.col("o_orderkey").cast("string")).alias("path"))
+    no_orders = cust.select("ord").join(orders.select(F.col("o_custkey").alias("ord")), "ord", "left_anti")
+    return songs.resolve_first_hit(cust, hits, no_orders, cap=T.SONG_CAP)
+
+
+@register("resolve_first_hit", f"""
+WITH {SQL_RESOLVE_CTES}
+SELECT ord::BIGINT AS c_custkey, c_name, first_hit::BIGINT AS first_order FROM ev WHERE outcome = 'FOUND'
+""")
+def q_resolve_first_hit(spark, sf):
+    """First search hit per song, stopping after 500 found."""
+    found, _ = _resolve(spark, sf)
+    return found.select(F.col("ord").cast("long").alias("c_custkey"), "c_name",
+                        F.col("first_hit").cast("long").alias("first_order"))
+
+
+@register("outcome_tally", f"""
+WITH {SQL_RESOLVE_CTES}
+SELECT outcome, count(*)::BIGINT AS n FROM ev GROUP BY outcome
+""")
+def q_outcome_tally(spark, sf):
+    """A10: FOUND / NOT FOUND / ERROR counts over the evaluated songs."""
+    _, tally = _resolve(spark, sf)
+    return tally

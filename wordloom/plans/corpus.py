@@ -18,16 +18,16 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import frequency
-from ..sources.tables import table, text_lines_of
+from ..sources.tables import spread, table, text_lines_of
 
 PROFILE = "latin"
 
 
 def corpora(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
-        "songs": table(spark, sf, "documents").select("text"),
+        "songs": spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"),
         "news": table(spark, sf, "benchmark").select("text"),
-        "youtube": table(spark, sf, "conversations").select("text"),
+        "youtube": spread(table(spark, sf, "conversations").select("conv_id", "text"), "conv_id"),
     }
 
 
@@ -51,12 +51,13 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_lines(spark, sf) -> DataFrame:
-    return text_lines_of(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"),
-                         ["conv_id", "turn", "role"])
+    conv = spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    return text_lines_of(conv, ["conv_id", "turn", "role"])
 
 
 def document_lines(spark, sf) -> DataFrame:
-    return text_lines_of(table(spark, sf, "documents").select("doc_id", "lang", "text"), ["doc_id", "lang"])
+    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
+    return text_lines_of(docs, ["doc_id", "lang"])
 
 
 def first_token(line) -> F.Column:

@@ -496,3 +496,278 @@ def q_outcome_tally(spark, sf):
     """A10: FOUND / NOT FOUND / ERROR counts over the evaluated songs."""
     _, tally = _resolve(spark, sf)
     return tally
+
+
+# ---------------------------------------------------------------------------
+# Pages (HTML extraction job)
+# ---------------------------------------------------------------------------
+def _pages(spark, sf):
+    from ..sources import html as H
+    p = spread(table(spark, sf, "pages").select("page_id", "url", "html"), "page_id")
+    return H.extract(p, "page", keep=("page_id", "url"))
+
+
+@register("page_titles", """
+SELECT page_id::BIGINT AS page_id, replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&') AS title
+FROM pages
+""")
+def q_page_titles(spark, sf):
+    """S4 X-job: page title text (entities decoded)."""
+    return _pages(spark, sf).select("page_id", "title")
+
+
+@register("page_links", """
+SELECT page_id::BIGINT AS page_id, (u.i - 1)::BIGINT AS pos, replace(u.href, '&amp;', '&') AS href
+FROM pages, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1))
+     WITH ORDINALITY AS u(href, i)
+""")
+def q_page_links(spark, sf):
+    """S4 X-job: navigation link targets in page order."""
+    return (_pages(spark, sf).select("page_id", F.posexplode("nav_links").alias("pos", "href"))
+            .select("page_id", F.col("pos").cast("long"), "href"))
+
+
+PARAGRAPH_MARKER = "tion"
+
+
+@register("page_paragraphs")
+def q_page_paragraphs(spark, sf):
+    """Article text up to the first paragraph holding a marker
+    (malformed HTML: no SQL oracle; checked against a brute-force fixture)."""
+    from ..operators.pages import text_until_marker
+    return _pages(spark, sf).select("page_id", text_until_marker(F.col("paragraphs"), PARAGRAPH_MARKER).alias("text"))
+
+
+SITE = r"^[a-z]+://([^/?#]+)"
+PAGE_NO = r"([0-9]+)(\?|#|$)"
+
+
+@register("next_page", f"""
+WITH p AS (SELECT page_id::BIGINT AS page_id, regexp_extract(url, '{SITE}', 1) AS site,
+                  TRY_CAST(nullif(regexp_extract(url, '{PAGE_NO}', 1), '') AS BIGINT) AS page_no FROM pages),
+k AS (SELECT DISTINCT site, page_no FROM p WHERE page_no IS NOT NULL)
+SELECT p.page_id, p.site, p.page_no, CASE WHEN p.page_no + 1 <= 650 THEN k.page_no END AS next_page
+FROM p LEFT JOIN k ON k.site = p.site AND k.page_no = p.page_no + 1
+""")
+def q_next_page(spark, sf):
+    """Next page = page + 1 when the site has it (cap 650). An
+    equi-join on (site, page + 1): no per-site window, so a site holding a
+    third of all pages still spreads over many tasks."""
+    p = table(spark, sf, "pages").select(
+        F.col("page_id").cast("long"), F.regexp_extract("url", SITE, 1).alias("site"),
+        F.nullif(F.regexp_extract("url", PAGE_NO, 1), F.lit("")).try_cast("long").alias("page_no"))
+    k = p.where(F.col("page_no").isNotNull()).select(F.col("site").alias("k_site"),
+                                                    F.col("page_no").alias("k_no")).distinct()
+    j = p.join(k, (F.col("k_site") == F.col("site")) & (F.col("k_no") == F.col("page_no") + 1), "left")
+    return j.select("page_id", "site", "page_no",
+                    F.when(F.col("page_no") + 1 <= T.MAX_LISTING_PAGES, F.col("k_no")).alias("next_page"))
+
+
+# ---------------------------------------------------------------------------
+# Seeds, nesting, merges, state
+# ---------------------------------------------------------------------------
+HEBREW_LETTERS_22 = ["א", "ב", "ג", "ד", "ה", "ו", "ז", "ח", "ט", "י", "כ",
+                     "ל", "מ", "נ", "ס", "ע", "פ", "צ", "ק", "ר", "ש", "ת"]  # fixed value: listing letters
+SEED_BASE = "https://hadshon.education.gov.il"  # fixed value: listing site root
+
+
+@register("seed_urls", f"""
+SELECT r_name AS category, l.letter, (l.i - 1)::BIGINT AS letter_pos,
+       '{SEED_BASE}/' || r_name || '/?page=1&letter=' || url_encode(l.letter) AS url
+FROM region, unnest([{", ".join(f"'{c}'" for c in HEBREW_LETTERS_22)}]) WITH ORDINALITY AS l(letter, i)
+""")
+def q_seed_urls(spark, sf):
+    """One listing seed per category (region) and letter; the fixed
+    letter list is exploded per row (no cross join)."""
+    letters = F.array(*[F.lit(c) for c in HEBREW_LETTERS_22])
+    r = table(spark, sf, "region").select("r_name", F.posexplode(letters).alias("letter_pos", "letter"))
+    return r.select(F.col("r_name").alias("category"), "letter", F.col("letter_pos").cast("long"),
+                    F.concat(F.lit(SEED_BASE + "/"), "r_name", F.lit("/?page=1&letter="),
+                             F.url_encode("letter")).alias("url"))
+
+
+@register("listing_end", """
+WITH d AS (SELECT user_id, (date_diff('day', DATE '2024-01-01', ts::DATE) + 1)::BIGINT AS page, count(*) AS n
+           FROM events GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page) AS rn FROM d WHERE page >= 1),
+e AS (SELECT user_id, min(CASE WHEN page <> rn THEN rn END) AS gap, max(rn) AS mx FROM r GROUP BY 1)
+SELECT r.user_id::BIGINT AS user_id, count(*)::BIGINT AS pages, sum(r.n)::BIGINT AS cards
+FROM r JOIN e USING (user_id) WHERE r.page < coalesce(e.gap, e.mx + 1) GROUP BY 1
+""")
+def q_listing_end(spark, sf):
+    """Events per user and day as listing pages (cards per page);
+    the listing ends at the first empty page. The window covers at most one
+    row per day of one user."""
+    ev = table(spark, sf, "events").select("user_id", "ts")
+    d = (ev.select("user_id", (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1)
+                   .cast("long").alias("page"))
+         .groupBy("user_id", "page").agg(F.count("*").alias("n")).where("page >= 1"))
+    from pyspark.sql import Window
+    r = d.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy("page")))
+    gap = r.groupBy("user_id").agg(F.min(F.when(F.col("page") != F.col("rn"), F.col("rn"))).alias("gap"),
+                                   F.max("rn").alias("mx"))
+    return (r.join(gap, "user_id").where(F.col("page") < F.coalesce("gap", F.col("mx") + 1))
+            .groupBy("user_id").agg(F.count("*").alias("pages"), F.sum("n").cast("long").alias("cards")))
+
+
+def _nested_orders(spark, sf):
+    """Orders as dictionary-like documents: one table per order, one row per
+    return flag (label), one cell per line item (form = part key)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_partkey",
+                                             "l_linestatus", "l_quantity")
+    cells = (li.groupBy("l_orderkey", "l_returnflag")
+             .agg(F.array_sort(F.collect_list(F.struct(
+                 "l_linenumber", F.col("l_partkey").alias("_pk"), F.col("l_partkey").cast("string").alias("hebrew"),
+                 F.col("l_linestatus").alias("transcription"),
+                 F.col("l_quantity").cast("long").cast("string").alias("meaning")))).alias("c")))
+    rows = (cells.groupBy("l_orderkey")
+            .agg(F.array_sort(F.collect_list(F.struct(
+                "l_returnflag", F.array("l_returnflag").alias("labels"),
+                F.transform("c", lambda x: x.dropFields("l_linenumber", "_pk")).alias("cells")))).alias("r")))
+    tables = rows.select("l_orderkey", F.array(F.struct(
+        F.transform("r", lambda x: x.dropFields("l_returnflag")).alias("rows"))).alias("tables"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return o.join(tables, o.o_orderkey == tables.l_orderkey, "left").select(
+        F.col("o_orderkey").alias("ord"), F.col("o_orderstatus").alias("hebrew"), "tables")
+
+
+@register("table_flatten", """
+SELECT o_orderkey::BIGINT AS ord, 0::BIGINT AS pos, o_orderstatus AS form FROM orders
+UNION ALL
+SELECT l_orderkey::BIGINT, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_linenumber, l_partkey)::BIGINT,
+       l_partkey::VARCHAR
+FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
+""")
+def q_table_flatten(spark, sf):
+    """Nested tables/rows/cells built per order (bounded by its lines),
+    then every form harvested depth-first."""
+    from ..operators.lexicon import all_forms
+    return all_forms(_nested_orders(spark, sf))
+
+
+@register("attach_tables", """
+SELECT o.o_orderkey::BIGINT AS o_orderkey, count(DISTINCT l.l_returnflag)::BIGINT AS n_rows,
+       count(*)::BIGINT AS n_cells, sum(l.l_quantity::BIGINT)::BIGINT AS sum_qty
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY 1
+""")
+def q_attach_tables(spark, sf):
+    """Entries joined (inner) to their parsed tables; entries without a
+    table vanish."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("word_url"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    t = li.groupBy("l_orderkey").agg(
+        F.count_distinct("l_returnflag").alias("n_rows"), F.count("*").alias("n_cells"),
+        F.sum(F.col("l_quantity").cast("long")).alias("sum_qty"))
+    from ..operators.lexicon import attach_tables
+    pages = t.select(F.col("l_orderkey").cast("string").alias("url"), F.struct("n_rows", "n_cells", "sum_qty").alias("tables"))
+    j = attach_tables(o.withColumn("word_url", F.col("word_url")), pages)
+    return j.select(F.col("word_url").cast("long").alias("o_orderkey"),
+                    F.col("tables.n_rows").cast("long").alias("n_rows"),
+                    F.col("tables.n_cells").cast("long").alias("n_cells"),
+                    F.col("tables.sum_qty").cast("long").alias("sum_qty"))
+
+
+@register("json_extract", """
+SELECT event_id::BIGINT AS event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+""")
+def q_json_extract(spark, sf):
+    """Typed field of a JSON payload (parse once, variant path)."""
+    ev = table(spark, sf, "events").select("event_id", "props")
+    return ev.select(F.col("event_id").cast("long"),
+                     F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@register("upsert_merge", """
+WITH u AS (SELECT o_custkey AS key, max(o_orderpriority) AS flag, max(o_totalprice) AS data FROM orders GROUP BY 1)
+SELECT coalesce(t.c_custkey, u.key)::BIGINT AS key, coalesce(t.c_mktsegment, u.flag) AS flag,
+       coalesce(u.data, t.c_acctbal) AS data,
+       CASE WHEN t.c_custkey IS NULL THEN 'insert' WHEN u.key IS NULL THEN 'keep' ELSE 'update' END AS action
+FROM customer t FULL OUTER JOIN u ON u.key = t.c_custkey
+""")
+def q_upsert_merge(spark, sf):
+    """Keyed upsert — new keys inserted, existing keys get the new
+    data while keeping their flag, untouched keys kept."""
+    from ..sinks.merge import upsert
+    target = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"),
+                                                 F.col("c_mktsegment").alias("flag"),
+                                                 F.col("c_acctbal").alias("data"))
+    upd = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("key"))
+           .agg(F.max("o_orderpriority").alias("flag"), F.max("o_totalprice").alias("data")))
+    return upsert(target, upd, "key", replace=["data"]).withColumn("key", F.col("key").cast("long"))
+
+
+@register("seen_state", """
+SELECT user_id::BIGINT AS user_id, min(ts::DATE) AS first_seen, max(ts::DATE) AS last_seen,
+       arg_max(value, ts) AS last_value, count(*)::BIGINT AS n_events
+FROM events GROUP BY 1
+""")
+def q_seen_state(spark, sf):
+    """Tracked entity state — first/last seen day, latest value."""
+    from ..streaming.incremental import entity_state
+    ev = table(spark, sf, "events").select("user_id", "ts", "value")
+    return entity_state(ev, "user_id", "ts", "value").withColumn("user_id", F.col("user_id").cast("long"))
+
+
+@register("field_pipeline", f"""
+SELECT p_partkey::BIGINT AS p_partkey,
+       {sql_strip('p_name')} AS name,
+       {sql_strip("replace(p_type, '–', '-')")} AS type_norm,
+       array_to_string(list_filter(list_transform(string_split(p_type, ' '), lambda x: {sql_strip('x')}), lambda x: x <> ''), ' ') AS type_words,
+       coalesce(nullif(p_brand, ''), p_name) AS brand,
+       coalesce(TRY_CAST(p_size::VARCHAR AS INTEGER), 1) AS size,
+       {sql_strip(f"array_to_string(list_transform(string_split(p_name, ' '), lambda x: {sql_strip('x')}), '')")} AS name_joined
+FROM part
+""")
+def q_field_pipeline(spark, sf):
+    """§2.12 T11 T12 T13 T14 T18 T21: per-field processors and take-first."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    return p.select(
+        F.col("p_partkey").cast("long"), T.strip(F.col("p_name")).alias("name"),
+        T.normalize_dash(F.col("p_type")).alias("type_norm"),
+        T.join_nonempty(F.split("p_type", " "), " ").alias("type_words"),
+        T.field_pipeline(F.array(F.nullif("p_brand", F.lit("")), F.col("p_name")), []).alias("brand"),
+        T.int_or_one(F.col("p_size").cast("string")).alias("size"),
+        T.join_pieces(F.split("p_name", " ")).alias("name_joined"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming / incremental (file streams landed under spark.checkpoint.dir)
+# ---------------------------------------------------------------------------
+def _run_dir(spark, name):
+    import uuid
+    from ..session import scratch_path
+    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
+
+
+@register("comment_dedupe", """
+SELECT DISTINCT event_id::BIGINT AS event_id, user_id::BIGINT AS user_id, event_type FROM events
+""")
+def q_comment_dedupe(spark, sf):
+    """The whole event table delivered twice to a file stream; the
+    streaming dedupe emits each id once (state in the checkpoint)."""
+    from ..streaming.incremental import dedupe_stream
+    run = _run_dir(spark, "comment_dedupe")
+    ev = table(spark, sf, "events").select(F.col("event_id").cast("long"), F.col("user_id").cast("long"),
+                                           "event_type")
+    for _ in range(2):  # replay: the same delivery lands twice
+        ev.write.mode("append").parquet(f"{run}/landing")
+    return dedupe_stream(spark, f"{run}/landing", ev.schema, ["event_id"], f"{run}/sink", f"{run}/ckpt")
+
+
+@register("seen_state_stream", """
+SELECT user_id::BIGINT AS user_id, min(ts::DATE) AS first_seen, max(ts::DATE) AS last_seen,
+       arg_max(value, ts) AS last_value, count(*)::BIGINT AS n_events
+FROM events GROUP BY 1
+""")
+def q_seen_state_stream(spark, sf):
+    """Daily deliveries folded into entity state by an
+    idempotent ``foreachBatch`` (one state version per micro-batch)."""
+    from ..streaming.incremental import state_upsert_stream
+    run = _run_dir(spark, "seen_state")
+    ev = table(spark, sf, "events").select(F.col("user_id").cast("long"), "ts", "value")
+    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    ev.where(first_half).write.mode("append").parquet(f"{run}/landing")
+    ev.where(~first_half).write.mode("append").parquet(f"{run}/landing")
+    st = state_upsert_stream(spark, f"{run}/landing", ev.schema, "user_id", "ts", "value",
+                             f"{run}/state", f"{run}/ckpt")
+    return st.select("user_id", "first_seen", "last_seen", "last_value", F.col("n_events").cast("long"))

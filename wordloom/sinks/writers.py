@@ -22,11 +22,16 @@ def write_lines(df: DataFrame, path: str, col: str = "line") -> None:
     df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
 
 
+def _field(df: DataFrame, c: str):
+    return F.col(c) if c in df.columns else F.lit(None).cast("string")
+
+
+SQL_FIELDS = ("hebrew", "transcription", "root", "part_of_speech", "meaning", "audio_url", "word_url")
+
+
 def sql_defaults(df: DataFrame) -> DataFrame:
     """K3 column defaults of the SQL word table: '' everywhere, '-' for root."""
-    cols = ["hebrew", "transcription", "root", "part_of_speech", "meaning", "audio_url", "word_url"]
-    return df.select(*[T.default(F.col(c) if c in df.columns else F.lit(None).cast("string"),
-                                 "-" if c == "root" else "").alias(c) for c in cols])
+    return df.select(*[T.default(_field(df, c), "-" if c == "root" else "").alias(c) for c in SQL_FIELDS])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
@@ -39,14 +44,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 def document(df: DataFrame, with_tables: bool) -> DataFrame:
     """K4 document projection: the listing sink keeps ``audio_url`` and no
     tables; the words sink keeps ``tables`` (default empty) and no audio."""
-    base = sql_defaults(df)
     if not with_tables:
-        return base
-    tables = F.col("tables") if "tables" in df.columns else F.array()
-    return df.select(*[c for c in base.columns if c != "audio_url"], tables.alias("tables")) \
-        .select(*[T.default(F.col(c), "-" if c == "root" else "").alias(c)
-                  for c in ["hebrew", "transcription", "root", "part_of_speech", "meaning", "word_url"]],
-                F.coalesce(F.col("tables"), F.array()).alias("tables"))
+        return sql_defaults(df)
+    tables = F.coalesce(F.col("tables"), F.array()) if "tables" in df.columns else F.array()
+    return df.select(*[T.default(_field(df, c), "-" if c == "root" else "").alias(c)
+                       for c in SQL_FIELDS if c != "audio_url"], tables.alias("tables"))
 
 
 def write_batched(df: DataFrame, insert_many: Callable[[list], None], batch_size: int = 100) -> None:

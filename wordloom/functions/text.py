@@ -175,9 +175,15 @@ def has_script(text, prof="hebrew") -> Column:
 # ---------------------------------------------------------------------------
 # Cleaning helpers
 # ---------------------------------------------------------------------------
+# The same set as literal characters, for ``btrim`` (no regex engine).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(x) -> Column:
-    """T11 Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(x), f"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """T11 Python ``str.strip()``: remove leading/trailing Unicode whitespace
+    (``btrim`` with the whitespace set: a character scan, not a regex)."""
+    return F.btrim(_c(x), F.lit(WS_CHARS))
 
 
 def split_lines(x) -> Column:
@@ -188,12 +194,14 @@ def split_lines(x) -> Column:
 
 def remove_brackets(x, multiline: bool = True) -> Column:
     """T5 drop ``[...]`` (lazily); across lines when ``multiline``."""
-    return F.regexp_replace(_c(x), r"(?s)\[.*?\]" if multiline else r"\[[^\n]*?\]", "")
+    c = _c(x)
+    pat = r"(?s)\[.*?\]" if multiline else r"\[[^\n]*?\]"
+    return F.when(F.instr(c, "[") > 0, F.regexp_replace(c, pat, "")).otherwise(c)
 
 
 def remove_lrm(x) -> Column:
     """T6a remove U+200E."""
-    return F.regexp_replace(_c(x), LRM, "")
+    return F.translate(_c(x), LRM, "")
 
 
 def remove_bidi_embedding(x) -> Column:
@@ -214,8 +222,11 @@ TRAILING_ARTIST = (WS_CLASS + r"*[-\x{2013}]" + WS_CLASS + r"*[\p{L}\p{N}_" + _W
 
 
 def strip_trailing_artist(line) -> Column:
-    """T8 remove a trailing `` - Artist`` (applied to every line)."""
-    return F.regexp_replace(_c(line), TRAILING_ARTIST, "")
+    """T8 remove a trailing `` - Artist`` (applied to every line; the regex
+    only runs on lines holding a hyphen or en dash)."""
+    c = _c(line)
+    has_dash = (F.instr(c, "-") > 0) | (F.instr(c, EN_DASH) > 0)
+    return F.when(has_dash, F.regexp_replace(c, TRAILING_ARTIST, "")).otherwise(c)
 
 
 def strip_em(x) -> Column:

@@ -78,17 +78,19 @@ def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
 
 
 def assemble_flat(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
-                  sources: DataFrame, prof="hebrew") -> DataFrame:
+                  sources: DataFrame | None, prof="hebrew") -> DataFrame:
     """C8 in flat form: the same keep-first semantics, with per-word counts
     and first elements computed as aggregates (partial, skew-safe) instead
-    of materialised arrays."""
+    of materialised arrays. With ``sources=None`` the words already carry
+    their folded counts (see ``lexicon.common_with_sources``)."""
     pairs = meaning_pairs(words, dictionary, prof)
     m = pairs.groupBy("bare").agg(F.count("*").alias("n_meanings"), F.min("ord").alias("first_meaning"))
     s = sentences.groupBy("bare").agg(
         F.count("*").alias("n_sentences"),
         F.min(F.struct("prio", "ord", "sentence")).alias("_first"))
-    srcs = sources.select(F.col("word").alias("bare"), *SOURCES, "total")
-    out = words.join(m, "bare", "left").join(s, "bare", "left").join(srcs, "bare", "left")
+    out = words.join(m, "bare", "left").join(s, "bare", "left")
+    if sources is not None:
+        out = out.join(sources.select(F.col("word").alias("bare"), *SOURCES, "total"), "bare", "left")
     n_m = F.coalesce(F.col("n_meanings"), F.lit(0)).cast("long")
     return out.select(
         "word_ord", F.col("bare").alias("word"),

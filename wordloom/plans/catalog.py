@@ -186,11 +186,10 @@ def q_word_meanings(spark, sf):
 
 def vocab_flat(spark, sf) -> DataFrame:
     ws = C.word_sources(spark, sf)  # one tokenising pass feeds words and counts
-    words = (lexicon.common_from_sources(ws, "songs", "youtube", C.PROFILE)
-             .select(F.col("word").alias("word_ord"), T.fold(F.col("word"), C.PROFILE).alias("bare")))
+    words = (lexicon.common_with_sources(ws, "songs", "youtube", C.PROFILE)
+             .withColumnRenamed("word", "word_ord"))
     sents = sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE)
-    srcs = frequency.folded_sources(ws, C.PROFILE)
-    return A.assemble_flat(words, C.dictionary(spark, sf), sents, srcs, C.PROFILE)
+    return A.assemble_flat(words, C.dictionary(spark, sf), sents, None, C.PROFILE)
 
 
 SQL_VOCAB = f"""
@@ -612,20 +611,24 @@ def q_listing_end(spark, sf):
 
 def _nested_orders(spark, sf):
     """Orders as dictionary-like documents: one table per order, one row per
-    return flag (label), one cell per line item (form = part key)."""
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_partkey",
-                                             "l_linestatus", "l_quantity")
-    cells = (li.groupBy("l_orderkey", "l_returnflag")
+    return flag (label), one cell per line item (form = part key). One
+    aggregation on the order key (lineitem spread on that key, so the
+    aggregate reuses the partitioning); rows are built with array functions
+    inside the group, which is bounded by the lines of one order."""
+    li = spread(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", "l_linestatus", "l_quantity"), "l_orderkey")
+    lines = (li.groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
-                 "l_linenumber", F.col("l_partkey").alias("_pk"), F.col("l_partkey").cast("string").alias("hebrew"),
+                 "l_returnflag", "l_linenumber", F.col("l_partkey").alias("_pk"),
+                 F.col("l_partkey").cast("string").alias("hebrew"),
                  F.col("l_linestatus").alias("transcription"),
                  F.col("l_quantity").cast("long").cast("string").alias("meaning")))).alias("c")))
-    rows = (cells.groupBy("l_orderkey")
-            .agg(F.array_sort(F.collect_list(F.struct(
-                "l_returnflag", F.array("l_returnflag").alias("labels"),
-                F.transform("c", lambda x: x.dropFields("l_linenumber", "_pk")).alias("cells")))).alias("r")))
-    tables = rows.select("l_orderkey", F.array(F.struct(
-        F.transform("r", lambda x: x.dropFields("l_returnflag")).alias("rows"))).alias("tables"))
+    flags = F.array_distinct(F.transform("c", lambda x: x["l_returnflag"]))
+    rows = F.transform(flags, lambda f: F.struct(
+        F.array(f).alias("labels"),
+        F.transform(F.filter("c", lambda x: x["l_returnflag"] == f),
+                    lambda x: x.dropFields("l_returnflag", "l_linenumber", "_pk")).alias("cells")))
+    tables = lines.select("l_orderkey", F.array(F.struct(rows.alias("rows"))).alias("tables"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     return o.join(tables, o.o_orderkey == tables.l_orderkey, "left").select(
         F.col("o_orderkey").alias("ord"), F.col("o_orderstatus").alias("hebrew"), "tables")

@@ -103,3 +103,63 @@ def test_csv_skipped_when_empty(spark):
     out = tempfile.mkdtemp(prefix="wl-csv-")
     assert W.write_csv(spark.createDataFrame([], "a string"), f"{out}/x") is False
     assert W.write_csv(spark.createDataFrame([("1",)], "a string"), f"{out}/y") is True
+
+
+def test_load_state_keeps_last_at_first_position(spark):
+    rows = spark.createDataFrame([(0, "v1", "a"), (1, "v2", "b"), (2, "v1", "c"), (3, "v3", "d"), (4, "v2", "e")],
+                                 "ord long, video_id string, title string")
+    got = sorted((r.ord, r.video_id, r.title) for r in I.load_state(rows, "video_id").collect())
+    d = {}
+    for o, k, t in sorted(rows.collect()):
+        d[k] = (o, t) if k not in d else (d[k][0], t)  # dict: last value, first position
+    assert got == sorted((o, k, t) for k, (o, t) in d.items())
+
+
+def test_refresh_comments_totals(spark):
+    d1 = dt.date(2026, 3, 1)
+    state = spark.createDataFrame([("v1", "ישן", "c", d1, 10, 1, 5, d1, d1)], VIDEO)
+    today = spark.createDataFrame([("v1", "ישן", "c", d1, 12, 1, 5, None, None),
+                                   ("v2", "שיר", "c", d1, 1, 0, 0, None, None)], VIDEO)
+    known = spark.createDataFrame([("v1", "c1", "a", "t", 0, d1)],
+                                  "video_id string, id string, author string, text string, likes long, published_at date")
+    fetched = spark.createDataFrame([("v1", "c1", "a", "t", 0, d1, 0), ("v1", "c2", "b", "u", 1, d1, 1),
+                                     ("v2", "c9", "x", "y", 2, d1, 2)],
+                                    "video_id string, id string, author string, text string, likes long, "
+                                    "published_at date, ord long")
+    videos, comments, totals = I.refresh_comments(state, known, today, fetched, "2026-03-02")
+    t = totals.first()
+    assert (t.new_comments, t.videos_tracked) == (2, 2)
+    assert sorted(r.id for r in comments.collect()) == ["c1", "c2", "c9"]
+    assert {r.video_id: r.views for r in videos.collect()} == {"v1": 12, "v2": 1}
+
+
+def test_payload_items(spark):
+    from wordloom.sources.tables import payload_items
+    landing = spark.createDataFrame([("w1", 1, '{"results": [{"text": "a"}, {"text": "b"}]}'),
+                                     ("w2", 1, '{"other": 1}'), ("w3", 1, '{"response": {"hits": []}}')],
+                                    "word string, page_no int, body string")
+    got = sorted((r.word, r.item_pos, r.item.text) for r in
+                 payload_items(landing, "results array<struct<text:string>>", "results", ["word"]).collect())
+    assert got == [("w1", 0, "a"), ("w1", 1, "b")]
+    hits = payload_items(landing, "response struct<hits:array<struct<result:struct<path:string>>>>",
+                         "response.hits", ["word"])
+    assert hits.count() == 0
+
+
+def test_corpus_texts_and_song_lyrics(spark):
+    from wordloom.operators import frequency, pages
+    lines = spark.createDataFrame([("שיר אחד",)], "value string")
+    arts = spark.createDataFrame([("כותרת", "גוף"), (None, "רק")], "title string, text string")
+    vids = spark.createDataFrame([("v", [{"text": "תגובה"}, {"text": None}])],
+                                 "video_id string, comments array<struct<text:string>>")
+    ws = frequency.word_sources(frequency.corpus_texts(lines, arts, vids), "hebrew")
+    got = {r.word: (r.songs, r.news, r.youtube) for r in ws.collect()}
+    assert got == {"שיר": (1, 0, 0), "אחד": (1, 0, 0), "כותרת": (0, 1, 0), "גוף": (0, 1, 0), "רק": (0, 1, 0),
+                   "תגובה": (0, 0, 1)}
+    pg = spark.createDataFrame([("https://l/1", '<div data-lyrics-container="true">שורה</div>'),
+                                ("https://l/2", '<div data-lyrics-container="true">אחרת</div>')],
+                               "url string, html string")
+    songs = spark.createDataFrame([("https://l/1", "A/B", "T?"), ("https://l/9", "x", "y")],
+                                  "url string, artist string, title string")
+    f = pages.song_lyrics(pg, songs).collect()
+    assert [(r.file_name, r.body) for r in f] == [("AB - T.txt", "T? - A/B\n\nשורה")]

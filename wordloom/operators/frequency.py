@@ -47,3 +47,15 @@ def folded_sources(sources: DataFrame, prof="hebrew") -> DataFrame:
             .filter(F.length("word") > 0)
             .groupBy("word")
             .agg(*[F.sum(s).cast("long").alias(s) for s in (*SOURCES, "total")]))
+
+
+def corpus_texts(song_lines: DataFrame, articles: DataFrame, videos: DataFrame) -> dict[str, DataFrame]:
+    """U3 + P2 inputs of :func:`word_sources` from the reference's stores:
+    one lyric line per row (``value``), articles (``title`` + ``text``) and
+    videos with nested ``comments`` (their ``text``)."""
+    return {
+        "songs": song_lines.select(F.col("value").alias("text")),
+        "news": articles.select(news_text("title", "text").alias("text")),
+        "youtube": videos.select(F.explode(F.coalesce("comments", F.array())).alias("c"))
+                         .select(F.coalesce(F.col("c.text"), F.lit("")).alias("text")),
+    }

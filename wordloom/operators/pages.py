@@ -141,3 +141,11 @@ def running_flag_before(flag: Column, part: list[str], order: list[str]) -> Colu
     """Whether any earlier row (by ``order``) in the partition had ``flag``."""
     w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.max(flag.cast("int")).over(w), F.lit(0)) > 0
+
+
+def song_lyrics(pages: DataFrame, songs: DataFrame) -> DataFrame:
+    """J9 + C11: lyric pages joined (inner) to the songs that point at them by
+    URL, carrying artist and title; returns the K6 file name and body."""
+    from .songs import lyric_files
+    ly = lyrics(pages)
+    return lyric_files(songs.select("url", "artist", "title").join(ly, "url", "inner"))

@@ -774,3 +774,17 @@ def q_seen_state_stream(spark, sf):
     st = state_upsert_stream(spark, f"{run}/landing", ev.schema, "user_id", "ts", "value",
                              f"{run}/state", f"{run}/ckpt")
     return st.select("user_id", "first_seen", "last_seen", "last_value", F.col("n_events").cast("long"))
+
+
+@register("state_load", """
+SELECT user_id::BIGINT AS user_id, min(event_id)::BIGINT AS ord,
+       arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value
+FROM events GROUP BY 1
+""")
+def q_state_load(spark, sf):
+    """Loading keyed state keeps the last row per key (file order) at the
+    position of the key's first row."""
+    from ..streaming.incremental import load_state
+    ev = table(spark, sf, "events").select(F.col("user_id").cast("long"), F.col("event_id").cast("long").alias("ord"),
+                                           "event_type", "value")
+    return load_state(ev, "user_id", "ord")

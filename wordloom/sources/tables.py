@@ -83,3 +83,16 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     if n >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
+
+
+def payload_items(landing: DataFrame, body_schema, path: str, keep: list[str]) -> DataFrame:
+    """S6 nested API payload scan: ``landing`` holds one response body (JSON
+    text) per row; the list under ``path`` (e.g. ``items``, ``response.hits``)
+    becomes one row per element with its position; a missing list is empty.
+    Parsing is row-local with an explicit schema (never inferred)."""
+    parsed = landing.select(*keep, F.from_json(F.col("body"), body_schema).alias("_b"))
+    arr = F.col("_b")
+    for part in path.split("."):
+        arr = arr[part]
+    return (parsed.select(*keep, F.posexplode(F.coalesce(arr, F.array())).alias("item_pos", "item"))
+            .withColumn("item_pos", F.col("item_pos").cast("long")))

@@ -102,3 +102,34 @@ def _latest(spark: SparkSession, state_dir: str, before: int | None):
     if not versions:
         return None
     return spark.read.parquet(f"{state_dir}/v={versions[-1]:010d}")
+
+
+def load_state(rows: DataFrame, key: str, ord_col: str = "ord") -> DataFrame:
+    """Loading a state file keyed by ``key`` keeps the *last* row per key
+    while the key keeps the position of its *first* occurrence (dict
+    semantics). Two aggregates in one pass: ``max(struct(ord, *))`` and
+    ``min(ord)``."""
+    rest = [c for c in rows.columns if c not in (key, ord_col)]
+    agg = rows.groupBy(key).agg(F.max(F.struct(ord_col, *rest)).alias("_last"), F.min(ord_col).alias("_pos"))
+    return agg.select(key, F.col("_pos").alias(ord_col), *[F.col(f"_last.{c}").alias(c) for c in rest])
+
+
+def refresh_comments(videos_state: DataFrame, comments_state: DataFrame, trending: DataFrame,
+                     fetched: DataFrame, run_date: str, prof="hebrew"):
+    """C14 one daily run: F1 filter, J6 video merge, J5/R1 new comments only,
+    U4 append. Returns ``(videos, comments, totals)`` where ``totals`` is the
+    A11 one-row summary (new comments, tracked videos)."""
+    videos = refresh_videos(videos_state, trending, run_date, prof)
+    today = videos.where(F.col("action") != "keep").select("video_id")
+    new = new_comments(comments_state, fetched, today)
+    comments = comments_state.unionByName(new.select(*comments_state.columns))
+    n_new = new.agg(F.count("*").alias("new_comments"))
+    n_videos = videos.agg(F.count("*").alias("videos_tracked"))
+    totals = n_new.select("new_comments", n_videos.scalar().alias("videos_tracked"))
+    return videos.drop("action"), comments, totals
+
+
+def daily(steps) -> list:
+    """Run the daily jobs in order (refresh → counts → dataset); each step
+    is a callable that writes its output table and returns it."""
+    return [step() for step in steps]

@@ -139,9 +139,10 @@ def q_common_words(spark, sf):
 @register("missing_words", f"{vocab_words('benchmark')} EXCEPT {vocab_words('conversations')}")
 def q_missing_words(spark, sf):
     """Benchmark vocabulary without a match in conversations."""
-    a = _tokens_of(spark, sf, "benchmark").select(T.clean_word(F.col("word"), C.PROFILE).alias("word"))
-    b = _tokens_of(spark, sf, "conversations").select(T.clean_word(F.col("word"), C.PROFILE).alias("word"))
-    return a.where("word IS NOT NULL").join(b, "word", "left_anti").distinct()
+    def vocab(name):  # distinct raw spellings first (map-side), then clean, then distinct
+        return (_tokens_of(spark, sf, name).distinct()
+                .select(T.clean_word(F.col("word"), C.PROFILE).alias("word")).where("word IS NOT NULL").distinct())
+    return vocab("benchmark").join(vocab("conversations"), "word", "left_anti")
 
 
 @register("form_index", SQL_FORMS)
@@ -314,8 +315,11 @@ missing AS (SELECT w.word, CASE WHEN w.word IN (SELECT word FROM cand) THEN 'no_
 def _coverage(spark, sf):
     words = (_tokens_of(spark, sf, "benchmark").select(T.fold(F.col("word"), C.PROFILE).alias("word"))
              .distinct().withColumn("word_ord", F.col("word")))
-    lines = _keyed_doc_lines(spark, sf).join(words.select("word"), "word", "left_semi")
-    cand = top_k(lines, ["word"], ["doc_id", "pos"], T.EXAMPLES_PER_WORD).select(
+    # top-3 per key first (partial WindowGroupLimit before the exchange), so a
+    # key starting a third of all lines is cut to 3 rows per map task before
+    # it meets the word list.
+    top = top_k(_keyed_doc_lines(spark, sf), ["word"], ["doc_id", "pos"], T.EXAMPLES_PER_WORD)
+    cand = top.join(words.select("word"), "word", "left_semi").select(
         "word", F.struct("doc_id", "pos").alias("pos"), F.col("line").alias("sentence"),
         T.strip(F.regexp_replace(F.col("line"), REST_OF_LINE, "")).alias("translation"))
     return sentences.keep_candidates(words, cand)

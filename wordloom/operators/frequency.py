@@ -18,14 +18,16 @@ def news_text(title: Column | str, body: Column | str) -> Column:
     return F.concat(F.coalesce(c(title), F.lit("")), F.lit(" "), F.coalesce(c(body), F.lit("")))
 
 
-def word_sources(corpora: dict[str, DataFrame], prof="hebrew", text_col: str = "text") -> DataFrame:
+def word_sources(corpora: dict[str, DataFrame], prof="hebrew", text_col: str = "text",
+                 key=None) -> DataFrame:
     """Raw-token counts per source, one column per source plus ``total``.
 
     ``corpora`` maps each of songs/news/youtube to a DataFrame with a text
     column. Every source contributes a 0/1 indicator per token, so the result
     is one hash aggregate on ``word``: partial sums are taken per map task
     (map-side combine) and only one shuffle on ``word`` happens, whatever the
-    skew of individual words.
+    skew of individual words. ``key`` (a Column function, e.g.
+    ``clean_word``) maps each token before counting; NULL keys are dropped.
     """
     parts = []
     for name in SOURCES:
@@ -33,6 +35,8 @@ def word_sources(corpora: dict[str, DataFrame], prof="hebrew", text_col: str = "
         if df is None:
             continue
         toks = df.select(F.explode(T.tokens(F.col(text_col), prof)).alias("word"))
+        if key is not None:
+            toks = toks.select(key(F.col("word")).alias("word")).where(F.col("word").isNotNull())
         parts.append(toks.select("word", *[F.lit(1 if s == name else 0).alias(s) for s in SOURCES]))
     u = reduce(DataFrame.unionByName, parts)
     agg = u.groupBy("word").agg(*[F.sum(s).cast("long").alias(s) for s in SOURCES])

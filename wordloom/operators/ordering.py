@@ -24,6 +24,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """One row per ``keys``: the row with the smallest (largest if ``last``)
     ``order`` tuple. All other columns are carried along."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not rest and len(order) == 1:
+        # a lone (numeric) ordinal: plain min/max keeps a fixed-width buffer,
+        # so Spark plans a hash aggregate instead of a sort aggregate
+        o = order[0]
+        return df.groupBy(*keys).agg((F.max(o) if last else F.min(o)).alias(o))
     packed = F.struct(*[F.col(c) for c in list(order) + rest])
     agg = F.max(packed) if last else F.min(packed)
     out = df.groupBy(*keys).agg(agg.alias("_kf"))

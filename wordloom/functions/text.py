@@ -294,3 +294,11 @@ def field_pipeline(arr, steps, reducer=first_nonempty) -> Column:
 def default(x, value: str = "") -> Column:
     """T21 ``dict.get(k, default)``."""
     return F.coalesce(_c(x), F.lit(value))
+
+
+def html_escape(x) -> Column:
+    """Escape ``& < > "`` for embedding text in generated HTML."""
+    c = _c(x)
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c

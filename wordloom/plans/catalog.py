@@ -794,3 +794,124 @@ def q_state_load(spark, sf):
     ev = table(spark, sf, "events").select(F.col("user_id").cast("long"), F.col("event_id").cast("long").alias("ord"),
                                            "event_type", "value")
     return load_state(ev, "user_id", "ord")
+
+
+# ---------------------------------------------------------------------------
+# Dictionary site pages rendered by Spark from driver tables, then parsed by
+# the extraction job (X1, X2, X3, X10 over thousands of pages)
+# ---------------------------------------------------------------------------
+ROWS_PER_PAGE = 15  # listing rows per dictionary page (as on the real site)
+
+
+def _listing_pages(spark, sf):
+    """One listing page per 15 parts, rows in part-key order, with a
+    pagination block (active page, next page when it exists)."""
+    e = T.html_escape
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    w1 = F.split_part("p_name", F.lit(" "), F.lit(1))
+    w2 = F.split_part("p_name", F.lit(" "), F.lit(2))
+    key = F.col("p_partkey").cast("string")
+    row = F.concat(
+        F.lit('<tr><td><a href="/dict/'), key, F.lit("-"), e(w1), F.lit('/"><span class="menukad">'), e(w1),
+        F.lit('</span></a> <span class="dict-transcription">'), e(F.substring(w2, 1, 2)), F.lit("<b>"),
+        e(F.substring(w2, 3, 1 << 20)), F.lit('</b></span><span class="audio-play" data-audio="/audio/'), key,
+        F.lit('.mp3"></span></td><td><a href="/dict/?num-radicals=3&amp;r=1">'), e(F.col("p_brand")),
+        F.lit("</a></td><td>"), e(F.col("p_type")), F.lit(" – <i>"), e(w2),
+        F.lit('</i></td><td class="dict-meaning"> '), e(F.col("p_name")), F.lit(" </td></tr>"))
+    page = F.floor(F.col("p_partkey") / ROWS_PER_PAGE).cast("long") + 1
+    rows = p.select(page.alias("page"), "p_partkey", row.alias("h"))
+    last = rows.agg(F.max("page")).scalar()
+    # the page parse downstream is CPU-bound Python: pin one partition per
+    # core (explicit count, not coalesced by AQE); the grouping reuses it
+    rows = rows.repartition(_cpu_partitions(spark), "page")
+    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "h"))).alias("r"))
+    pg = F.col("page").cast("string")
+    nxt = F.when(F.col("page") < last, F.concat(F.lit('<li><a href="/dict/?page='), (F.col("page") + 1).cast("string"),
+                                                 F.lit('">next</a></li>'))).otherwise(F.lit(""))
+    html = F.concat(
+        F.lit('<html><body><div class="pagination"><ul class="pagination"><li class="active"><a href="/dict/?page='),
+        pg, F.lit('">'), pg, F.lit("</a></li>"), nxt, F.lit('</ul></div><table class="dict-table-t"><tbody>'),
+        F.array_join(F.transform("r", lambda x: x["h"]), ""), F.lit("</tbody></table></body></html>"))
+    return pages.select(F.concat(F.lit("https://www.pealim.com/dict/?page="), pg).alias("url"), html.alias("html"))
+
+
+SQL_PART_PAGE = f"(p_partkey // {ROWS_PER_PAGE} + 1)"
+
+
+def _cpu_partitions(spark) -> int:
+    """Partition count for a CPU-bound Python stage: at least one task per
+    core, and never fewer than the configured shuffle partitions."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@register("dict_listing", f"""
+SELECT 'https://www.pealim.com/dict/?page=' || {SQL_PART_PAGE} AS url,
+       (row_number() OVER (PARTITION BY {SQL_PART_PAGE} ORDER BY p_partkey) - 1)::BIGINT AS row,
+       split_part(p_name, ' ', 1) AS hebrew, split_part(p_name, ' ', 2) AS transcription, p_brand AS root,
+       p_type || ' - ' || split_part(p_name, ' ', 2) AS part_of_speech, p_name AS meaning,
+       '/audio/' || p_partkey || '.mp3' AS audio_url,
+       'https://www.pealim.com/dict/' || p_partkey || '-' || split_part(p_name, ' ', 1) || '/' AS word_url
+FROM part
+""")
+def q_dict_listing(spark, sf):
+    """X1 + item processors over rendered listing pages (15 rows per page)."""
+    from ..operators.pages import dictionary_rows
+    return dictionary_rows(_listing_pages(spark, sf))
+
+
+@register("listing_next", f"""
+WITH p AS (SELECT DISTINCT {SQL_PART_PAGE} AS page FROM part), m AS (SELECT max(page) AS mx FROM p)
+SELECT 'https://www.pealim.com/dict/?page=' || page AS url,
+       CASE WHEN page < mx THEN '/dict/?page=' || (page + 1) END AS next_href
+FROM p, m
+""")
+def q_listing_next(spark, sf):
+    """The next-page link of each rendered listing page."""
+    from ..operators.pages import next_page
+    from ..sources import html as H
+    pg = H.extract(_listing_pages(spark, sf), "pagination")
+    return pg.select("url", next_page(F.col("active_href"), F.col("links")).alias("next_href"))
+
+
+def _order_pages(spark, sf):
+    """One word page per order: a conjugation table with a header and one
+    body row per line item (label = return flag; cell = chaser part key,
+    menukad supplier key, transcription line status, meaning quantity)."""
+    e = T.html_escape
+    li = spread(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"),
+        "l_orderkey")
+    row = F.concat(
+        F.lit("<tr><th>"), e(F.col("l_returnflag")), F.lit('</th><td class="conj-td"><span class="chaser">~'),
+        F.col("l_partkey").cast("string"), F.lit('</span><span class="menukad">'), F.col("l_suppkey").cast("string"),
+        F.lit('</span><div class="transcription"><b>'), e(F.col("l_linestatus")),
+        F.lit('</b></div><div class="meaning"><i>'), F.col("l_quantity").cast("long").cast("string"),
+        F.lit("</i></div></td></tr>"))
+    pages = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", row.alias("h")))).alias("r"))
+    html = F.concat(
+        F.lit('<html><body><table class="conjugation-table"><thead><tr><th colspan="2" rowspan="1">Line</th>'
+              '<th>Part</th></tr></thead><tbody>'),
+        F.array_join(F.transform("r", lambda x: x["h"]), ""), F.lit("</tbody></table></body></html>"))
+    return pages.select(F.col("l_orderkey").cast("string").alias("url"), html.alias("html"))
+
+
+@register("conj_tables", """
+SELECT l_orderkey::BIGINT AS ord,
+       (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) - 1)::BIGINT
+         AS row,
+       l_returnflag AS label, l_partkey::VARCHAR AS hebrew, l_linestatus AS transcription,
+       l_quantity::BIGINT::VARCHAR AS meaning
+FROM lineitem
+""")
+def q_conj_tables(spark, sf):
+    """Inflection tables parsed from rendered word pages, flattened
+    to one row per body cell (chaser wins over menukad)."""
+    from ..operators.pages import word_tables
+    t = word_tables(_order_pages(spark, sf))
+    rows = t.select(F.col("url").cast("long").alias("ord"), F.explode("tables").alias("t")).select(
+        "ord", F.posexplode("t.rows").alias("row", "r"))
+    return rows.select("ord", F.col("row").cast("long"), F.get(F.col("r.labels"), 0).alias("label"),
+                       F.explode("r.cells").alias("c")).select(
+        "ord", "row", "label", F.col("c.hebrew").alias("hebrew"), F.col("c.transcription").alias("transcription"),
+        F.col("c.meaning").alias("meaning"))

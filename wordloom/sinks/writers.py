@@ -76,6 +76,8 @@ def write_csv(df: DataFrame, path: str) -> bool:
 
 
 def write_song_files(files: DataFrame, path: str) -> None:
-    """K6 one text file per song, foldered by sanitised file name."""
+    """K6 one text file per song, foldered by sanitised file name. Spark's
+    text sink ends every record with a line separator, so each file body is
+    followed by one newline (the reference file has none)."""
     (files.select("file_name", F.col("body").alias("value"))
      .repartition("file_name").write.mode("overwrite").partitionBy("file_name").text(path))

@@ -915,3 +915,44 @@ def q_conj_tables(spark, sf):
                        F.explode("r.cells").alias("c")).select(
         "ord", "row", "label", F.col("c.hebrew").alias("hebrew"), F.col("c.transcription").alias("transcription"),
         F.col("c.meaning").alias("meaning"))
+
+
+ARTICLE_MARKER_LATIN = "tion"  # marker token for rendered articles (Latin prose)
+
+
+def _article_pages(spark, sf):
+    """One article page per document: title = source, category = language,
+    one audio source, one paragraph per text line, word explanations list."""
+    e = T.html_escape
+    d = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    paras = F.array_join(F.transform(T.split_lines(F.col("text")),
+                                     lambda l: F.concat(F.lit("<p>"), e(l), F.lit("</p>"))), "")
+    html = F.concat(
+        F.lit("<html><body><h1> "), e(F.col("source")), F.lit(' </h1><div class="itemDetails"><span class="value">'),
+        e(F.col("lang")), F.lit('</span></div><audio><source src="/a/'), F.col("doc_id").cast("string"),
+        F.lit('.mp3"></audio><div class="content">'), paras, F.lit("<ul><li>"), e(F.col("source")),
+        F.lit(": <b>"), e(F.col("lang")), F.lit("</b></li></ul></div></body></html>"))
+    return d.select(F.col("doc_id").cast("string").alias("url"), html.alias("html"))
+
+
+@register("articles", f"""
+WITH l AS (SELECT doc_id, u.i AS i, {sql_strip('u.line')} AS t
+           FROM documents, unnest(string_split_regex(text, '{LB}')) WITH ORDINALITY AS u(line, i)),
+f AS (SELECT doc_id, min(i) FILTER (WHERE position('{ARTICLE_MARKER_LATIN}' IN t) > 0) AS fi FROM l GROUP BY doc_id),
+parts AS (SELECT l.doc_id, l.i,
+                 CASE WHEN l.i = f.fi THEN {sql_strip(f"split_part(l.t, '{ARTICLE_MARKER_LATIN}', 1)")} ELSE l.t END AS t
+          FROM l JOIN f USING (doc_id) WHERE f.fi IS NULL OR l.i <= f.fi),
+txt AS (SELECT doc_id, coalesce(string_agg(t, ' ' ORDER BY i) FILTER (WHERE t <> ''), '') AS text
+        FROM parts GROUP BY doc_id)
+SELECT d.doc_id::BIGINT AS doc_id, d.source AS title, d.lang AS category, '/a/' || d.doc_id || '.mp3' AS audio_urls,
+       txt.text, d.source || ': ' || d.lang AS word_explanations
+FROM documents d JOIN txt USING (doc_id)
+""")
+def q_articles(spark, sf):
+    """Article pages parsed; body text up to the first
+    paragraph holding the marker (row-local array logic, no window)."""
+    from ..operators.pages import articles
+    a = articles(_article_pages(spark, sf), ARTICLE_MARKER_LATIN)
+    return a.select(F.col("url").cast("long").alias("doc_id"), "title", "category",
+                    F.array_join("audio_urls", "|").alias("audio_urls"), "text",
+                    F.array_join("word_explanations", "|").alias("word_explanations"))

@@ -956,3 +956,72 @@ def q_articles(spark, sf):
     return a.select(F.col("url").cast("long").alias("doc_id"), "title", "category",
                     F.array_join("audio_urls", "|").alias("audio_urls"), "text",
                     F.array_join("word_explanations", "|").alias("word_explanations"))
+
+
+def _lexicon_pages(spark, sf):
+    """One lexicon listing page per (user, day): a card per event (term =
+    event type, audio per event, definition = props + event type, more
+    info = event id), cards in event order."""
+    e = T.html_escape
+    ev = spread(table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "props"), "user_id")
+    day = (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1).cast("long")
+    card = F.concat(
+        F.lit('<li class="introBlock"><h3 class="termName"> '), e(F.col("event_type")),
+        F.lit(' </h3><audio><source src="/a/'), F.col("event_id").cast("string"),
+        F.lit('.mp3"></audio><div class="definition"><div class="text"><p>'), e(F.col("props")),
+        F.lit("</p> <span>"), e(F.col("event_type")), F.lit('</span></div></div><div class="moreText"><p>'),
+        F.col("event_id").cast("string"), F.lit("</p></div></li>"))
+    pages = (ev.select("user_id", day.alias("page"), "event_id", card.alias("h"))
+             .groupBy("user_id", "page").agg(F.array_sort(F.collect_list(F.struct("event_id", "h"))).alias("c")))
+    html = F.concat(F.lit('<html><body><div class="contentByLetterContainer"><ul class="contentByLetter">'),
+                    F.array_join(F.transform("c", lambda x: x["h"]), ""), F.lit("</ul></div></body></html>"))
+    return pages.select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/"),
+                                 F.col("page").cast("string")).alias("url"),
+                        F.lit("events").alias("category"), F.col("user_id").cast("string").alias("letter"),
+                        F.col("page").cast("int").alias("page"), html.alias("html"))
+
+
+@register("lexicon_cards", """
+SELECT 'events' AS category, user_id::VARCHAR AS letter,
+       (date_diff('day', DATE '2024-01-01', ts::DATE) + 1)::INTEGER AS page,
+       (row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY event_id) - 1)::BIGINT AS card_pos,
+       event_type AS hebrew, '/a/' || event_id || '.mp3' AS audio_url,
+       props || ' ' || event_type AS text, event_id::VARCHAR AS more_info
+FROM events
+""")
+def q_lexicon_cards(spark, sf):
+    """Lexicon cards parsed from rendered listing pages."""
+    from ..operators.pages import lexicon_items
+    return lexicon_items(_lexicon_pages(spark, sf)).withColumn("card_pos", F.col("card_pos").cast("long"))
+
+
+def _example_pages(spark, sf):
+    """One example page per conversation: an example per turn (source = the
+    turn's first line, target = role; assistant turns marked blocked)."""
+    e = T.html_escape
+    cv = spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    first = F.get(T.split_lines(F.col("text")), 0)
+    ex = F.concat(
+        F.lit('<div class="example'), F.when(F.col("role") == "assistant", F.lit(" blocked")).otherwise(F.lit("")),
+        F.lit('"><div class="src ltr"><span class="text">'), e(first), F.lit('</span></div><div class="trg">'
+                                                                          '<span class="text"><em>'),
+        e(F.col("role")), F.lit("</em></span></div></div>"))
+    pages = (cv.select("conv_id", "turn", ex.alias("h"))
+             .groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "h"))).alias("x")))
+    html = F.concat(F.lit('<html><body><section id="examples-content">'),
+                    F.array_join(F.transform("x", lambda x: x["h"]), ""), F.lit("</section></body></html>"))
+    return pages.select(F.col("conv_id").cast("string").alias("url"), F.lit("w").alias("word"), html.alias("html"))
+
+
+@register("example_pairs", f"""
+SELECT conv_id::BIGINT AS conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS pos,
+       {_sql_em(f"string_split_regex(text, '{LB}')[1]")} AS src, {_sql_em('role')} AS trg
+FROM conversations
+QUALIFY src IS NOT NULL AND trg IS NOT NULL
+""")
+def q_example_pairs(spark, sf):
+    """Example pairs parsed from rendered pages, blocked ones
+    kept, pairs with an empty side dropped."""
+    from ..operators.pages import example_pairs
+    p = example_pairs(_example_pages(spark, sf))
+    return p.select(F.col("url").cast("long").alias("conv_id"), F.col("pos").cast("long"), "src", "trg")

@@ -68,8 +68,8 @@ def next_page(active_href: Column, links: Column, max_pages: int = T.MAX_LISTING
 def lexicon_items(pages: DataFrame) -> DataFrame:
     """One HadshonItem per card (``category``, ``letter``, ``page`` kept)."""
     r = H.extract(pages, "lexicon", keep=("url", "category", "letter", "page"))
-    return (r.select("category", "letter", "page", "no_results", F.posexplode("cards").alias("card_pos", "c"))
-            .select("category", "letter", "page", "card_pos",
+    return (r.select("url", "category", "letter", "page", "no_results", F.posexplode("cards").alias("card_pos", "c"))
+            .select("url", "category", "letter", "page", "card_pos",
                     T.strip(F.col("c.hebrew")).alias("hebrew"), F.coalesce("c.audio_url", F.lit("")).alias("audio_url"),
                     T.join_nonempty(F.col("c.text_parts"), " ").alias("text"),
                     T.join_nonempty(F.col("c.more_parts"), " ").alias("more_info")))

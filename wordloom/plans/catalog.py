@@ -958,6 +958,10 @@ def q_articles(spark, sf):
                     F.array_join("word_explanations", "|").alias("word_explanations"))
 
 
+CARDS_PER_PAGE = 20
+EXAMPLES_PER_PAGE = 50
+
+
 def _lexicon_pages(spark, sf):
     """One lexicon listing page per (user, day): a card per event (term =
     event type, audio per event, definition = props + event type, more
@@ -971,20 +975,25 @@ def _lexicon_pages(spark, sf):
         F.lit('.mp3"></audio><div class="definition"><div class="text"><p>'), e(F.col("props")),
         F.lit("</p> <span>"), e(F.col("event_type")), F.lit('</span></div></div><div class="moreText"><p>'),
         F.col("event_id").cast("string"), F.lit("</p></div></li>"))
-    pages = (ev.select("user_id", day.alias("page"), "event_id", card.alias("h"))
-             .groupBy("user_id", "page").agg(F.array_sort(F.collect_list(F.struct("event_id", "h"))).alias("c")))
+    # a page holds the cards of one id block of CARDS_PER_PAGE events: the
+    # collected group stays bounded however many events one user has
+    block = F.floor(F.col("event_id") / CARDS_PER_PAGE).cast("long")
+    pages = (ev.select("user_id", day.alias("page"), block.alias("block"), "event_id", card.alias("h"))
+             .groupBy("user_id", "page", "block")
+             .agg(F.array_sort(F.collect_list(F.struct("event_id", "h"))).alias("c")))
     html = F.concat(F.lit('<html><body><div class="contentByLetterContainer"><ul class="contentByLetter">'),
                     F.array_join(F.transform("c", lambda x: x["h"]), ""), F.lit("</ul></div></body></html>"))
     return pages.select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/"),
-                                 F.col("page").cast("string")).alias("url"),
+                                 F.col("page").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("url"),
                         F.lit("events").alias("category"), F.col("user_id").cast("string").alias("letter"),
                         F.col("page").cast("int").alias("page"), html.alias("html"))
 
 
 @register("lexicon_cards", """
-SELECT 'events' AS category, user_id::VARCHAR AS letter,
+SELECT 'u' || user_id || '/' || (date_diff('day', DATE '2024-01-01', ts::DATE) + 1) || '/' || (event_id // 20) AS url,
+       'events' AS category, user_id::VARCHAR AS letter,
        (date_diff('day', DATE '2024-01-01', ts::DATE) + 1)::INTEGER AS page,
-       (row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY event_id) - 1)::BIGINT AS card_pos,
+       (row_number() OVER (PARTITION BY user_id, ts::DATE, event_id // 20 ORDER BY event_id) - 1)::BIGINT AS card_pos,
        event_type AS hebrew, '/a/' || event_id || '.mp3' AS audio_url,
        props || ' ' || event_type AS text, event_id::VARCHAR AS more_info
 FROM events
@@ -1006,15 +1015,18 @@ def _example_pages(spark, sf):
         F.lit('"><div class="src ltr"><span class="text">'), e(first), F.lit('</span></div><div class="trg">'
                                                                           '<span class="text"><em>'),
         e(F.col("role")), F.lit("</em></span></div></div>"))
-    pages = (cv.select("conv_id", "turn", ex.alias("h"))
-             .groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "h"))).alias("x")))
+    block = F.floor(F.col("turn") / EXAMPLES_PER_PAGE).cast("long")
+    pages = (cv.select("conv_id", block.alias("block"), "turn", ex.alias("h"))
+             .groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "h"))).alias("x")))
     html = F.concat(F.lit('<html><body><section id="examples-content">'),
                     F.array_join(F.transform("x", lambda x: x["h"]), ""), F.lit("</section></body></html>"))
-    return pages.select(F.col("conv_id").cast("string").alias("url"), F.lit("w").alias("word"), html.alias("html"))
+    return pages.select(F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("url"),
+                        F.lit("w").alias("word"), html.alias("html"))
 
 
 @register("example_pairs", f"""
-SELECT conv_id::BIGINT AS conv_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS pos,
+SELECT conv_id || '/' || (turn // 50) AS url, conv_id::BIGINT AS conv_id,
+       (row_number() OVER (PARTITION BY conv_id, turn // 50 ORDER BY turn) - 1)::BIGINT AS pos,
        {_sql_em(f"string_split_regex(text, '{LB}')[1]")} AS src, {_sql_em('role')} AS trg
 FROM conversations
 QUALIFY src IS NOT NULL AND trg IS NOT NULL
@@ -1024,4 +1036,5 @@ def q_example_pairs(spark, sf):
     kept, pairs with an empty side dropped."""
     from ..operators.pages import example_pairs
     p = example_pairs(_example_pages(spark, sf))
-    return p.select(F.col("url").cast("long").alias("conv_id"), F.col("pos").cast("long"), "src", "trg")
+    return p.select("url", F.split_part("url", F.lit("/"), F.lit(1)).cast("long").alias("conv_id"),
+                    F.col("pos").cast("long"), "src", "trg")

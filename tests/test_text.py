@@ -116,3 +116,11 @@ def test_has_script(spark):
     df = spark.createDataFrame([("Hello", "ערוץ"), ("שלום", "x"), ("Hi", None)], "title string, channel string")
     got = [r.k for r in df.select((T.has_script("title") | T.has_script("channel")).alias("k")).collect()]
     assert got == [True, True, False]
+
+
+def test_construct_mark_strip_is_dead_code(spark):
+    """T4: stripping a trailing maqaf after folding changes nothing (fold
+    already removed it)."""
+    df = spark.createDataFrame([("חַבְרַת־",), ("א-",)], "w string")
+    got = [r.f for r in df.select(T.fold("w").alias("f")).collect()]
+    assert got == ["חברת", "א"] and all(not g.endswith("־") and not g.endswith("-") for g in got)

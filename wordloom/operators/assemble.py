@@ -50,7 +50,11 @@ def meaning_pairs(words: DataFrame, dictionary: DataFrame, prof="hebrew") -> Dat
 def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
              sources: DataFrame, prof="hebrew") -> DataFrame:
     """C8, nested output as the reference writes it: one row per listed word
-    (duplicates kept, D1) with ``meanings``, ``sentences`` and ``sources``.
+    (duplicates kept, D1) with ``meanings`` (J1, W1, A4 ordered list),
+    ``sentences`` (J2 left join) and ``sources`` (J3 left join, NULL when
+    absent). Each provider gives at most three examples per word (C5/C6),
+    so the per-word arrays are bounded in the reference's flow; for
+    providers without that cap use :func:`assemble_flat`.
 
     ``words``: from :func:`word_list`; ``sentences``: from
     ``sentence_rows``; ``sources``: from ``folded_sources``. The entry payload

@@ -45,7 +45,7 @@ def word_sources(corpora: dict[str, DataFrame], prof="hebrew", text_col: str = "
 
 
 def folded_sources(sources: DataFrame, prof="hebrew") -> DataFrame:
-    """A3: re-aggregate counts by the folded key; keys that fold to '' drop."""
+    """A3: re-aggregate counts by the folded key; keys that fold to '' drop."""
     bare = T.fold(F.col("word"), prof)
     return (sources.select(bare.alias("word"), *SOURCES, "total")
             .filter(F.length("word") > 0)

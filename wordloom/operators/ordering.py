@@ -46,7 +46,7 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], k:
 
 
 def sorted_list(values: Column, order: Sequence[str], drop: Sequence[str] = ()) -> Column:
-    """``collect_list`` of structs sorted by their leading ``order`` fields
+    """A4 ``collect_list`` of structs sorted by their leading ``order`` fields
     (structs compare field by field), with helper fields removed."""
     arr = F.array_sort(F.collect_list(values))
     if not drop:

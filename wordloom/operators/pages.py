@@ -66,7 +66,7 @@ def next_page(active_href: Column, links: Column, max_pages: int = T.MAX_LISTING
 
 
 def lexicon_items(pages: DataFrame) -> DataFrame:
-    """One HadshonItem per card (``category``, ``letter``, ``page`` kept)."""
+    """One HadshonItem per card (``category``, ``letter``, ``page`` kept)."""
     r = H.extract(pages, "lexicon", keep=("url", "category", "letter", "page"))
     return (r.select("url", "category", "letter", "page", "no_results", F.posexplode("cards").alias("card_pos", "c"))
             .select("url", "category", "letter", "page", "card_pos",
@@ -102,7 +102,7 @@ def text_until_marker(paragraphs: Column, marker: str = T.ARTICLE_MARKER) -> Col
 
 
 def articles(pages: DataFrame, marker: str = T.ARTICLE_MARKER) -> DataFrame:
-    """X5 + W8 + T14: ArticleItem per article page."""
+    """C16 / X5 + W8 + T14: ArticleItem per article page."""
     r = H.extract(pages, "article", keep=("url",))
     return r.select("url", "title", "category", "audio_urls",
                     text_until_marker(F.col("paragraphs"), marker).alias("text"),

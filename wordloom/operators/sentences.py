@@ -81,7 +81,7 @@ def fill_sentences(missing: DataFrame, api: DataFrame, html: DataFrame,
     API rows come first, HTML rows top up; pairs seen before are skipped;
     at most ``k`` per word (counted after cleaning and dedupe). Returns the
     new rows ``word, sentence, translation, tier, pos, rank``."""
-    words = missing.filter(F.col("word").isNotNull()).select("word").distinct()
+    words = missing.filter(F.col("word").isNotNull()).select("word").distinct()  # F9 key present
     if prior is not None:
         words = words.join(prior.select("word").distinct(), "word", "left_anti")
     tiers = [

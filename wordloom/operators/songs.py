@@ -82,7 +82,7 @@ def resolve_first_hit(songs: DataFrame, hits: DataFrame, errors: DataFrame | Non
     ``songs``: ``ord`` plus song columns, in input order; ``hits``: ``ord,
     hit_pos, path`` (search results); ``errors``: ``ord`` of failed calls.
     Each song takes its first hit (FOUND) or none (NOT FOUND / ERROR).
-    Processing stops at the ``cap``-th found song: songs after it are never
+    Processing stops at the ``cap``-th found song (O5 global cap): songs after it are never
     evaluated. The stop point is a bounded top-``cap`` over found ordinals,
     evaluated once as a scalar subquery (no global window, no cross join).
     Returns ``(found, tally)``."""

@@ -1038,3 +1038,12 @@ def q_example_pairs(spark, sf):
     p = example_pairs(_example_pages(spark, sf))
     return p.select("url", F.split_part("url", F.lit("/"), F.lit(1)).cast("long").alias("conv_id"),
                     F.col("pos").cast("long"), "src", "trg")
+
+
+@register("lexicon_stats", f"""
+SELECT (SELECT count(*) FROM benchmark)::BIGINT AS dict_entries,
+       (SELECT count(DISTINCT strip_accents(u.w)) FROM benchmark, unnest({tok('text')}) AS u(w))::BIGINT AS unique_forms
+""")
+def q_lexicon_stats(spark, sf):
+    """Dictionary cardinality and number of distinct indexed forms."""
+    return lexicon.cardinalities(C.dictionary(spark, sf), C.PROFILE)

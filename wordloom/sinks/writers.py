@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """K1 JSON lines, UTF-8, non-ASCII kept as is."""
+def write_json(df: DataFrame, path: str, order_by: str | None = None) -> None:
+    """K1 JSON lines, UTF-8, non-ASCII kept as is. ``order_by`` (O6): input
+    order restored at the sink only (a range-partitioned sort; part files
+    are in order)."""
+    if order_by:
+        df = df.orderBy(order_by)
     df.write.mode("overwrite").option("encoding", "UTF-8").json(path)
 
 

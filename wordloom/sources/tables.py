@@ -86,7 +86,8 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def payload_items(landing: DataFrame, body_schema, path: str, keep: list[str]) -> DataFrame:
-    """S6 nested API payload scan: ``landing`` holds one response body (JSON
+    """S6 nested API payload scan (and R3 paged drain: one landing row per
+    fetched page, ``page_no`` kept): ``landing`` holds one response body (JSON
     text) per row; the list under ``path`` (e.g. ``items``, ``response.hits``)
     becomes one row per element with its position; a missing list is empty.
     Parsing is row-local with an explicit schema (never inferred)."""

@@ -25,7 +25,7 @@ def entity_state(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
 
 
 def refresh_videos(state: DataFrame, today: DataFrame, run_date: str, prof="hebrew") -> DataFrame:
-    """C14 J6 + F1: trending videos whose title or channel has the script are
+    """C14 J6 + F1 + P1 (field projections): trending videos whose title or channel has the script are
     merged into the state. New → inserted with first_seen = last_seen =
     run_date; known → views, likes, last_seen refreshed (title, channel,
     comment_count keep old values, D10); not trending today → unchanged."""
@@ -66,7 +66,9 @@ def state_upsert_stream(spark: SparkSession, source: str, schema: StructType, ke
     """R2/R4/K8 streaming entity state through ``foreachBatch``: each
     micro-batch is folded into the previous state version and written as
     version ``batch_id`` (overwrite), so a replayed batch rewrites the same
-    version — idempotent under retries and restarts."""
+    version — idempotent under retries and restarts. A batch commits whole
+    or not at all, so a stop mid-run (quota) keeps every finished batch
+    (R5)."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         delta = entity_state(batch, key, ts, value).withColumn("_ts", F.lit(None).cast("timestamp"))
         delta = batch.groupBy(key).agg(F.max(ts).alias("_ts")).join(delta.drop("_ts"), key)

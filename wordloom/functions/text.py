@@ -17,20 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---------------------------------------------------------------------------
-# Fixed values that must equal the reference for equal results.
-# ---------------------------------------------------------------------------
-HEBREW_BLOCK = ("֐", "׿")        # token / clean_word range
-HEBREW_LETTERS = ("א", "ת")      # strip_niqqud keeps only these
-MAQAF = "־"
-EN_DASH = "–"
-LRM = "‎"                              # removed from song files
-FILENAME_FORBIDDEN = '\\/*?:"<>|'          # removed from song file names
-ARTICLE_MARKER = "ביאורי מילים"  # "word explanations"
-NO_RESULTS_TEXT = "לא נמצאו תוצאות"  # "no results found"
-EXAMPLES_PER_WORD = 3
-SONG_CAP = 500
-MAX_LISTING_PAGES = 650
+from ..constants import (  # noqa: F401  (re-exported fixed values)
+    ARTICLE_MARKER, EN_DASH, EXAMPLES_PER_WORD, FILENAME_FORBIDDEN, HEBREW_BLOCK, HEBREW_LETTERS, LRM, MAQAF,
+    MAX_LISTING_PAGES, NO_RESULTS_TEXT, SONG_CAP,
+)
 
 # Python's str.isspace() set, written as a regex class that Java and RE2 both
 # read the same way (Spark's trim only removes spaces).

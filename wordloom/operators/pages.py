@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..sources import html as H
 
-DICT_BASE = "https://www.pealim.com"  # fixed value: dictionary site root
-ARTICLE_BASE = "https://hadshon.education.gov.il"  # fixed value: lexicon site root
+from ..constants import DICT_BASE
+from ..constants import LEXICON_BASE as ARTICLE_BASE
 
 
 def dictionary_rows(pages: DataFrame, base_url: str = DICT_BASE) -> DataFrame:

@@ -571,9 +571,8 @@ def q_next_page(spark, sf):
 # ---------------------------------------------------------------------------
 # Seeds, nesting, merges, state
 # ---------------------------------------------------------------------------
-HEBREW_LETTERS_22 = ["א", "ב", "ג", "ד", "ה", "ו", "ז", "ח", "ט", "י", "כ",
-                     "ל", "מ", "נ", "ס", "ע", "פ", "צ", "ק", "ר", "ש", "ת"]  # fixed value: listing letters
-SEED_BASE = "https://hadshon.education.gov.il"  # fixed value: listing site root
+from ..constants import LEXICON_BASE as SEED_BASE  # noqa: E402
+from ..constants import LISTING_LETTERS as HEBREW_LETTERS_22  # noqa: E402
 
 
 @register("seed_urls", f"""

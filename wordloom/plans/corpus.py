@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import SENTENCE_SOURCES
 from ..functions import text as T
 from ..operators import frequency
 from ..sources.tables import spread, table, text_lines_of
@@ -75,4 +76,4 @@ def sentence_providers(spark, sf):
         first_token(F.col("line")).alias("word"), F.col("line").alias("sentence"),
         F.col("lang").alias("translation"),
         F.struct(F.col("doc_id").alias("a"), F.lit(0).cast("long").alias("b"), F.col("pos").alias("c")).alias("ord"))
-    return [("reverso", conv), ("tatoeba", docs)]
+    return list(zip(SENTENCE_SOURCES, [conv, docs]))

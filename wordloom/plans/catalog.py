@@ -186,10 +186,10 @@ def q_word_meanings(spark, sf):
 
 
 def vocab_flat(spark, sf) -> DataFrame:
-    # one tokenising pass, tokens cleaned before counting, feeds words and counts
-    ws = frequency.word_sources(C.corpora(spark, sf), C.PROFILE,
-                                key=lambda w: T.clean_word(w, C.PROFILE))
-    words = (lexicon.common_with_sources(ws, "songs", "youtube", C.PROFILE, cleaned=True)
+    # one tokenising pass feeds words and counts; raw spellings are counted
+    # first (map-side partial), so cleaning runs once per distinct spelling
+    ws = C.word_sources(spark, sf)
+    words = (lexicon.common_with_sources(ws, "songs", "youtube", C.PROFILE)
              .withColumnRenamed("word", "word_ord"))
     sents = sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE)
     return A.assemble_flat(words, C.dictionary(spark, sf), sents, None, C.PROFILE)

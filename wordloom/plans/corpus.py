@@ -24,11 +24,21 @@ from ..sources.tables import spread, table, text_lines_of
 PROFILE = "latin"
 
 
+def documents(spark, sf) -> DataFrame:
+    """documents spread for text work; one column set for every use so the
+    spread exchange is shared (reused) within a plan."""
+    return spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
+
+
+def conversations(spark, sf) -> DataFrame:
+    return spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+
+
 def corpora(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
-        "songs": spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id"),
+        "songs": documents(spark, sf),
         "news": table(spark, sf, "benchmark").select("text"),
-        "youtube": spread(table(spark, sf, "conversations").select("conv_id", "text"), "conv_id"),
+        "youtube": conversations(spark, sf),
     }
 
 
@@ -52,13 +62,11 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def conversation_lines(spark, sf) -> DataFrame:
-    conv = spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
-    return text_lines_of(conv, ["conv_id", "turn", "role"])
+    return text_lines_of(conversations(spark, sf), ["conv_id", "turn", "role"])
 
 
 def document_lines(spark, sf) -> DataFrame:
-    docs = spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
-    return text_lines_of(docs, ["doc_id", "lang"])
+    return text_lines_of(documents(spark, sf), ["doc_id", "lang"])
 
 
 def first_token(line) -> F.Column:

@@ -127,3 +127,12 @@ def test_common_from_sources_equals_intersect(corpora):
         corpora["songs"].select(F.explode(F.split("text", "[ ,]+")).alias("word")),
         corpora["youtube"].select(F.explode(F.split("text", "[ ,]+")).alias("form")), "hebrew").collect()}
     assert a == songs == {"חברה"}
+
+
+def test_unique_words_option(spark, corpora, dictionary, providers):
+    ws = frequency.word_sources(corpora, "hebrew")
+    cw = lexicon.common_words(ws, lexicon.all_forms(dictionary), "hebrew")
+    words = A.word_list(cw.select(F.col("word").alias("word_ord"), "word"), "hebrew")
+    sents = sentences.sentence_rows(providers, "hebrew")
+    v = A.assemble(words, dictionary, sents, frequency.folded_sources(ws, "hebrew"), "hebrew", unique_words=True)
+    assert sorted((r.word_ord, r.word) for r in v.collect()) == [("חברה", "חברה"), ("צהל", "צהל")]

@@ -47,8 +47,13 @@ def meaning_pairs(words: DataFrame, dictionary: DataFrame, prof="hebrew") -> Dat
     return keep_first(idx, ["bare", "uid"], ["ord"]).select("bare", "ord")
 
 
+def unique_by_key(words: DataFrame) -> DataFrame:
+    """D1 option: one row per folded key (the first listed word wins)."""
+    return keep_first(words, ["bare"], ["word_ord"])
+
+
 def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
-             sources: DataFrame, prof="hebrew") -> DataFrame:
+             sources: DataFrame, prof="hebrew", unique_words: bool = False) -> DataFrame:
     """C8, nested output as the reference writes it: one row per listed word
     (duplicates kept, D1) with ``meanings`` (J1, W1, A4 ordered list),
     ``sentences`` (J2 left join) and ``sources`` (J3 left join, NULL when
@@ -60,6 +65,8 @@ def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
     ``sentence_rows``; ``sources``: from ``folded_sources``. The entry payload
     (inflection tables) is joined once per (bare, entry) after dedupe. The
     arrays are bounded by the dictionary entries / sentences of one word."""
+    if unique_words:
+        words = unique_by_key(words)
     pairs = meaning_pairs(words, dictionary, prof)
     cols = [c for c in PAYLOAD if c in dictionary.columns]
     payload = dictionary.select("ord", *cols)
@@ -82,11 +89,13 @@ def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
 
 
 def assemble_flat(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
-                  sources: DataFrame | None, prof="hebrew") -> DataFrame:
+                  sources: DataFrame | None, prof="hebrew", unique_words: bool = False) -> DataFrame:
     """C8 in flat form: the same keep-first semantics, with per-word counts
     and first elements computed as aggregates (partial, skew-safe) instead
     of materialised arrays. With ``sources=None`` the words already carry
     their folded counts (see ``lexicon.common_with_sources``)."""
+    if unique_words:
+        words = unique_by_key(words)
     pairs = meaning_pairs(words, dictionary, prof)
     m = pairs.groupBy("bare").agg(F.count("*").alias("n_meanings"), F.min("ord").alias("first_meaning"))
     s = sentences.groupBy("bare").agg(

@@ -65,7 +65,7 @@ def test_song_lines_first_occurrence(spark):
                 seen.add(line)
                 exp.append((song, i, line))
     assert got == sorted(exp)
-    sh = S.shuffled(S.song_lines(df).select("line"), seed=7, partitions=3)
+    sh = S.shuffled(S.song_lines(df), seed=7, partitions=3)
     assert sorted(r.line for r in sh.collect()) == sorted(e[2] for e in exp)
 
 

@@ -1,0 +1,3 @@
+"""wordloom: vocabulary analytics on Spark (DataFrame / SQL / Structured Streaming)."""
+
+__version__ = "0.1.0"

@@ -15,10 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _names(cols: Sequence[str | Column]) -> list[str]:
-    return [c for c in cols if isinstance(c, str)]
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                last: bool = False) -> DataFrame:
     """One row per ``keys``: the row with the smallest (largest if ``last``)

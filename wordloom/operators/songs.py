@@ -29,11 +29,14 @@ def song_lines(songs: DataFrame, song_col: str = "song", text_col: str = "text")
 def shuffled(lines: DataFrame, seed: int = 0, partitions: int | None = None,
              col: str = "line") -> DataFrame:
     """O2/K2 random permutation without a global sort: rows are scattered by a
-    seeded random key and sorted within each partition; reading partitions in
-    order yields the permutation. Deterministic on task retry (the key is a
-    function of the seed, partition and row position)."""
+    seeded hash of the whole row and sorted by it within each partition;
+    reading partitions in order yields the permutation. The key is a pure
+    function of the row (not of its position), so a retried task after a lost
+    executor reproduces exactly the same assignment — no row lost or doubled.
+    Pass identifying columns (song, position) along so equal lines differ."""
     n = partitions or lines.sparkSession.sparkContext.defaultParallelism
-    return (lines.select(col, F.rand(seed).alias("_k"))
+    key = F.xxhash64(F.lit(seed), *[F.col(c) for c in lines.columns])
+    return (lines.select(col, key.alias("_k"))
             .repartition(n, "_k").sortWithinPartitions("_k").select(col))
 
 

@@ -422,7 +422,7 @@ def q_line_dedupe(spark, sf):
 def q_shuffled_lines(spark, sf):
     """O2 K2: the combined song corpus in random order (same multiset)."""
     from ..operators import songs
-    return songs.shuffled(_song_lines(spark, sf).select("line"), seed=42)
+    return songs.shuffled(_song_lines(spark, sf), seed=42)
 
 
 @register("split_title", f"""

@@ -18,10 +18,11 @@ from ..sinks.merge import upsert
 
 def entity_state(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """R2 batch form: per entity first/last seen day, latest value and count
-    (one partial + final aggregate)."""
+    (one partial + final aggregate). Events sharing the latest timestamp are
+    ordered by value, so the result is deterministic under retries."""
     return events.groupBy(key).agg(
         F.min(F.to_date(ts)).alias("first_seen"), F.max(F.to_date(ts)).alias("last_seen"),
-        F.max_by(value, ts).alias("last_value"), F.count("*").alias("n_events"))
+        F.max_by(value, F.struct(ts, value)).alias("last_value"), F.count("*").alias("n_events"))
 
 
 def refresh_videos(state: DataFrame, today: DataFrame, run_date: str, prof="hebrew") -> DataFrame:
@@ -77,7 +78,8 @@ def state_upsert_stream(spark: SparkSession, source: str, schema: StructType, ke
             both = prev.unionByName(delta)
             delta = both.groupBy(key).agg(
                 F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
-                F.max_by("last_value", "_ts").alias("last_value"), F.sum("n_events").alias("n_events"),
+                F.max_by("last_value", F.struct("_ts", "last_value")).alias("last_value"),
+                F.sum("n_events").alias("n_events"),
                 F.max("_ts").alias("_ts"))
         delta.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id:010d}")
 

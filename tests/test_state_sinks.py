@@ -163,3 +163,13 @@ def test_corpus_texts_and_song_lyrics(spark):
                                   "url string, artist string, title string")
     f = pages.song_lyrics(pg, songs).collect()
     assert [(r.file_name, r.body) for r in f] == [("AB - T.txt", "T? - A/B\n\nשורה")]
+
+
+def test_dedupe_stream_within_watermark(spark):
+    base = tempfile.mkdtemp(prefix="wl-wm-")
+    schema = "event_id long, ts timestamp"
+    t = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([(1, t), (1, t + dt.timedelta(minutes=1)), (2, t)], schema).write.parquet(f"{base}/in/a")
+    out = I.dedupe_stream(spark, f"{base}/in/*", spark.createDataFrame([], schema).schema, ["event_id"],
+                          f"{base}/out", f"{base}/ck", watermark=("ts", "1 hour"))
+    assert sorted(r.event_id for r in out.collect()) == [1, 2]

@@ -136,3 +136,12 @@ def test_unique_words_option(spark, corpora, dictionary, providers):
     sents = sentences.sentence_rows(providers, "hebrew")
     v = A.assemble(words, dictionary, sents, frequency.folded_sources(ws, "hebrew"), "hebrew", unique_words=True)
     assert sorted((r.word_ord, r.word) for r in v.collect()) == [("חברה", "חברה"), ("צהל", "צהל")]
+
+
+def test_harvest_key_unknown_schema(spark):
+    import json
+    doc = {"hebrew": " חֶבְרָה ", "x": [{"deep": {"hebrew": "חֲבָרוֹת"}}, {"hebrew": 5}, {"hebrew": ""}],
+           "tables": [{"rows": [{"cells": [{"hebrew": "חֶבְרַת־"}, {"hebrew": None}]}]}]}
+    df = spark.createDataFrame([(7, json.dumps(doc, ensure_ascii=False)), (8, None)], "ord long, doc string")
+    got = [(r.ord, r.pos, r.form) for r in lexicon.harvest_key(df, "doc").orderBy("pos").collect()]
+    assert got == [(7, 0, "חֶבְרָה"), (7, 1, "חֲבָרוֹת"), (7, 2, ""), (7, 3, "חֶבְרַת־")]

@@ -639,13 +639,16 @@ def _nested_orders(spark, sf):
         F.col("o_orderkey").alias("ord"), F.col("o_orderstatus").alias("hebrew"), "tables")
 
 
-@register("table_flatten", """
+ORACLE_TABLE_FLATTEN = """
 SELECT o_orderkey::BIGINT AS ord, 0::BIGINT AS pos, o_orderstatus AS form FROM orders
 UNION ALL
 SELECT l_orderkey::BIGINT, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag, l_linenumber, l_partkey)::BIGINT,
        l_partkey::VARCHAR
 FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
-""")
+"""
+
+
+@register("table_flatten", ORACLE_TABLE_FLATTEN)
 def q_table_flatten(spark, sf):
     """Nested tables/rows/cells built per order (bounded by its lines),
     then every form harvested depth-first."""
@@ -653,6 +656,14 @@ def q_table_flatten(spark, sf):
     return all_forms(_nested_orders(spark, sf))
 
 
+@register("json_harvest", ORACLE_TABLE_FLATTEN)
+def q_json_harvest(spark, sf):
+    """P4 (unknown schema): the nested order documents as JSON text, every
+    ``hebrew`` string harvested depth-first; equals the known-schema walk."""
+    docs = _nested_orders(spark, sf).select("ord", F.to_json(F.struct("hebrew", "tables")).alias("doc"))
+    return lexicon.harvest_key(docs, "doc", "hebrew", ("ord",))
+
+
 @register("attach_tables", """
 SELECT o.o_orderkey::BIGINT AS o_orderkey, count(DISTINCT l.l_returnflag)::BIGINT AS n_rows,
        count(*)::BIGINT AS n_cells, sum(l.l_quantity::BIGINT)::BIGINT AS sum_qty

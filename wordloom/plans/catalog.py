@@ -1057,3 +1057,69 @@ SELECT (SELECT count(*) FROM benchmark)::BIGINT AS dict_entries,
 def q_lexicon_stats(spark, sf):
     """Dictionary cardinality and number of distinct indexed forms."""
     return lexicon.cardinalities(C.dictionary(spark, sf), C.PROFILE)
+
+
+def _chart_pages(spark, sf):
+    """One chart page per region: a row per supplier of the region's nations,
+    ``<a>supplier</a> - <span>nation</span>`` in a ``td.text.mp div``."""
+    e = T.html_escape
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    rows = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+        "n_regionkey", "s_suppkey",
+        F.concat(F.lit('<tr><td class="text mp"><div><a href="/a">'), e(F.col("s_name")),
+                 F.lit("</a> - <span>"), e(F.col("n_name")), F.lit("</span></div></td></tr>")).alias("h"))
+    pages = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "h"))).alias("r"))
+    html = F.concat(F.lit("<html><body><table>"), F.array_join(F.transform("r", lambda x: x["h"]), ""),
+                    F.lit("</table></body></html>"))
+    return pages.select(F.col("n_regionkey").cast("string").alias("url"), html.alias("html"))
+
+
+@register("chart_songs", f"""
+SELECT n_regionkey::VARCHAR AS url,
+       (row_number() OVER (PARTITION BY n_regionkey ORDER BY s_suppkey) - 1)::INTEGER AS pos,
+       regexp_extract(t, '{{PAT}}', 1) AS artist, regexp_extract(t, '{{PAT}}', 2) AS title
+FROM (SELECT n_regionkey, s_suppkey, s_name || '-' || n_name AS t
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+QUALIFY regexp_matches(t, '{{PAT}}')
+""".replace("{PAT}", rf"^(.*?){WS}*-{WS}*(.*\p{{L}}.*)$"))
+def q_chart_songs(spark, sf):
+    """Chart cells parsed from rendered pages (text pieces joined
+    without separator) and split into artist and title."""
+    from ..operators import songs
+    from ..operators.pages import chart_texts
+    t = chart_texts(_chart_pages(spark, sf))
+    return songs.select_songs(t, "text", C.PROFILE).select("url", "pos", "artist", "title")
+
+
+def _lyric_pages(spark, sf):
+    """One lyrics page per document: every line a direct text node of the
+    lyrics container, separated by ``<br>``; one child element per page
+    (its text is not part of the lyrics)."""
+    e = T.html_escape
+    d = C.documents(spark, sf)
+    body = F.array_join(F.transform(T.split_lines(F.col("text")), lambda l: e(l)), "<br>")
+    html = F.concat(F.lit('<html><body><div data-lyrics-container="true">'), body,
+                    F.lit('<br><i>[chorus]</i></div></body></html>'))
+    return d.select(F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url"),
+                    "doc_id", "lang", html.alias("html"))
+
+
+@register("song_lyrics", f"""
+WITH j AS (SELECT doc_id, lang, source,
+                  array_to_string(list_filter(string_split_regex(text, '{LB}'), lambda x: x <> ''), chr(10)) AS t
+           FROM documents)
+SELECT lang || ' - ' || regexp_replace(source, '[\\\\/*?:"<>|]', '', 'g') || '.txt' AS file_name,
+       source || ' - ' || lang || chr(10) || chr(10) ||
+       {sql_strip(f"regexp_replace(regexp_replace(t, '\\\\[[^\\n]*?\\\\]', '', 'g'), '\\n{WS}*\\n', chr(10) || chr(10), 'g')")} AS body
+FROM j
+""")
+def q_song_lyrics(spark, sf):
+    """Lyric pages joined (inner) to the songs that
+    point at them, cleaned, with file name and body."""
+    from ..operators.pages import song_lyrics
+    pages = _lyric_pages(spark, sf)
+    songs = table(spark, sf, "documents").select(
+        F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url"),
+        F.col("lang").alias("artist"), F.col("source").alias("title"))
+    return song_lyrics(pages.select("url", "html"), songs).select("file_name", "body")

@@ -1123,3 +1123,34 @@ def q_song_lyrics(spark, sf):
         F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url"),
         F.col("lang").alias("artist"), F.col("source").alias("title"))
     return song_lyrics(pages.select("url", "html"), songs).select("file_name", "body")
+
+
+def _article_listing_pages(spark, sf):
+    """Article listing pages, 20 cards each (document id blocks); a card links
+    to its article only when the document is English (others have no href)."""
+    e = T.html_escape
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    href = F.when(F.col("lang") == "en", F.concat(F.lit(' href="/articles/'), F.col("doc_id").cast("string"),
+                                                 F.lit('"'))).otherwise(F.lit(""))
+    card = F.concat(F.lit('<div class="catalogItemContainer"><h2 class="insideTitle"><a'), href, F.lit(">"),
+                    e(F.col("source")), F.lit("</a></h2></div>"))
+    block = F.floor(F.col("doc_id") / CARDS_PER_PAGE).cast("long")
+    pages = (d.select(block.alias("block"), "doc_id", card.alias("h"))
+             .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("doc_id", "h"))).alias("c")))
+    html = F.concat(F.lit("<html><body>"), F.array_join(F.transform("c", lambda x: x["h"]), ""),
+                    F.lit("</body></html>"))
+    return pages.select(F.concat(F.lit("/articles/?page="), F.col("block").cast("string")).alias("url"),
+                        html.alias("html"))
+
+
+@register("article_links", f"""
+SELECT '/articles/?page=' || (doc_id // 20) AS url, pos::BIGINT AS pos,
+       '{SEED_BASE}/articles/' || doc_id AS article_url
+FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS pos FROM documents)
+WHERE lang = 'en'
+""")
+def q_article_links(spark, sf):
+    """Absolute article URLs from listing cards; cards without a
+    link are dropped."""
+    from ..operators.pages import article_urls
+    return article_urls(_article_listing_pages(spark, sf)).select("url", F.col("pos").cast("long"), "article_url")

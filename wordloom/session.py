@@ -44,14 +44,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage; it
-    is read, never replaced. Only when it is unset (local tests) a scratch
-    folder is created and registered.
+    is read, never replaced. Only when it is unset *and* the master is local
+    (tests, benchmarks) a scratch folder is created and registered; on a
+    cluster an unset value is an error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="wordloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -38,3 +38,25 @@ def test_dataset_end_to_end(spark):
         ("אודותיי", "no_sentence"), ("כתבתי", "no_valid_translation")]
     s = summary.first()
     assert (s.total_entries, s.multiple_meanings, s.with_sentences, s.not_found) == (3, 0, 3, 0)
+
+
+def test_dataset_resume_with_prior_output(spark):
+    """Words already in the prior provider-2 output are not refetched;
+    the prior rows are part of the provider's file (first in order)."""
+    listing = spark.createDataFrame([("https://www.pealim.com/dict/?page=1", LISTING)], "url string, html string")
+    word_pages = spark.createDataFrame([("https://www.pealim.com/dict/6009-av/", WORD_PAGE)], "url string, html string")
+    empty_resp = spark.createDataFrame([], f"word string, results {RESULT_T}")
+    landed = Landed(
+        listing_pages=listing, word_pages=word_pages,
+        song_lines=spark.createDataFrame([("אב כתבתי",)], "value string"),
+        articles=spark.createDataFrame([], "title string, text string"),
+        videos=spark.createDataFrame([], "comments array<struct<text:string>>"),
+        responses=empty_resp,
+        api_examples=spark.createDataFrame([("כתבתי", 0, "חדש", "new"), ("אב", 0, "אב חדש", "new")],
+                                           "word string, pos long, s_text string, t_text string"),
+        html_examples=spark.createDataFrame([], "word string, pos long, src string, trg string"),
+        prior_examples=spark.createDataFrame([("כתבתי", "ישן", "old")], "word string, sentence string, translation string"),
+    )
+    vocab, _, _ = build(landed)
+    got = {r.word: [s.sentence for s in r.sentences] for r in vocab.collect()}
+    assert got == {"אב": ["אב חדש"], "כתבתי": ["ישן"]}  # כתבתי skipped: already done

@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory())
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
@@ -77,5 +77,14 @@ def apply_defaults(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def driver_memory(cap_mb: int = 16384) -> str:
+    """Local-mode heap: 60% of physical memory, at most ``cap_mb``."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (1024 * 1024)
+    except (ValueError, OSError, AttributeError):
+        return f"{cap_mb}m"
+    return f"{max(1024, min(cap_mb, int(total * 0.6)))}m"
+
+
 def cpu_count() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

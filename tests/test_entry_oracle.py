@@ -61,8 +61,10 @@ def test_oracle_parity(spark, duck, name):
     assert _bag(df.columns, s_rows) == _bag(o_cols, o_rows)
 
 
-def test_partition_invariance(spark):
-    q = E.queries()["vocab"]
+@pytest.mark.parametrize("name", ["vocab", "sentence_lookup", "coverage", "sentences_fill", "line_dedupe",
+                                  "resolve_first_hit", "first_use"])
+def test_partition_invariance(spark, name):
+    q = E.queries()[name]
     got = []
     for n in (1, 8):
         spark.conf.set("spark.sql.shuffle.partitions", n)

@@ -513,7 +513,10 @@ def _pages(spark, sf):
 
 
 @register("page_titles", """
-SELECT page_id::BIGINT AS page_id, replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&') AS title
+SELECT page_id::BIGINT AS page_id,
+       replace(regexp_replace(replace(replace(replace(replace(
+         regexp_extract(html, '<title>(.*?)</title>', 1),
+         '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp$', '&'), '&amp;', '&') AS title
 FROM pages
 """)
 def q_page_titles(spark, sf):

@@ -43,7 +43,7 @@ BUCKETS = 64            # histogram buckets of the upper bound
 HEAVY_ROWS = 1 << 20    # most shingles in the broadcast table of frequent ones
 WINDOW = 1 << 21        # shingles counted together inside a task
 SUBSET_SIZES = 14       # no set above this size enumerates subsets
-HUB_ROUNDS = 2
+HUB_ROUNDS = 3
 SET_BITS = 24           # bits of the filter of classes whose sets are needed
 U64 = np.uint64
 
@@ -104,7 +104,7 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 # --- pass 2: postings ---------------------------------------------------------
-POSTINGS = pa.schema([("key", pa.int64()), ("cid", pa.int64()), ("n", pa.int32()), ("salt", pa.int32())])
+POSTINGS = pa.schema([("key", pa.int64()), ("cid", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("salt", pa.int32())])
 SALTS = 1024            # parts of a frequent shingle's list while lists are pruned
 
 
@@ -127,7 +127,7 @@ def _postings(shared, boundary: int):
         heavy, counts, present = shared.value
         seen: set[int] = set()  # classes of this task's split
         for b in common.slices(batches):
-            keys, cids, ns, salts = [], [], [], []
+            keys, cids, ns, places, salts = [], [], [], [], []
             for s in kernel.shingle_sets(b.column(0).to_pylist()):
                 n = len(s)
                 if not n or (cid := class_id(s)) in seen:
@@ -140,12 +140,14 @@ def _postings(shared, boundary: int):
                     ordered, light = _order(s, heavy, counts, present)
                     found.append((ordered[: n // 5 + 1], light))
                 for f, light in found:
+                    place = np.arange(len(f), dtype=np.int32)
                     keys.append(f)
                     cids.append(np.full(len(f), cid, np.int64))
                     ns.append(np.full(len(f), n, np.int32))
-                    salts.append(np.where(np.arange(len(f)) < light, 0, 1 + cid % SALTS).astype(np.int32))
+                    places.append(place if light <= n else place * 0)
+                    salts.append(np.where(place < light, 0, 1 + cid % SALTS).astype(np.int32))
             if keys:
-                yield common.batch(POSTINGS, np.concatenate(keys).view(np.int64), *map(np.concatenate, (cids, ns, salts)))
+                yield common.batch(POSTINGS, np.concatenate(keys).view(np.int64), *map(np.concatenate, (cids, ns, places, salts)))
     return run
 
 
@@ -268,11 +270,11 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
 
     join = _Join(docs, text, folder)
     classes = members.where("n > 0").groupBy("cid").agg(F.first("n").alias("n"), F.first("hist").alias("hist"))
-    postings = join.text.mapInArrow(_postings(shared, boundary), "key long, cid long, n int, salt int")
+    postings = join.text.mapInArrow(_postings(shared, boundary), "key long, cid long, n int, pos int, salt int")
     # lists with at least two classes; those of frequent shingles are kept unseen, in salted parts
     part = Window.partitionBy("key", "salt")
     lists = common.written(postings.withColumns({"lo": F.min("cid").over(part), "hi": F.max("cid").over(part)})
-                           .where("lo != hi or salt > 0").select("key", "cid", "n"), f"{folder}/lists")
+                           .where("lo != hi or salt > 0").select("key", "cid", "n", "pos"), f"{folder}/lists")
 
     label = None   # (v, c) of the classes linked so far
     links: DataFrame | None = None
@@ -282,15 +284,19 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
             own = lists.withColumn("c", F.col("cid"))
         else:
             own = lists.join(label.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
-        rank = F.struct(F.xxhash64("cid", F.lit(step)).alias("r"), F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"))
-        keys = own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(rank).alias("hub")).where("lo != hi")
+        # of two linked sets the shorter has a shared shingle among its first n / 9, so a list needs such a member
+        rank = F.struct(F.xxhash64("cid", F.lit(step)).alias("r"), F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos"))
+        keys = (own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.when(F.col("pos") <= F.col("n") / 9, rank)).alias("hub"))
+                .where("lo != hi and hub is not null"))
         if step < HUB_ROUNDS:
             pairs = own.join(keys.select("key", "hub.*"), "key").where("c != oc")
         else:
             still = common.written(own.join(keys.select("key"), "key", "left_semi").distinct(), f"{folder}/open")
-            other = still.select("key", F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"))
+            other = still.select("key", F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos"))
             pairs = still.join(other, "key").where("cid < o and c != oc")
-        pairs = pairs.where("5 * n >= 4 * on and 5 * on >= 4 * n").select(F.least("cid", "o").alias("a"), F.greatest("cid", "o").alias("b")).distinct()
+        # both must meet the required intersection from this shingle on
+        needed = "floor((4 * (n + on) + 8) / 9)"
+        pairs = pairs.where(f"pos + {needed} <= n and opos + {needed} <= on").select(F.least("cid", "o").alias("a"), F.greatest("cid", "o").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = common.written(pairs, f"{folder}/pairs-{step}")

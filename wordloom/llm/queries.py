@@ -4,9 +4,69 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordloom.llm import common, jaccard_join
+from wordloom.llm import common, jaccard_join, packing, page_diff, pii, quality, quotes, tiling, toxicity, transducer, warc
+
+BPE_FILE, BPE_SIZE = "byte_bpe_50k.json", 50_257
+PIECE_FILE = "piece_bpe_32k.model"
+TOXIC_SCORE = 0.7
+
+
+def held_out() -> Column:
+    """Whether a document's label is held out: crc32 of the id as text is 1 modulo 3."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+
+
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tiling.contamination(docs, common.table(spark, sf_dir, "benchmark"), common.run_folder(spark, "op1"))
+
+
+def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(common.table(spark, sf_dir, "conversations"), common.run_folder(spark, "op2"))
+
+
+def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = packing.write(docs, common.run_folder(spark, "op3"), public_tokenizers.path(BPE_FILE), BPE_SIZE)
+    return packing.digests(spark, manifest)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Fitted on the labelled documents that are not held out."""
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out())
+    return toxicity.train(common.table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.scores(docs, toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted"))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return transducer.encoded(docs, public_tokenizers.path(PIECE_FILE))
+
+
+def op6_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.verdicts(docs, common.run_folder(spark, "op6"))
+
+
+def op7_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.personal_data(docs, common.run_folder(spark, "op7"))
+
+
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archives = warc.write(pages, common.run_folder(spark, "op8"))
+    return (warc.read(spark, archives, payload=False).where("kind = 'record'")
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +74,26 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.component_table(docs, common.run_folder(spark, "op9"))
 
 
+def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return page_diff.main_texts(pages, common.run_folder(spark, "op10"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    f.__name__: f for f in (
+        op1_benchmark_decontamination, op2_quotation_linking, op3_bit_packing, op4_toxicity, op5_sentencepiece, op6_distribution_divergence,
+        op7_weak_supervision_pii, op8_warc_salvage, op9_ngram_jaccard_join, op10_page_differencing)
 }
 
-ORACLE: dict[str, str] = {}
+# DuckDB SQL of the queries that SQL expresses at full scale.
+ORACLE: dict[str, str] = {
+    "op8_warc_salvage": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+             d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(encode(html)) AS h FROM p),
+             top AS (SELECT h, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY h HAVING count(*) > 1)
+        SELECT d.page_id, CAST(d.n AS BIGINT) AS payload_bytes, d.h AS payload_digest,
+               CASE WHEN top.top IS NOT NULL AND top.top <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN top.top <> d.page_id THEN top.top END AS refers_to
+        FROM d LEFT JOIN top USING (h)
+    """,
+}

@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from wordloom.llm import common, stages
 
 STAGES = [
+    ("toxicity", stages.toxic),
     ("n-gram Jaccard join", stages.near_duplicates),
+    ("benchmark decontamination", stages.decontaminated),
+    ("PII", stages.without_personal_data),
+    ("SentencePiece encoding and decoding", stages.encoded),
 ]
 
 # No stage is expressible as one SQL statement; tests compare run() with a brute-force version.

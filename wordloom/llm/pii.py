@@ -46,10 +46,12 @@ PRIOR = 0.2             # share of candidates taken to be personal before any vo
 SECRET_WORDS = ["token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "api-key", "key", "auth", "bearer", "credential", "passwort", "contraseña", "clave"]
 PERSON_WORDS = ["ssn", "social security", "passport", "iban", "account", "card", "phone", "tel", "call", "mobile", "fax", "licence", "license", "konto", "telefon", "teléfono", "compte", "carte"]
 OTHER_WORDS = ["isbn", "issn", "doi", "page", "pages", "vol", "version", "commit", "sha", "md5", "checksum", "order", "invoice", "item", "sku", "price", "http", "www", "href", "src", "build"]
-# labelers are flag pairs (votes 1, votes 0); features are single flags
-LABELERS = [("shape_hex", "shape_word"), ("near_secret", "near_other"), ("near_person", "near_other"), ("assigned", "in_path"), ("number_sep", "number_round"), ("luhn", "number_round")]
+# labelers: flag that votes 1, flag that votes 0, P(1 | personal) and P(1 | not) before any data
+LABELERS = [("shape_hex", "shape_word", 0.9, 0.1), ("near_secret", "near_other", 0.8, 0.2), ("near_person", "near_other", 0.8, 0.2),
+            ("assigned", "in_path", 0.7, 0.3), ("number_sep", "number_round", 0.6, 0.4), ("luhn", "number_round", 0.95, 0.1)]
+STRENGTH = 10           # votes that the prior reliabilities are worth
 FEATURES = ["shape_hex", "mixed", "digits", "long", "near_secret", "near_person", "near_other", "assigned", "in_path", "quoted", "number_sep", "shape_word", "luhn"]
-FLAGS = sorted({f for pair in LABELERS for f in pair} | set(FEATURES))
+FLAGS = sorted({f for labeler in LABELERS for f in labeler[:2]} | set(FEATURES))
 
 SPAN = "struct<start:int,ord:int,stop:int,kind:string>"
 
@@ -161,8 +163,8 @@ def annotated(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 # --- labelers, expectation-maximisation, classifier -------------------------------
-def _vote(row: dict, pair: tuple[str, str]) -> int | None:
-    return 1 if row[pair[0]] else 0 if row[pair[1]] else None
+def _vote(row: dict, labeler: tuple) -> int | None:
+    return 1 if row[labeler[0]] else 0 if row[labeler[1]] else None
 
 
 def reliabilities(rows: list[dict], prior: float = PRIOR, rounds: int = 30) -> tuple[list[float], list[list[float]]]:
@@ -174,15 +176,17 @@ def reliabilities(rows: list[dict], prior: float = PRIOR, rounds: int = 30) -> t
     # start: the share of votes for 1, drawn to the prior where all abstain
     given = [[v for v in vs if v is not None] for vs in votes]
     p = [(prior + sum(v)) / (1 + len(v)) for v in given]
-    rates = [[0.7, 0.3] for _ in LABELERS]
+    rates = [[yes, no] for *_, yes, no in LABELERS]
     for _ in range(rounds):
-        for j in range(len(LABELERS)):
-            sums = [[1.0, 0.0], [0.0, 1.0]]  # smoothing: a labeler is better than chance
+        for j, (*_, yes, no) in enumerate(LABELERS):
+            sums = [[yes * STRENGTH, STRENGTH], [no * STRENGTH, STRENGTH]]   # [votes for 1, votes] among personal and others
             for q, r, vs in zip(p, rows, votes, strict=True):
                 if vs[j] is not None:
-                    sums[0][1 - vs[j]] += q * r["k"]
-                    sums[1][1 - vs[j]] += (1 - q) * r["k"]
-            rates[j] = [max(0.5, min(0.99, (a + 3) / (a + b + 4))) if c == 0 else min(0.5, max(0.01, (a + 1) / (a + b + 4))) for c, (a, b) in enumerate(sums)]
+                    for of, share in zip(sums, (q, 1 - q), strict=True):
+                        of[0] += share * r["k"] * vs[j]
+                        of[1] += share * r["k"]
+            # a labeler is better than chance
+            rates[j] = [min(0.99, max(0.5, sums[0][0] / sums[0][1])), min(0.5, max(0.01, sums[1][0] / sums[1][1]))]
         p = []
         for vs in votes:
             z = log(prior / (1 - prior))
@@ -193,15 +197,19 @@ def reliabilities(rows: list[dict], prior: float = PRIOR, rounds: int = 30) -> t
     return p, rates
 
 
-def span_classifier(rows: list[dict], p: list[float], steps: int = 500) -> tuple[float, dict[str, float]]:
-    """(bias, weight per feature) of a logistic regression on the estimated probabilities."""
+def span_classifier(rows: list[dict], p: list[float], steps: int = 2000) -> tuple[float, dict[str, float]]:
+    """(bias, weight per feature) of a logistic regression on the estimated probabilities.
+
+    A pattern weighs as the logarithm of its count, so that rare ones are learned too.
+    """
     w, bias = dict.fromkeys(FEATURES, 0.0), 0.0
-    total = sum(r["k"] for r in rows) or 1
+    weights = [log(1 + r["k"]) for r in rows]
+    total = sum(weights) or 1
     for _ in range(steps):
         g, g0 = dict.fromkeys(FEATURES, 0.0), 0.0
-        for r, q in zip(rows, p, strict=True):
+        for r, q, k in zip(rows, p, weights, strict=True):
             z = bias + sum(w[f] for f in FEATURES if r[f])
-            e = (1 / (1 + exp(-max(-30.0, min(30.0, z)))) - q) * r["k"] / total
+            e = (1 / (1 + exp(-max(-30.0, min(30.0, z)))) - q) * k / total
             g0 += e
             for f in FEATURES:
                 if r[f]:

@@ -54,5 +54,11 @@ def test_writers_roundtrip(spark):
     assert sorted(r.value for r in spark.read.text(f"{d}/lines").collect()) == ["חברה", "צהל"]
     files = S.lyric_files(spark.createDataFrame([("A:B", "T?", "שורה")], "artist string, title string, lyrics string"))
     W.write_song_files(files, f"{d}/songs")
-    got = spark.read.text(f"{d}/songs", wholetext=True).select("value", "file_name").collect()
-    assert [(r.file_name, r.value) for r in got] == [("AB - T.txt", "T? - A:B\n\nשורה\n")]
+    assert {p: open(f"{d}/songs/{p}", encoding="utf-8").read() for p in os.listdir(f"{d}/songs")} == {"AB - T.txt": "T? - A:B\n\nשורה"}
+
+
+def test_song_file_of_one_name_is_replaced_by_the_last(spark):
+    d = tempfile.mkdtemp(prefix="wl-songs-")
+    files = spark.createDataFrame([("x.txt", "first", 0), ("x.txt", "last", 2), ("x.txt", "mid", 1), ("y.txt", "y", 0)], "file_name string, body string, ord long")
+    W.write_song_files(files, f"{d}/songs")
+    assert {p: open(f"{d}/songs/{p}").read() for p in os.listdir(f"{d}/songs")} == {"x.txt": "last", "y.txt": "y"}

@@ -50,23 +50,21 @@ def test_song_lines_first_occurrence(spark):
     text = "‎שיר [פזמון\nחוזר]\n  שורה אחת - אמן  \nשורה אחת\n\nשורה שתיים\nשורה אחת"
     df = spark.createDataFrame([("s1", text), ("s2", "שורה אחת")], "song string, text string")
     got = sorted((r.song, r.pos, r.line) for r in S.song_lines(df).collect())
-    # restated loop
-    import re
-    exp = []
-    for song, t in [("s1", text), ("s2", "שורה אחת")]:
-        t = re.sub(r"\[.*?\]", "", t.replace("‎", ""), flags=re.DOTALL)
-        seen = set()
-        for i, line in enumerate(t.splitlines()):
-            line = line.strip()
-            if not line:
-                continue
-            line = re.sub(r"\s*[-–]\s*[\w\s'״&]+$", "", line).strip()
-            if line and line not in seen:
-                seen.add(line)
-                exp.append((song, i, line))
-    assert got == sorted(exp)
-    sh = S.shuffled(S.song_lines(df), seed=7, partitions=3)
-    assert sorted(r.line for r in sh.collect()) == sorted(e[2] for e in exp)
+    assert got == [("s1", 1, "שורה אחת"), ("s1", 4, "שורה שתיים"), ("s2", 0, "שורה אחת")]
+    sh = S.shuffled(S.song_lines(df), seed=7)
+    assert sorted(r.line for r in sh.collect()) == sorted(e[2] for e in got)
+    many = S.song_lines(spark.createDataFrame([("s", "\n".join(f"l{k}" for k in range(200)))], "song string, text string"))
+    one, two = ([r.line for r in S.shuffled(many, seed=k).collect()] for k in (1, 2))
+    assert one != two and one != sorted(one) and sorted(one) == sorted(two)
+
+
+def test_resolve_without_budget_tells_errors_apart(spark):
+    songs = spark.createDataFrame([(k, f"a{k}") for k in range(4)], "ord long, artist string")
+    hits = spark.createDataFrame([(0, 1, "/x"), (0, 0, "/y")], "ord long, hit_pos long, path string")
+    errors = spark.createDataFrame([(1, "ERROR"), (2, "EXCEPTION")], "ord long, error string")
+    found, tally = S.resolve_first_hit(songs, hits, errors)
+    assert [(r.ord, r.url) for r in found.collect()] == [(0, "/y")]
+    assert {r.outcome: r.n for r in tally.collect()} == {"FOUND": 1, "ERROR": 1, "EXCEPTION": 1, "NOT FOUND": 1}
 
 
 def test_resolve_first_hit_stops_at_cap(spark):

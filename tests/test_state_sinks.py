@@ -46,6 +46,23 @@ def test_upsert_keeps_flag(spark):
     assert got == [("a", True, "n1", "update"), ("b", False, "d2", "keep"), ("c", True, "n3", "insert")]
 
 
+def test_upsert_takes_the_last_of_repeated_keys(spark):
+    t = spark.createDataFrame([("a", True, "d1")], "word string, flag boolean, data string")
+    u = spark.createDataFrame([("a", False, "n1", 1), ("a", False, "n2", 2), ("c", True, "n4", 9), ("c", True, "n3", 3)], "word string, flag boolean, data string, ord long")
+    got = sorted(tuple(r) for r in upsert(t, u, "word", replace=["data"], order="ord").collect())
+    assert got == [("a", True, "n2", "update"), ("c", True, "n4", "insert")]
+
+
+def test_video_and_comment_payloads(spark):
+    body = '{"id": "v1", "snippet": {"title": "t", "channelTitle": "c", "publishedAt": "2026-03-01T10:00:00Z"}, "statistics": {"viewCount": "7"}}'
+    schema = "id string, snippet struct<title:string,channelTitle:string,publishedAt:string>, statistics struct<viewCount:string,likeCount:string,commentCount:string>"
+    raw = spark.createDataFrame([(body,)], "b string").select(F.from_json("b", schema).alias("p")).select("p.*")
+    assert tuple(I.video_fields(raw).first()) == ("v1", "t", "c", dt.date(2026, 3, 1), 7, 0, 0)
+    top = "struct<id:string,snippet:struct<authorDisplayName:string,textDisplay:string,likeCount:int,publishedAt:string>>"
+    c = spark.createDataFrame([("v1", 0, (("c1", ("me", "hi", 3, "2026-03-02T00:00:00Z")),))], f"video_id string, ord long, snippet struct<topLevelComment:{top}>")
+    assert tuple(I.comment_fields(c).first()) == ("v1", 0, "c1", "me", "hi", 3, dt.date(2026, 3, 2))
+
+
 def test_dedupe_stream_restart(spark):
     base = tempfile.mkdtemp(prefix="wl-stream-")
     schema = "event_id long, v string"

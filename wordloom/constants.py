@@ -7,7 +7,6 @@ package is derived by rule (fold tables from the Unicode database, etc.).
 # --- fixed values ----------------------------------------------------------
 HEBREW_BLOCK = ("֐", "׿")      # token and clean_word range
 HEBREW_LETTERS = ("א", "ת")    # strip_niqqud keeps only these
-MAQAF = "־"
 EN_DASH = "–"
 LRM = "‎"                            # removed from song files
 FILENAME_FORBIDDEN = '\\/*?:"<>|'         # removed from song file names
@@ -19,6 +18,4 @@ DICT_BASE = "https://www.pealim.com"      # dictionary site root (absolute word
 LEXICON_BASE = "https://hadshon.education.gov.il"  # lexicon / article site root
 SENTENCE_SOURCES = ("reverso", "tatoeba")  # provider names, in priority order
 EXAMPLES_PER_WORD = 3
-SONG_CAP = 500
-MAX_LISTING_PAGES = 650
 # ---------------------------------------------------------------------------

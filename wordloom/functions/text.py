@@ -18,8 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import (  # noqa: F401  (re-exported fixed values)
-    ARTICLE_MARKER, EN_DASH, EXAMPLES_PER_WORD, FILENAME_FORBIDDEN, HEBREW_BLOCK, HEBREW_LETTERS, LRM, MAQAF,
-    MAX_LISTING_PAGES, NO_RESULTS_TEXT, SONG_CAP,
+    ARTICLE_MARKER, EN_DASH, EXAMPLES_PER_WORD, FILENAME_FORBIDDEN, HEBREW_BLOCK, HEBREW_LETTERS, LRM, NO_RESULTS_TEXT,
 )
 
 # Python's str.isspace() set, written as a regex class that Java and RE2 both
@@ -97,14 +96,15 @@ def _combining_class_in(lo: int, hi: int) -> str:
 @functools.lru_cache(maxsize=None)
 def hebrew() -> ScriptProfile:
     heb_map = fold_table(False, False, 0x0590, 0x05FF)
+    block, letters = "-".join(HEBREW_BLOCK), "-".join(HEBREW_LETTERS)
     return ScriptProfile(
         name="hebrew",
-        token=r"[\x{0590}-\x{05FF}]+",
-        separator=r"[^\x{0590}-\x{05FF}]+",
-        letter_drop=r"[^\x{05D0}-\x{05EA}]",
-        clean_drop=r"[^\x{0590}-\x{05FF}]|" + _combining_class_in(0x0590, 0x05FF),
-        has_script=r"[\x{0590}-\x{05FF}]",
-        letter=r"[\x{0590}-\x{05FF}]",
+        token=f"[{block}]+",
+        separator=f"[^{block}]+",
+        letter_drop=f"[^{letters}]",
+        clean_drop=f"[^{block}]|" + _combining_class_in(0x0590, 0x05FF),
+        has_script=f"[{block}]",
+        letter=f"[{block}]",
         fold_map=heb_map,
         clean_map=heb_map,
     )
@@ -212,8 +212,8 @@ def collapse_blank_lines(x) -> Column:
 # T8 pattern: Python's \w / \s are Unicode-aware, Java's and RE2's are not, so
 # the classes are spelled out: \w = letters, numbers, '_' (marks excluded).
 _WS_BODY = WS_CLASS[1:-1]
-TRAILING_ARTIST = (WS_CLASS + r"*[-\x{2013}]" + WS_CLASS + r"*[\p{L}\p{N}_" + _WS_BODY
-                   + r"'\x{05F4}&]+$")
+TRAILING_ARTIST = (WS_CLASS + r"*[-–]" + WS_CLASS + r"*[\p{L}\p{N}_" + _WS_BODY
+                   + r"'״&]+$")
 
 
 def strip_trailing_artist(line) -> Column:
@@ -247,7 +247,7 @@ def join_nonempty(arr, sep: str = " ") -> Column:
 
 def sanitize_filename(x) -> Column:
     """T15 remove characters not allowed in file names."""
-    return F.regexp_replace(_c(x), r'[\\/*?:"<>|]', "")
+    return F.translate(_c(x), FILENAME_FORBIDDEN, "")
 
 
 def absolute_url(base: str, href) -> Column:

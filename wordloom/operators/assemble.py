@@ -20,12 +20,13 @@ PAYLOAD = ("hebrew", "transcription", "root", "part_of_speech", "meaning", "audi
 
 def extract_word(word) -> F.Column:
     """S5 ``extract_word_string``: a plain string, or a JSON object text whose
-    first present key among word/hebrew/text gives the word; stripped. An
-    object with none of the keys raises."""
+    first present key among word/hebrew/text gives the word, whatever its value
+    (a JSON null reads "None"); stripped. An object with none of the keys raises."""
     w = F.col(word) if isinstance(word, str) else word
     v = F.try_parse_json(w)
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    obj_word = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("word", "hebrew", "text")])
+    obj_word = F.coalesce(*[F.when(F.try_variant_get(v, f"$.{k}", "variant").isNotNull(), F.coalesce(F.try_variant_get(v, f"$.{k}", "string"), F.lit("None")))
+                            for k in ("word", "hebrew", "text")])
     picked = F.when(is_obj & obj_word.isNull(),
                     F.raise_error(F.concat(F.lit("Cannot extract word from entry: "), w)).cast("string"))
     return T.strip(F.when(is_obj, F.coalesce(obj_word, picked)).otherwise(w))
@@ -36,14 +37,15 @@ def word_list(raw: DataFrame, prof="hebrew") -> DataFrame:
     return raw.select("word_ord", T.fold(extract_word("word"), prof).alias("bare"))
 
 
-def meaning_pairs(words: DataFrame, dictionary: DataFrame, prof="hebrew") -> DataFrame:
+def meaning_pairs(words: DataFrame | None, dictionary: DataFrame, prof="hebrew") -> DataFrame:
     """J1 + W1: ``(bare, ord)`` of every entry having a form that folds to a
     listed word, first entry per ``uid`` only. Ids only — no payload.
 
-    The index is built from the dictionary alone (the small, bounded side);
-    it is not pre-filtered by the word list, which would evaluate the whole
-    corpus plan a second time."""
+    Forms nobody listed are dropped by a semi-join before anything else; with
+    ``words=None`` the caller's own join with the word list drops them."""
     idx = form_index(dictionary, prof)
+    if words is not None:
+        idx = idx.join(words.select("bare").distinct(), "bare", "left_semi")
     return keep_first(idx, ["bare", "uid"], ["ord"]).select("bare", "ord")
 
 
@@ -96,7 +98,9 @@ def assemble_flat(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
     their folded counts (see ``lexicon.common_with_sources``)."""
     if unique_words:
         words = unique_by_key(words)
-    pairs = meaning_pairs(words, dictionary, prof)
+    # only ids are counted here, and the join below drops unlisted forms: the
+    # word list, a corpus-sized plan, is not evaluated a second time for it
+    pairs = meaning_pairs(None, dictionary, prof)
     m = pairs.groupBy("bare").agg(F.count("*").alias("n_meanings"), F.min("ord").alias("first_meaning"))
     s = sentences.groupBy("bare").agg(
         F.count("*").alias("n_sentences"),

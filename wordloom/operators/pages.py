@@ -1,8 +1,8 @@
 """Column-side assembly of extracted HTML pieces.
 
-The extraction job (``sources.html.extract``) returns raw text nodes; the
-reference's item processors (strip, join, take-first, defaults) are applied
-here as built-in Column expressions.
+``sources.markup.extract`` returns raw text nodes; the item processors (strip,
+join, take-first, defaults) are applied here. Functions named ``*_items`` take
+pieces from any table, not only from pages.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..sources import html as H
+from ..sources import markup as H
 
 from ..constants import DICT_BASE
 from ..constants import LEXICON_BASE as ARTICLE_BASE
@@ -21,7 +21,12 @@ def dictionary_rows(pages: DataFrame, base_url: str = DICT_BASE) -> DataFrame:
     """X1 + item processors: one ``dict_entry`` row per listing table row,
     ordinal = (page url order, row position). Fields emptied by TakeFirst
     are NULL (absent in the reference item)."""
-    r = H.extract(pages, "dict_rows", keep=("url",))
+    return dictionary_items(H.extract(pages, "dict_rows", keep=("url",)), base_url)
+
+
+def dictionary_items(r: DataFrame, base_url: str = DICT_BASE) -> DataFrame:
+    """X1 item processors over pieces (``url, item`` and the node arrays of a listing row). The transcription is
+    joined, not taken first: blank nodes give ''."""
     trans_nodes = F.col("transcription_nodes")
     trans = F.when(F.size(trans_nodes) > 0, F.array_join(F.filter(
         F.transform(trans_nodes, lambda v: T.strip(v)), lambda v: v != ""), "")).otherwise(F.lit("-"))
@@ -33,7 +38,7 @@ def dictionary_rows(pages: DataFrame, base_url: str = DICT_BASE) -> DataFrame:
     return r.select(
         "url", F.col("item").cast("long").alias("row"),
         T.first_nonempty(F.transform("hebrew_parts", lambda v: T.strip(v))).alias("hebrew"),
-        T.first_nonempty(F.array(T.join_pieces(F.array(T.strip(trans))))).alias("transcription"),
+        T.strip(trans).alias("transcription"),
         T.first_nonempty(F.array(T.strip(root))).alias("root"),
         T.first_nonempty(F.array(T.normalize_dash(T.strip(pos)))).alias("part_of_speech"),
         T.first_nonempty(F.transform("meaning_parts", lambda v: T.strip(v))).alias("meaning"),
@@ -54,22 +59,31 @@ def build_dictionary(listing_pages: DataFrame, word_pages: DataFrame, base_url:
     return rows.join(tables, "word_url", "inner")
 
 
-def next_page(active_href: Column, links: Column, max_pages: int = T.MAX_LISTING_PAGES,
+def next_page(active_href: Column, links: Column, max_pages: int | None = None,
               crawled: Column | None = None) -> Column:
     """The link to page N+1 (N = number after the last '=' of the
-    active link), or NULL; no link once ``crawled`` reaches ``max_pages``."""
+    active link), or NULL. With ``max_pages``, no link once that many pages
+    were ``crawled`` (off by default)."""
     cur = F.element_at(F.split(active_href, "="), -1).try_cast("int")
     want = F.concat(F.lit("?page="), (cur + 1).cast("string"))
     nxt = F.get(F.filter(links, lambda h: F.instr(h, want) > 0), 0)
-    ok = F.lit(True) if crawled is None else crawled < max_pages
+    ok = F.lit(True) if crawled is None or max_pages is None else crawled < max_pages
     return F.when(ok & cur.isNotNull(), nxt)
 
 
 def lexicon_items(pages: DataFrame) -> DataFrame:
-    """One HadshonItem per card (``category``, ``letter``, ``page`` kept)."""
+    """One item per card (``category``, ``letter``, ``page`` kept) of
+    the pages before the end of their listing (F7)."""
     r = H.extract(pages, "lexicon", keep=("url", "category", "letter", "page"))
-    return (r.select("url", "category", "letter", "page", "no_results", F.posexplode("cards").alias("card_pos", "c"))
-            .select("url", "category", "letter", "page", "card_pos",
+    end = _listing_end(r)
+    before = (r.join(end, ["category", "letter"], "left")
+              .where(F.col("end_page").isNull() | (F.col("page") < F.col("end_page"))))
+    return card_items(before.select("url", "category", "letter", "page", F.posexplode("cards").alias("card_pos", "c")))
+
+
+def card_items(cards: DataFrame) -> DataFrame:
+    """X4 item processors over cards ``c`` (hebrew, audio_url, text_parts, more_parts)."""
+    return (cards.select("url", "category", "letter", "page", "card_pos",
                     T.strip(F.col("c.hebrew")).alias("hebrew"), F.coalesce("c.audio_url", F.lit("")).alias("audio_url"),
                     T.join_nonempty(F.col("c.text_parts"), " ").alias("text"),
                     T.join_nonempty(F.col("c.more_parts"), " ").alias("more_info")))
@@ -77,18 +91,20 @@ def lexicon_items(pages: DataFrame) -> DataFrame:
 
 def listing_extent(pages: DataFrame) -> DataFrame:
     """Per (category, letter) the pages crawled before the first page
-    that says "no results" or has no cards; cards per page. The window runs
-    over at most one row per page of one listing."""
+    that says "no results" or has no cards; cards per page."""
     r = H.extract(pages, "lexicon", keep=("url", "category", "letter", "page"))
-    per_page = r.select("category", "letter", "page",
-                        (F.col("no_results") | (F.size("cards") == 0)).alias("empty"),
-                        F.size("cards").alias("n_cards"))
-    end = per_page.where("empty").groupBy("category", "letter").agg(F.min("page").alias("end_page"))
-    return (per_page.join(end, ["category", "letter"], "left")
+    per_page = r.select("category", "letter", "page", F.size("cards").alias("n_cards"))
+    return (per_page.join(_listing_end(r), ["category", "letter"], "left")
             .where(F.col("end_page").isNull() | (F.col("page") < F.col("end_page")))
             .select("category", "letter", "page", "n_cards"))
 
 
+def _listing_end(r: DataFrame) -> DataFrame:
+    """Per listing its first page without results (no row for a listing without one)."""
+    return (r.where(F.col("no_results") | (F.size("cards") == 0))
+            .groupBy("category", "letter").agg(F.min("page").alias("end_page")))
+
+
 def text_until_marker(paragraphs: Column, marker: str = T.ARTICLE_MARKER) -> Column:
     """W8 row-local: paragraph texts (pieces stripped, space-joined) up to the
     first paragraph containing ``marker``; of that one only the part before

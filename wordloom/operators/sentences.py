@@ -92,14 +92,13 @@ def fill_sentences(missing: DataFrame, api: DataFrame, html: DataFrame,
     ]
     c = reduce(DataFrame.unionByName, tiers).filter(
         F.col("sentence").isNotNull() & F.col("translation").isNotNull())
-    # Reduce before any join: a repeated (word, sentence) pair or a hot word
-    # is cut down map-side (partial keep-first, partial top-k), then the
-    # word filters drop whole words, which commutes with both steps.
+    # the few missing words first: what is not asked for is never shuffled by
+    # its text; then a hot word is cut down map-side (partial keep-first, top-k)
+    c = c.join(words, "word", "left_semi")
     c = keep_first(c, ["word", "sentence"], ["tier", "pos"])
     if prior is not None:
         c = c.join(prior.select("word", "sentence"), ["word", "sentence"], "left_anti")
-    c = top_k(c, ["word"], ["tier", "pos"], k)
-    return c.join(words, "word", "left_semi")
+    return top_k(c, ["word"], ["tier", "pos"], k)
 
 
 def coverage(words: DataFrame, kept: DataFrame, has_results: DataFrame) -> DataFrame:

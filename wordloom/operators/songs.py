@@ -26,18 +26,16 @@ def song_lines(songs: DataFrame, song_col: str = "song", text_col: str = "text")
     return keep_first(lines, ["song", "line"], ["pos"])
 
 
-def shuffled(lines: DataFrame, seed: int = 0, partitions: int | None = None,
-             col: str = "line") -> DataFrame:
+def shuffled(lines: DataFrame, seed: int = 0, col: str = "line") -> DataFrame:
     """O2/K2 random permutation without a global sort: rows are scattered by a
     seeded hash of the whole row and sorted by it within each partition;
     reading partitions in order yields the permutation. The key is a pure
     function of the row (not of its position), so a retried task after a lost
     executor reproduces exactly the same assignment — no row lost or doubled.
     Pass identifying columns (song, position) along so equal lines differ."""
-    n = partitions or lines.sparkSession.sparkContext.defaultParallelism
     key = F.xxhash64(F.lit(seed), *[F.col(c) for c in lines.columns])
     return (lines.select(col, key.alias("_k"))
-            .repartition(n, "_k").sortWithinPartitions("_k").select(col))
+            .repartition("_k").sortWithinPartitions("_k").select(col))
 
 
 def clean_lyrics(parts: Column) -> Column:
@@ -52,12 +50,15 @@ def lyric_files(lyrics: DataFrame) -> DataFrame:
     """C11 file body and sanitised file name (K6): ``title - artist\\n\\nlyrics``
     stored as ``<artist> - <title>.txt``."""
     return lyrics.select(
-        "artist", "title",
-        F.concat(T.sanitize_filename(F.col("artist")), F.lit(" - "),
-                 T.sanitize_filename(F.col("title")), F.lit(".txt")).alias("file_name"),
+        "artist", "title", file_name(F.col("artist"), F.col("title")).alias("file_name"),
         F.concat(F.col("title"), F.lit(" - "), F.col("artist"), F.lit("\n\n"), F.col("lyrics")).alias("body"))
 
 
+def file_name(artist: Column, title: Column) -> Column:
+    """T15 ``<artist> - <title>.txt`` without characters that file names may not have."""
+    return F.concat(T.sanitize_filename(artist), F.lit(" - "), T.sanitize_filename(title), F.lit(".txt"))
+
+
 def split_pattern(prof="hebrew") -> str:
     """F2 ``artist - title``: lazy artist, title holding a script letter."""
     ws = T.WS_CLASS
@@ -79,28 +80,32 @@ def search_query(title, artist) -> Column:
 
 
 def resolve_first_hit(songs: DataFrame, hits: DataFrame, errors: DataFrame | None = None,
-                      cap: int = T.SONG_CAP, base_url: str = "") -> tuple[DataFrame, DataFrame]:
+                      cap: int | None = None, base_url: str = "") -> tuple[DataFrame, DataFrame]:
     """C13 (W10, A10, W6).
 
     ``songs``: ``ord`` plus song columns, in input order; ``hits``: ``ord,
-    hit_pos, path`` (search results); ``errors``: ``ord`` of failed calls.
-    Each song takes its first hit (FOUND) or none (NOT FOUND / ERROR).
-    Processing stops at the ``cap``-th found song (O5 global cap): songs after it are never
-    evaluated. The stop point is a bounded top-``cap`` over found ordinals,
+    hit_pos, path`` (search results); ``errors``: ``ord`` of failed calls and,
+    where known, ``error`` ('ERROR' for an HTTP status, 'EXCEPTION' otherwise).
+    Each song takes its first hit (FOUND) or none (NOT FOUND or its error).
+    With ``cap`` (an API budget, off by default) processing stops at the
+    ``cap``-th found song (O5): songs after it are never evaluated. The stop point is a bounded top-``cap`` over found ordinals,
     evaluated once as a scalar subquery (no global window, no cross join).
     Returns ``(found, tally)``."""
     first = hits.groupBy("ord").agg(F.min(F.struct("hit_pos", "path")).alias("_h"))
     s = songs.join(first, "ord", "left")
     if errors is not None:
-        s = s.join(errors.select("ord", F.lit(True).alias("_err")).distinct(), "ord", "left")
+        kind = F.col("error") if "error" in errors.columns else F.lit("ERROR")
+        s = s.join(errors.select("ord", kind.alias("_err")).groupBy("ord").agg(F.min("_err").alias("_err")), "ord", "left")
     else:
-        s = s.withColumn("_err", F.lit(None).cast("boolean"))
-    outcome = (F.when(F.col("_err"), F.lit("ERROR"))
+        s = s.withColumn("_err", F.lit(None).cast("string"))
+    outcome = (F.when(F.col("_err").isNotNull(), F.col("_err"))
                .when(F.col("_h").isNotNull(), F.lit("FOUND")).otherwise(F.lit("NOT FOUND")))
     s = s.withColumn("outcome", outcome)
-    found_ords = s.where(F.col("outcome") == "FOUND").select("ord").orderBy("ord").limit(cap)
-    stop = found_ords.agg(F.when(F.count("*") >= cap, F.max("ord")).alias("stop")).scalar()
-    evaluated = s.where(stop.isNull() | (F.col("ord") <= stop))
+    evaluated = s
+    if cap is not None:
+        found_ords = s.where(F.col("outcome") == "FOUND").select("ord").orderBy("ord").limit(cap)
+        stop = found_ords.agg(F.when(F.count("*") >= cap, F.max("ord")).alias("stop")).scalar()
+        evaluated = s.where(stop.isNull() | (F.col("ord") <= stop))
     found = (evaluated.where(F.col("outcome") == "FOUND")
              .withColumn("url", F.concat(F.lit(base_url), F.col("_h.path")))
              .withColumn("first_hit", F.col("_h.hit_pos"))

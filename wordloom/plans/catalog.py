@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import assemble as A
-from ..operators import frequency, lexicon, sentences
+from ..operators import frequency, lexicon, pages, sentences, songs
 from ..operators.ordering import keep_first, top_k
-from ..sources.tables import spread, table
+from ..sources import markup
+from ..sources.tables import table, text_lines_of
 from . import corpus as C
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,8 +120,7 @@ def q_folded_sources(spark, sf):
 
 
 def _tokens_of(spark, sf, name) -> DataFrame:
-    key = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id"}[name]
-    return spread(table(spark, sf, name).select(key, "text"), key).select(
+    return table(spark, sf, name).select(
         F.explode(T.tokens(F.col("text"), C.PROFILE)).alias("word"))
 
 
@@ -218,6 +218,34 @@ def q_vocab(spark, sf):
     return vocab_flat(spark, sf).drop("word_ord")
 
 
+@register("dataset_build", f"""
+WITH d AS ({vocab_words('documents')}), y AS ({vocab_words('conversations')}),
+cw AS ((SELECT word FROM d UNION SELECT word FROM y) INTERSECT {vocab_words('benchmark')}),
+fi AS ({SQL_FORMS}),
+m AS (SELECT bare, count(*)::BIGINT AS n, string_agg('item/' || entry_id, '|' ORDER BY entry_id) AS urls FROM fi GROUP BY bare),
+s AS (SELECT bare, count(*)::BIGINT AS n, string_agg(source || ':' || a || ':' || sentence, '|' ORDER BY prio, a, b, c) AS list
+      FROM (SELECT *, row_number() OVER (PARTITION BY bare ORDER BY prio, a, b, c) AS r2 FROM ({SQL_SENTENCE_ROWS})) WHERE r2 <= 3 GROUP BY bare),
+c AS (SELECT word, count(*)::BIGINT AS total FROM d GROUP BY word)
+SELECT cw.word, m.n > 1 AS multiple_meanings, m.n AS n_meanings, m.urls AS meanings, coalesce(s.n, 0)::BIGINT AS n_sentences,
+       coalesce(s.list, '') AS sentences, c.total AS total
+FROM cw JOIN m ON m.bare = cw.word LEFT JOIN s ON s.bare = cw.word LEFT JOIN c ON c.word = cw.word
+""")
+def q_dataset_build(spark, sf):
+    """The nested record of every corpus word that is a
+    dictionary form. Counts come from one corpus only, so words of the other
+    have none (J3). Sentences are cut to three per word, as both providers do."""
+    dic = C.dictionary(spark, sf)
+    spoken = _tokens_of(spark, sf, "documents").unionAll(_tokens_of(spark, sf, "conversations"))
+    words = lexicon.common_words(spoken, lexicon.all_forms(dic), C.PROFILE).select(F.col("word").alias("word_ord"), "word")
+    rows = top_k(sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE), ["bare"], ["prio", "ord"], T.EXAMPLES_PER_WORD)
+    rows = rows.withColumn("sentence", F.concat_ws(":", "source", F.col("ord.a").cast("string"), "sentence")).drop("rank")
+    counts = frequency.folded_sources(frequency.word_sources({"songs": C.documents(spark, sf)}, C.PROFILE), C.PROFILE)
+    v = A.assemble(A.word_list(words, C.PROFILE), dic, rows, counts, C.PROFILE)
+    return v.select("word", "multiple_meanings", F.size("meanings").cast("long").alias("n_meanings"),
+                    F.array_join(F.transform("meanings", lambda x: x["word_url"]), "|").alias("meanings"), F.size("sentences").cast("long").alias("n_sentences"),
+                    F.array_join(F.transform("sentences", lambda x: x["sentence"]), "|").alias("sentences"), F.col("sources.total").cast("long").alias("total"))
+
+
 @register("vocab_summary", f"""
 WITH v AS ({SQL_VOCAB})
 SELECT count(*)::BIGINT AS total_entries, count(*) FILTER (WHERE multiple_meanings)::BIGINT AS multiple_meanings,
@@ -407,8 +435,7 @@ WHERE line <> '' GROUP BY doc_id, line
 
 
 def _song_lines(spark, sf):
-    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    from ..operators import songs
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     return songs.song_lines(docs.withColumnRenamed("doc_id", "song"))
 
 
@@ -421,7 +448,6 @@ def q_line_dedupe(spark, sf):
 @register("shuffled_lines", f"SELECT line FROM ({sql_song_lines()})")
 def q_shuffled_lines(spark, sf):
     """O2 K2: the combined song corpus in random order (same multiset)."""
-    from ..operators import songs
     return songs.shuffled(_song_lines(spark, sf), seed=42)
 
 
@@ -436,16 +462,13 @@ FROM (SELECT s_suppkey, regexp_extract(text, '{{PAT}}', 1) AS artist, regexp_ext
 """.replace("{PAT}", rf"^(.*?){WS}*-{WS}*(.*\p{{L}}.*)$"))
 def q_split_title(spark, sf):
     """``artist - title`` split of chart rows."""
-    from ..operators import songs
     sup = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nat = table(spark, sf, "nation").select("n_nationkey", "n_name")
     t = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
         "s_suppkey", F.concat("s_name", F.lit(" - "), "n_name").alias("text"))
     s = songs.select_songs(t, "text", C.PROFILE)
-    files = songs.lyric_files(s.withColumn("lyrics", F.lit("")))
-    return s.join(files.select("artist", "title", "file_name"), ["artist", "title"]).select(
-        "s_suppkey", "artist", "title", songs.search_query(F.col("title"), F.col("artist")).alias("query"),
-        "file_name").dropDuplicates(["s_suppkey"])
+    return s.select("s_suppkey", "artist", "title", songs.search_query(F.col("title"), F.col("artist")).alias("query"),
+                    songs.file_name(F.col("artist"), F.col("title")).alias("file_name"))
 
 
 @register("script_filter", """
@@ -462,24 +485,22 @@ def q_script_filter(spark, sf):
 SQL_RESOLVE_CTES = """
 hits AS (SELECT o_custkey AS ord, min(o_orderkey) AS first_hit FROM orders WHERE o_orderstatus = 'O' GROUP BY 1),
 anyo AS (SELECT DISTINCT o_custkey AS ord FROM orders),
-s AS (SELECT c.c_custkey AS ord, c.c_name, h.first_hit,
-             CASE WHEN a.ord IS NULL THEN 'ERROR' WHEN h.first_hit IS NOT NULL THEN 'FOUND' ELSE 'NOT FOUND' END AS outcome
-      FROM customer c LEFT JOIN hits h ON h.ord = c.c_custkey LEFT JOIN anyo a ON a.ord = c.c_custkey),
-r AS (SELECT *, sum(CASE WHEN outcome = 'FOUND' THEN 1 ELSE 0 END) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS run
-      FROM s),
-ev AS (SELECT * FROM r WHERE run - (CASE WHEN outcome = 'FOUND' THEN 1 ELSE 0 END) < 500)
+ev AS (SELECT c.c_custkey AS ord, c.c_name, h.first_hit,
+              CASE WHEN a.ord IS NULL THEN CASE WHEN c.c_acctbal < 0 THEN 'EXCEPTION' ELSE 'ERROR' END
+                   WHEN h.first_hit IS NOT NULL THEN 'FOUND' ELSE 'NOT FOUND' END AS outcome
+       FROM customer c LEFT JOIN hits h ON h.ord = c.c_custkey LEFT JOIN anyo a ON a.ord = c.c_custkey)
 """
 
 
 def _resolve(spark, sf):
-    from ..operators import songs
-    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), "c_name")
+    cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("ord"), "c_name", "c_acctbal")
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
     hits = orders.where(F.col("o_orderstatus") == "O").select(
         F.col("o_custkey").alias("ord"), F.col("o_orderkey").alias("hit_pos"),
         F.concat(F.lit("/orders/"), F.col("o_orderkey").cast("string")).alias("path"))
-    no_orders = cust.select("ord").join(orders.select(F.col("o_custkey").alias("ord")), "ord", "left_anti")
-    return songs.resolve_first_hit(cust, hits, no_orders, cap=T.SONG_CAP)
+    failed = (cust.join(orders.select(F.col("o_custkey").alias("ord")), "ord", "left_anti")
+              .select("ord", F.when(F.col("c_acctbal") < 0, "EXCEPTION").otherwise("ERROR").alias("error")))
+    return songs.resolve_first_hit(cust.select("ord", "c_name"), hits, failed)
 
 
 @register("resolve_first_hit", f"""
@@ -487,7 +508,7 @@ WITH {SQL_RESOLVE_CTES}
 SELECT ord::BIGINT AS c_custkey, c_name, first_hit::BIGINT AS first_order FROM ev WHERE outcome = 'FOUND'
 """)
 def q_resolve_first_hit(spark, sf):
-    """First search hit per song, stopping after 500 found."""
+    """First search hit per song (no budget: W6 is an option of the operator)."""
     found, _ = _resolve(spark, sf)
     return found.select(F.col("ord").cast("long").alias("c_custkey"), "c_name",
                         F.col("first_hit").cast("long").alias("first_order"))
@@ -498,7 +519,7 @@ WITH {SQL_RESOLVE_CTES}
 SELECT outcome, count(*)::BIGINT AS n FROM ev GROUP BY outcome
 """)
 def q_outcome_tally(spark, sf):
-    """A10: FOUND / NOT FOUND / ERROR counts over the evaluated songs."""
+    """A10: outcome counts over all songs, HTTP errors and exceptions apart."""
     _, tally = _resolve(spark, sf)
     return tally
 
@@ -507,20 +528,20 @@ def q_outcome_tally(spark, sf):
 # Pages (HTML extraction job)
 # ---------------------------------------------------------------------------
 def _pages(spark, sf):
-    from ..sources import html as H
-    p = spread(table(spark, sf, "pages").select("page_id", "url", "html"), "page_id")
-    return H.extract(p, "page", keep=("page_id", "url"))
+    return markup.extract(table(spark, sf, "pages").select("page_id", "url", "html"), "page", keep=("page_id", "url"))
 
 
-@register("page_titles", """
-SELECT page_id::BIGINT AS page_id,
-       replace(regexp_replace(replace(replace(replace(replace(
-         regexp_extract(html, '<title>(.*?)</title>', 1),
-         '&quot;', '"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp$', '&'), '&amp;', '&') AS title
-FROM pages
+def sql_unescape(x: str) -> str:
+    for ref, c in (("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", "\u00a0")):
+        x = f"replace({x}, '{ref}', '{c}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
+@register("page_titles", f"""
+SELECT page_id::BIGINT AS page_id, {sql_unescape("regexp_extract(html, '<title>(.*?)</title>', 1)")} AS title FROM pages
 """)
 def q_page_titles(spark, sf):
-    """S4 X-job: page title text (entities decoded)."""
+    """Page title text (character references decoded)."""
     return _pages(spark, sf).select("page_id", "title")
 
 
@@ -530,7 +551,7 @@ FROM pages, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1
      WITH ORDINALITY AS u(href, i)
 """)
 def q_page_links(spark, sf):
-    """S4 X-job: navigation link targets in page order."""
+    """Navigation link targets in page order."""
     return (_pages(spark, sf).select("page_id", F.posexplode("nav_links").alias("pos", "href"))
             .select("page_id", F.col("pos").cast("long"), "href"))
 
@@ -538,12 +559,21 @@ def q_page_links(spark, sf):
 PARAGRAPH_MARKER = "tion"
 
 
-@register("page_paragraphs")
+@register("page_paragraphs", f"""
+WITH a AS (SELECT page_id::BIGINT AS page_id, regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS art FROM pages),
+p AS (SELECT page_id, u.i AS i, split_part(u.x, '</p>', 1) AS x
+      FROM a, unnest(string_split_regex(art, '<p[^>]*>')[2:]) WITH ORDINALITY AS u(x, i)),
+t AS (SELECT page_id, i, array_to_string(list_filter(list_transform(string_split_regex(x, '<[^>]*>'),
+             lambda v: {sql_strip(sql_unescape('v'))}), lambda v: v <> ''), ' ') AS t FROM p),
+f AS (SELECT page_id, min(i) FILTER (WHERE position('{PARAGRAPH_MARKER}' IN t) > 0) AS fi FROM t GROUP BY page_id),
+k AS (SELECT t.page_id, t.i, CASE WHEN t.i = f.fi THEN {sql_strip(f"split_part(t.t, '{PARAGRAPH_MARKER}', 1)")} ELSE t.t END AS t
+      FROM t JOIN f USING (page_id) WHERE f.fi IS NULL OR t.i <= f.fi)
+SELECT a.page_id, coalesce(string_agg(k.t, ' ' ORDER BY k.i) FILTER (WHERE k.t <> ''), '') AS text
+FROM a LEFT JOIN k USING (page_id) GROUP BY a.page_id
+""")
 def q_page_paragraphs(spark, sf):
-    """Article text up to the first paragraph holding a marker
-    (malformed HTML: no SQL oracle; checked against a brute-force fixture)."""
-    from ..operators.pages import text_until_marker
-    return _pages(spark, sf).select("page_id", text_until_marker(F.col("paragraphs"), PARAGRAPH_MARKER).alias("text"))
+    """Article text up to the first paragraph holding a marker."""
+    return _pages(spark, sf).select("page_id", pages.text_until_marker(F.col("paragraphs"), PARAGRAPH_MARKER).alias("text"))
 
 
 SITE = r"^[a-z]+://([^/?#]+)"
@@ -554,11 +584,11 @@ PAGE_NO = r"([0-9]+)(\?|#|$)"
 WITH p AS (SELECT page_id::BIGINT AS page_id, regexp_extract(url, '{SITE}', 1) AS site,
                   TRY_CAST(nullif(regexp_extract(url, '{PAGE_NO}', 1), '') AS BIGINT) AS page_no FROM pages),
 k AS (SELECT DISTINCT site, page_no FROM p WHERE page_no IS NOT NULL)
-SELECT p.page_id, p.site, p.page_no, CASE WHEN p.page_no + 1 <= 650 THEN k.page_no END AS next_page
+SELECT p.page_id, p.site, p.page_no, k.page_no AS next_page
 FROM p LEFT JOIN k ON k.site = p.site AND k.page_no = p.page_no + 1
 """)
 def q_next_page(spark, sf):
-    """Next page = page + 1 when the site has it (cap 650). An
+    """Next page = page + 1 when the site has it. An
     equi-join on (site, page + 1): no per-site window, so a site holding a
     third of all pages still spreads over many tasks."""
     p = table(spark, sf, "pages").select(
@@ -567,8 +597,7 @@ def q_next_page(spark, sf):
     k = p.where(F.col("page_no").isNotNull()).select(F.col("site").alias("k_site"),
                                                     F.col("page_no").alias("k_no")).distinct()
     j = p.join(k, (F.col("k_site") == F.col("site")) & (F.col("k_no") == F.col("page_no") + 1), "left")
-    return j.select("page_id", "site", "page_no",
-                    F.when(F.col("page_no") + 1 <= T.MAX_LISTING_PAGES, F.col("k_no")).alias("next_page"))
+    return j.select("page_id", "site", "page_no", F.col("k_no").alias("next_page"))
 
 
 # ---------------------------------------------------------------------------
@@ -594,37 +623,33 @@ def q_seed_urls(spark, sf):
 
 
 @register("listing_end", """
-WITH d AS (SELECT user_id, (date_diff('day', DATE '2024-01-01', ts::DATE) + 1)::BIGINT AS page, count(*) AS n
-           FROM events GROUP BY 1, 2),
-r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY page) AS rn FROM d WHERE page >= 1),
-e AS (SELECT user_id, min(CASE WHEN page <> rn THEN rn END) AS gap, max(rn) AS mx FROM r GROUP BY 1)
-SELECT r.user_id::BIGINT AS user_id, count(*)::BIGINT AS pages, sum(r.n)::BIGINT AS cards
-FROM r JOIN e USING (user_id) WHERE r.page < coalesce(e.gap, e.mx + 1) GROUP BY 1
+WITH b AS (SELECT min(ts::DATE) AS first_day FROM events),
+d AS (SELECT user_id, (date_diff('day', b.first_day, ts::DATE) + 1)::BIGINT AS day, count(*) AS n FROM events, b WHERE ts IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT user_id, min(day) AS s FROM d GROUP BY 1),
+r AS (SELECT d.user_id, d.day - s.s + 1 AS page, n, row_number() OVER (PARTITION BY d.user_id ORDER BY d.day) AS rn FROM d JOIN s USING (user_id))
+SELECT user_id::BIGINT AS user_id, count(*)::BIGINT AS pages, sum(n)::BIGINT AS cards FROM r WHERE page = rn GROUP BY 1
 """)
 def q_listing_end(spark, sf):
-    """Events per user and day as listing pages (cards per page);
-    the listing ends at the first empty page. The window covers at most one
-    row per day of one user."""
-    ev = table(spark, sf, "events").select("user_id", "ts")
-    d = (ev.select("user_id", (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1)
-                   .cast("long").alias("page"))
-         .groupBy("user_id", "page").agg(F.count("*").alias("n")).where("page >= 1"))
-    from pyspark.sql import Window
-    r = d.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy("page")))
-    gap = r.groupBy("user_id").agg(F.min(F.when(F.col("page") != F.col("rn"), F.col("rn"))).alias("gap"),
-                                   F.max("rn").alias("mx"))
-    return (r.join(gap, "user_id").where(F.col("page") < F.coalesce("gap", F.col("mx") + 1))
-            .groupBy("user_id").agg(F.count("*").alias("pages"), F.sum("n").cast("long").alias("cards")))
+    """Events per user and day as listing pages (cards per page). A
+    user's listing starts on the user's first day and ends before the first
+    empty one: exactly the pages whose number is their rank. The window covers
+    at most one row per day of one user."""
+    ev = table(spark, sf, "events").select("user_id", F.to_date("ts").alias("day")).where("day is not null")
+    d = ev.groupBy("user_id", "day").agg(F.count("*").alias("n"))
+    of = Window.partitionBy("user_id").orderBy("day")
+    first = F.min("day").over(of)
+    r = d.select("user_id", "n", (F.datediff("day", first) + 1).alias("page"), F.row_number().over(of).alias("rn"))
+    return (r.where("page = rn").groupBy(F.col("user_id").cast("long").alias("user_id"))
+            .agg(F.count("*").alias("pages"), F.sum("n").cast("long").alias("cards")))
 
 
 def _nested_orders(spark, sf):
     """Orders as dictionary-like documents: one table per order, one row per
     return flag (label), one cell per line item (form = part key). One
-    aggregation on the order key (lineitem spread on that key, so the
-    aggregate reuses the partitioning); rows are built with array functions
-    inside the group, which is bounded by the lines of one order."""
-    li = spread(table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", "l_linestatus", "l_quantity"), "l_orderkey")
+    aggregation on the order key; rows are built with array functions inside
+    the group, which is bounded by the lines of one order."""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", "l_linestatus", "l_quantity")
     lines = (li.groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
                  "l_returnflag", "l_linenumber", F.col("l_partkey").alias("_pk"),
@@ -700,22 +725,23 @@ def q_json_extract(spark, sf):
 
 
 @register("upsert_merge", """
-WITH u AS (SELECT o_custkey AS key, max(o_orderpriority) AS flag, max(o_totalprice) AS data FROM orders GROUP BY 1)
-SELECT coalesce(t.c_custkey, u.key)::BIGINT AS key, coalesce(t.c_mktsegment, u.flag) AS flag,
-       coalesce(u.data, t.c_acctbal) AS data,
-       CASE WHEN t.c_custkey IS NULL THEN 'insert' WHEN u.key IS NULL THEN 'keep' ELSE 'update' END AS action
-FROM customer t FULL OUTER JOIN u ON u.key = t.c_custkey
+WITH u AS (SELECT o_custkey AS key, arg_max(o_orderpriority, o_orderkey) AS flag, arg_max(o_totalprice, o_orderkey) AS data FROM orders GROUP BY 1),
+t AS (SELECT c_custkey AS key, c_mktsegment AS flag, c_acctbal AS data FROM customer WHERE c_nationkey < 15)
+SELECT coalesce(t.key, u.key)::BIGINT AS key, coalesce(t.flag, u.flag) AS flag, coalesce(u.data, t.data) AS data,
+       CASE WHEN t.key IS NULL THEN 'insert' WHEN u.key IS NULL THEN 'keep' ELSE 'update' END AS action
+FROM t FULL OUTER JOIN u ON u.key = t.key
 """)
 def q_upsert_merge(spark, sf):
-    """Keyed upsert — new keys inserted, existing keys get the new
-    data while keeping their flag, untouched keys kept."""
+    """Keyed upsert. The target holds the customers of some nations;
+    every order is an update, the last one per customer counts. New keys are
+    inserted, existing keys get the new data and keep their flag, keys without
+    orders are kept."""
     from ..sinks.merge import upsert
-    target = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"),
-                                                 F.col("c_mktsegment").alias("flag"),
-                                                 F.col("c_acctbal").alias("data"))
-    upd = (table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("key"))
-           .agg(F.max("o_orderpriority").alias("flag"), F.max("o_totalprice").alias("data")))
-    return upsert(target, upd, "key", replace=["data"]).withColumn("key", F.col("key").cast("long"))
+    target = (table(spark, sf, "customer").where("c_nationkey < 15")
+              .select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("flag"), F.col("c_acctbal").alias("data")))
+    upd = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("flag"),
+                                            F.col("o_totalprice").alias("data"), "o_orderkey")
+    return upsert(target, upd, "key", replace=["data"], order="o_orderkey").withColumn("key", F.col("key").cast("long"))
 
 
 @register("seen_state", """
@@ -755,25 +781,22 @@ def q_field_pipeline(spark, sf):
 # ---------------------------------------------------------------------------
 # Streaming / incremental (file streams landed under spark.checkpoint.dir)
 # ---------------------------------------------------------------------------
-def _run_dir(spark, name):
-    import uuid
-    from ..session import scratch_path
-    return scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
-
-
 @register("comment_dedupe", """
 SELECT DISTINCT event_id::BIGINT AS event_id, user_id::BIGINT AS user_id, event_type FROM events
 """)
 def q_comment_dedupe(spark, sf):
-    """The whole event table delivered twice to a file stream; the
-    streaming dedupe emits each id once (state in the checkpoint)."""
+    """Two runs on one checkpoint. The first delivery holds the
+    purchases; the second, after a restart, the whole table, and only ids the
+    state does not know yet are appended."""
+    from ..session import run_folder
     from ..streaming.incremental import dedupe_stream
-    run = _run_dir(spark, "comment_dedupe")
-    ev = table(spark, sf, "events").select(F.col("event_id").cast("long"), F.col("user_id").cast("long"),
-                                           "event_type")
-    for _ in range(2):  # replay: the same delivery lands twice
-        ev.write.mode("append").parquet(f"{run}/landing")
-    return dedupe_stream(spark, f"{run}/landing", ev.schema, ["event_id"], f"{run}/sink", f"{run}/ckpt")
+    run = run_folder(spark, "comment_dedupe")
+    ev = table(spark, sf, "events").select(F.col("event_id").cast("long"), F.col("user_id").cast("long"), "event_type")
+    out = None
+    for delivery in (ev.where("event_type = 'purchase'"), ev):
+        delivery.write.mode("append").parquet(f"{run}/landing")
+        out = dedupe_stream(spark, f"{run}/landing", ev.schema, ["event_id"], f"{run}/sink", f"{run}/ckpt")
+    return out
 
 
 @register("seen_state_stream", """
@@ -782,16 +805,18 @@ SELECT user_id::BIGINT AS user_id, min(ts::DATE) AS first_seen, max(ts::DATE) AS
 FROM events GROUP BY 1
 """)
 def q_seen_state_stream(spark, sf):
-    """Daily deliveries folded into entity state by an
-    idempotent ``foreachBatch`` (one state version per micro-batch)."""
+    """Two deliveries, the second after a restart on the same
+    checkpoint, folded into keyed streaming state; each batch writes only the
+    entities it changed."""
+    from ..session import run_folder
     from ..streaming.incremental import state_upsert_stream
-    run = _run_dir(spark, "seen_state")
+    run = run_folder(spark, "seen_state")
     ev = table(spark, sf, "events").select(F.col("user_id").cast("long"), "ts", "value")
-    first_half = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    ev.where(first_half).write.mode("append").parquet(f"{run}/landing")
-    ev.where(~first_half).write.mode("append").parquet(f"{run}/landing")
-    st = state_upsert_stream(spark, f"{run}/landing", ev.schema, "user_id", "ts", "value",
-                             f"{run}/state", f"{run}/ckpt")
+    first_half = F.coalesce(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"), F.lit(False))
+    st = None
+    for delivery in (ev.where(first_half), ev.where(~first_half)):
+        delivery.write.mode("append").parquet(f"{run}/landing")
+        st = state_upsert_stream(spark, f"{run}/landing", ev.schema, "user_id", "ts", "value", f"{run}/state", f"{run}/ckpt")
     return st.select("user_id", "first_seen", "last_seen", "last_value", F.col("n_events").cast("long"))
 
 
@@ -810,51 +835,20 @@ def q_state_load(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Dictionary site pages rendered by Spark from driver tables, then parsed by
-# the extraction job (X1, X2, X3, X10 over thousands of pages)
+# Item processors and listings over table columns: the pieces that extraction
+# would give come straight from the tables
 # ---------------------------------------------------------------------------
 ROWS_PER_PAGE = 15  # listing rows per dictionary page (as on the real site)
+SQL_PART_PAGE = f"(p_partkey // {ROWS_PER_PAGE} + 1)"
 
 
-def _listing_pages(spark, sf):
-    """One listing page per 15 parts, rows in part-key order, with a
-    pagination block (active page, next page when it exists)."""
-    e = T.html_escape
-    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    w1 = F.split_part("p_name", F.lit(" "), F.lit(1))
-    w2 = F.split_part("p_name", F.lit(" "), F.lit(2))
-    key = F.col("p_partkey").cast("string")
-    row = F.concat(
-        F.lit('<tr><td><a href="/dict/'), key, F.lit("-"), e(w1), F.lit('/"><span class="menukad">'), e(w1),
-        F.lit('</span></a> <span class="dict-transcription">'), e(F.substring(w2, 1, 2)), F.lit("<b>"),
-        e(F.substring(w2, 3, 1 << 20)), F.lit('</b></span><span class="audio-play" data-audio="/audio/'), key,
-        F.lit('.mp3"></span></td><td><a href="/dict/?num-radicals=3&amp;r=1">'), e(F.col("p_brand")),
-        F.lit("</a></td><td>"), e(F.col("p_type")), F.lit(" – <i>"), e(w2),
-        F.lit('</i></td><td class="dict-meaning"> '), e(F.col("p_name")), F.lit(" </td></tr>"))
-    page = F.floor(F.col("p_partkey") / ROWS_PER_PAGE).cast("long") + 1
-    rows = p.select(page.alias("page"), "p_partkey", row.alias("h"))
-    last = rows.agg(F.max("page")).scalar()
-    # the page parse downstream is CPU-bound Python: pin one partition per
-    # core (explicit count, not coalesced by AQE); the grouping reuses it
-    rows = rows.repartition(_cpu_partitions(spark), "page")
-    pages = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("p_partkey", "h"))).alias("r"))
-    pg = F.col("page").cast("string")
-    nxt = F.when(F.col("page") < last, F.concat(F.lit('<li><a href="/dict/?page='), (F.col("page") + 1).cast("string"),
-                                                 F.lit('">next</a></li>'))).otherwise(F.lit(""))
-    html = F.concat(
-        F.lit('<html><body><div class="pagination"><ul class="pagination"><li class="active"><a href="/dict/?page='),
-        pg, F.lit('">'), pg, F.lit("</a></li>"), nxt, F.lit('</ul></div><table class="dict-table-t"><tbody>'),
-        F.array_join(F.transform("r", lambda x: x["h"]), ""), F.lit("</tbody></table></body></html>"))
-    return pages.select(F.concat(F.lit("https://www.pealim.com/dict/?page="), pg).alias("url"), html.alias("html"))
-
-
-SQL_PART_PAGE = f"(p_partkey // {ROWS_PER_PAGE} + 1)"
+def _position(keys: list[str], *order: str) -> F.Column:
+    """0-based position within a group whose size is bounded by its key (a page, an order)."""
+    return (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("long")
 
 
-def _cpu_partitions(spark) -> int:
-    """Partition count for a CPU-bound Python stage: at least one task per
-    core, and never fewer than the configured shuffle partitions."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def _listing_urls(page) -> F.Column:
+    return F.concat(F.lit("https://www.pealim.com/dict/?page="), page.cast("string"))
 
 
 @register("dict_listing", f"""
@@ -867,9 +861,18 @@ SELECT 'https://www.pealim.com/dict/?page=' || {SQL_PART_PAGE} AS url,
 FROM part
 """)
 def q_dict_listing(spark, sf):
-    """X1 + item processors over rendered listing pages (15 rows per page)."""
-    from ..operators.pages import dictionary_rows
-    return dictionary_rows(_listing_pages(spark, sf))
+    """Item processors of listing rows (15 rows per page)."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    w1, w2 = (F.split_part("p_name", F.lit(" "), F.lit(k)) for k in (1, 2))
+    key = F.col("p_partkey").cast("string")
+    page = F.floor(F.col("p_partkey") / ROWS_PER_PAGE).cast("long") + 1
+    pieces = p.withColumn("page", page).select(
+        _listing_urls(F.col("page")).alias("url"), _position(["page"], "p_partkey").alias("item"),
+        F.array(w1, F.lit("")).alias("hebrew_parts"), F.array(F.substring(w2, 1, 2), F.expr("substring(split_part(p_name, ' ', 2), 3)")).alias("transcription_nodes"),
+        F.array("p_brand").alias("root_nodes"), F.array(F.concat("p_type", F.lit(" –")), F.lit(" "), w2).alias("pos_nodes"),
+        F.array(F.concat(F.lit(" "), "p_name", F.lit(" "))).alias("meaning_parts"),
+        F.array(F.concat(F.lit("/audio/"), key, F.lit(".mp3"))).alias("audio"), F.concat(F.lit("/dict/"), key, F.lit("-"), w1, F.lit("/")).alias("href"))
+    return pages.dictionary_items(pieces)
 
 
 @register("listing_next", f"""
@@ -879,34 +882,13 @@ SELECT 'https://www.pealim.com/dict/?page=' || page AS url,
 FROM p, m
 """)
 def q_listing_next(spark, sf):
-    """The next-page link of each rendered listing page."""
-    from ..operators.pages import next_page
-    from ..sources import html as H
-    pg = H.extract(_listing_pages(spark, sf), "pagination")
-    return pg.select("url", next_page(F.col("active_href"), F.col("links")).alias("next_href"))
-
-
-def _order_pages(spark, sf):
-    """One word page per order: a conjugation table with a header and one
-    body row per line item (label = return flag; cell = chaser part key,
-    menukad supplier key, transcription line status, meaning quantity)."""
-    e = T.html_escape
-    li = spread(table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus"),
-        "l_orderkey")
-    row = F.concat(
-        F.lit("<tr><th>"), e(F.col("l_returnflag")), F.lit('</th><td class="conj-td"><span class="chaser">~'),
-        F.col("l_partkey").cast("string"), F.lit('</span><span class="menukad">'), F.col("l_suppkey").cast("string"),
-        F.lit('</span><div class="transcription"><b>'), e(F.col("l_linestatus")),
-        F.lit('</b></div><div class="meaning"><i>'), F.col("l_quantity").cast("long").cast("string"),
-        F.lit("</i></div></td></tr>"))
-    pages = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", row.alias("h")))).alias("r"))
-    html = F.concat(
-        F.lit('<html><body><table class="conjugation-table"><thead><tr><th colspan="2" rowspan="1">Line</th>'
-              '<th>Part</th></tr></thead><tbody>'),
-        F.array_join(F.transform("r", lambda x: x["h"]), ""), F.lit("</tbody></table></body></html>"))
-    return pages.select(F.col("l_orderkey").cast("string").alias("url"), html.alias("html"))
+    """The next-page link of each listing page, from its active link and its links."""
+    p = table(spark, sf, "part").select((F.floor(F.col("p_partkey") / ROWS_PER_PAGE).cast("long") + 1).alias("page")).distinct()
+    last = p.agg(F.max("page")).scalar()
+    link = lambda n: F.concat(F.lit("/dict/?page="), n.cast("string"))
+    here, after = link(F.col("page")), link(F.col("page") + 1)
+    return p.select(_listing_urls(F.col("page")).alias("url"),
+                    F.when(F.col("page") < last, pages.next_page(here, F.array(here, after))).alias("next_href"))
 
 
 @register("conj_tables", """
@@ -918,36 +900,18 @@ SELECT l_orderkey::BIGINT AS ord,
 FROM lineitem
 """)
 def q_conj_tables(spark, sf):
-    """Inflection tables parsed from rendered word pages, flattened
-    to one row per body cell (chaser wins over menukad)."""
-    from ..operators.pages import word_tables
-    t = word_tables(_order_pages(spark, sf))
-    rows = t.select(F.col("url").cast("long").alias("ord"), F.explode("tables").alias("t")).select(
-        "ord", F.posexplode("t.rows").alias("row", "r"))
-    return rows.select("ord", F.col("row").cast("long"), F.get(F.col("r.labels"), 0).alias("label"),
-                       F.explode("r.cells").alias("c")).select(
-        "ord", "row", "label", F.col("c.hebrew").alias("hebrew"), F.col("c.transcription").alias("transcription"),
-        F.col("c.meaning").alias("meaning"))
+    """One cell per line item; the chaser's form wins over the pointed one."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+    text = lambda c: F.col(c).cast("long").cast("string")
+    return li.select(
+        F.col("l_orderkey").cast("long").alias("ord"), _position(["l_orderkey"], "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("row"),
+        F.col("l_returnflag").alias("label"), markup.cell_form(F.concat(F.lit("~"), text("l_partkey")), text("l_suppkey")).alias("hebrew"),
+        F.col("l_linestatus").alias("transcription"), text("l_quantity").alias("meaning"))
 
 
 ARTICLE_MARKER_LATIN = "tion"  # marker token for rendered articles (Latin prose)
 
 
-def _article_pages(spark, sf):
-    """One article page per document: title = source, category = language,
-    one audio source, one paragraph per text line, word explanations list."""
-    e = T.html_escape
-    d = spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
-    paras = F.array_join(F.transform(T.split_lines(F.col("text")),
-                                     lambda l: F.concat(F.lit("<p>"), e(l), F.lit("</p>"))), "")
-    html = F.concat(
-        F.lit("<html><body><h1> "), e(F.col("source")), F.lit(' </h1><div class="itemDetails"><span class="value">'),
-        e(F.col("lang")), F.lit('</span></div><audio><source src="/a/'), F.col("doc_id").cast("string"),
-        F.lit('.mp3"></audio><div class="content">'), paras, F.lit("<ul><li>"), e(F.col("source")),
-        F.lit(": <b>"), e(F.col("lang")), F.lit("</b></li></ul></div></body></html>"))
-    return d.select(F.col("doc_id").cast("string").alias("url"), html.alias("html"))
-
-
 @register("articles", f"""
 WITH l AS (SELECT doc_id, u.i AS i, {sql_strip('u.line')} AS t
            FROM documents, unnest(string_split_regex(text, '{LB}')) WITH ORDINALITY AS u(line, i)),
@@ -962,44 +926,14 @@ SELECT d.doc_id::BIGINT AS doc_id, d.source AS title, d.lang AS category, '/a/'
 FROM documents d JOIN txt USING (doc_id)
 """)
 def q_articles(spark, sf):
-    """Article pages parsed; body text up to the first
-    paragraph holding the marker (row-local array logic, no window)."""
-    from ..operators.pages import articles
-    a = articles(_article_pages(spark, sf), ARTICLE_MARKER_LATIN)
-    return a.select(F.col("url").cast("long").alias("doc_id"), "title", "category",
-                    F.array_join("audio_urls", "|").alias("audio_urls"), "text",
-                    F.array_join("word_explanations", "|").alias("word_explanations"))
-
-
-CARDS_PER_PAGE = 20
-EXAMPLES_PER_PAGE = 50
-
-
-def _lexicon_pages(spark, sf):
-    """One lexicon listing page per (user, day): a card per event (term =
-    event type, audio per event, definition = props + event type, more
-    info = event id), cards in event order."""
-    e = T.html_escape
-    ev = spread(table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "props"), "user_id")
-    day = (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1).cast("long")
-    card = F.concat(
-        F.lit('<li class="introBlock"><h3 class="termName"> '), e(F.col("event_type")),
-        F.lit(' </h3><audio><source src="/a/'), F.col("event_id").cast("string"),
-        F.lit('.mp3"></audio><div class="definition"><div class="text"><p>'), e(F.col("props")),
-        F.lit("</p> <span>"), e(F.col("event_type")), F.lit('</span></div></div><div class="moreText"><p>'),
-        F.col("event_id").cast("string"), F.lit("</p></div></li>"))
-    # a page holds the cards of one id block of CARDS_PER_PAGE events: the
-    # collected group stays bounded however many events one user has
-    block = F.floor(F.col("event_id") / CARDS_PER_PAGE).cast("long")
-    pages = (ev.select("user_id", day.alias("page"), block.alias("block"), "event_id", card.alias("h"))
-             .groupBy("user_id", "page", "block")
-             .agg(F.array_sort(F.collect_list(F.struct("event_id", "h"))).alias("c")))
-    html = F.concat(F.lit('<html><body><div class="contentByLetterContainer"><ul class="contentByLetter">'),
-                    F.array_join(F.transform("c", lambda x: x["h"]), ""), F.lit("</ul></div></body></html>"))
-    return pages.select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("/"),
-                                 F.col("page").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("url"),
-                        F.lit("events").alias("category"), F.col("user_id").cast("string").alias("letter"),
-                        F.col("page").cast("int").alias("page"), html.alias("html"))
+    """Articles of paragraphs (one per line); body text up to
+    the first paragraph holding the marker (row-local array logic, no window)."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    paragraphs = F.transform(T.split_lines(F.col("text")), lambda x: F.array(x))
+    return d.select(F.col("doc_id").cast("long"), T.strip(F.col("source")).alias("title"), T.strip(F.col("lang")).alias("category"),
+                    F.concat(F.lit("/a/"), F.col("doc_id").cast("string"), F.lit(".mp3")).alias("audio_urls"),
+                    pages.text_until_marker(paragraphs, ARTICLE_MARKER_LATIN).alias("text"),
+                    T.join_nonempty(F.array(F.concat("source", F.lit(": ")), F.col("lang")), " ").alias("word_explanations"))
 
 
 @register("lexicon_cards", """
@@ -1012,45 +946,37 @@ SELECT 'u' || user_id || '/' || (date_diff('day', DATE '2024-01-01', ts::DATE) +
 FROM events
 """)
 def q_lexicon_cards(spark, sf):
-    """Lexicon cards parsed from rendered listing pages."""
-    from ..operators.pages import lexicon_items
-    return lexicon_items(_lexicon_pages(spark, sf)).withColumn("card_pos", F.col("card_pos").cast("long"))
-
-
-def _example_pages(spark, sf):
-    """One example page per conversation: an example per turn (source = the
-    turn's first line, target = role; assistant turns marked blocked)."""
-    e = T.html_escape
-    cv = spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
-    first = F.get(T.split_lines(F.col("text")), 0)
-    ex = F.concat(
-        F.lit('<div class="example'), F.when(F.col("role") == "assistant", F.lit(" blocked")).otherwise(F.lit("")),
-        F.lit('"><div class="src ltr"><span class="text">'), e(first), F.lit('</span></div><div class="trg">'
-                                                                          '<span class="text"><em>'),
-        e(F.col("role")), F.lit("</em></span></div></div>"))
-    block = F.floor(F.col("turn") / EXAMPLES_PER_PAGE).cast("long")
-    pages = (cv.select("conv_id", block.alias("block"), "turn", ex.alias("h"))
-             .groupBy("conv_id", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "h"))).alias("x")))
-    html = F.concat(F.lit('<html><body><section id="examples-content">'),
-                    F.array_join(F.transform("x", lambda x: x["h"]), ""), F.lit("</section></body></html>"))
-    return pages.select(F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("url"),
-                        F.lit("w").alias("word"), html.alias("html"))
+    """Card item processors; a page holds one id block of a user's events of a day."""
+    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "props")
+    day = (F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) + 1).cast("int")
+    ev = ev.withColumns({"page": day, "block": F.floor(F.col("event_id") / CARDS_PER_PAGE).cast("long")})
+    number = lambda c: F.col(c).cast("string")
+    cards = ev.select(
+        F.concat(F.lit("u"), number("user_id"), F.lit("/"), number("page"), F.lit("/"), number("block")).alias("url"), F.lit("events").alias("category"),
+        number("user_id").alias("letter"), "page", _position(["user_id", "page", "block"], "event_id").alias("card_pos"),
+        F.struct(F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("hebrew"), F.concat(F.lit("/a/"), number("event_id"), F.lit(".mp3")).alias("audio_url"),
+                 F.array(F.col("props"), F.lit(" "), F.col("event_type")).alias("text_parts"), F.array(number("event_id")).alias("more_parts")).alias("c"))
+    return pages.card_items(cards)
+
+
+CARDS_PER_PAGE = 20
 
 
 @register("example_pairs", f"""
 SELECT conv_id || '/' || (turn // 50) AS url, conv_id::BIGINT AS conv_id,
        (row_number() OVER (PARTITION BY conv_id, turn // 50 ORDER BY turn) - 1)::BIGINT AS pos,
-       {_sql_em(f"string_split_regex(text, '{LB}')[1]")} AS src, {_sql_em('role')} AS trg
+       {_sql_em('text')} AS src, {_sql_em('role')} AS trg
 FROM conversations
 QUALIFY src IS NOT NULL AND trg IS NOT NULL
 """)
 def q_example_pairs(spark, sf):
-    """Example pairs parsed from rendered pages, blocked ones
-    kept, pairs with an empty side dropped."""
-    from ..operators.pages import example_pairs
-    p = example_pairs(_example_pages(spark, sf))
-    return p.select("url", F.split_part("url", F.lit("/"), F.lit(1)).cast("long").alias("conv_id"),
-                    F.col("pos").cast("long"), "src", "trg")
+    """An example per turn (source: the whole turn, target: its
+    role), pairs with an empty side dropped, numbered within blocks of 50 turns."""
+    cv = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").withColumn("block", F.floor(F.col("turn") / 50).cast("long"))
+    em = F.concat(F.lit("<em>"), "role", F.lit("</em>"))
+    return (cv.select(F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("block").cast("string")).alias("url"), F.col("conv_id").cast("long"),
+                      _position(["conv_id", "block"], "turn").alias("pos"), T.strip_em(F.col("text")).alias("src"), T.strip_em(em).alias("trg"))
+            .where("src is not null and trg is not null"))
 
 
 @register("lexicon_stats", f"""
@@ -1062,50 +988,20 @@ def q_lexicon_stats(spark, sf):
     return lexicon.cardinalities(C.dictionary(spark, sf), C.PROFILE)
 
 
-def _chart_pages(spark, sf):
-    """One chart page per region: a row per supplier of the region's nations,
-    ``<a>supplier</a> - <span>nation</span>`` in a ``td.text.mp div``."""
-    e = T.html_escape
-    sup = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nat = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    rows = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
-        "n_regionkey", "s_suppkey",
-        F.concat(F.lit('<tr><td class="text mp"><div><a href="/a">'), e(F.col("s_name")),
-                 F.lit("</a> - <span>"), e(F.col("n_name")), F.lit("</span></div></td></tr>")).alias("h"))
-    pages = rows.groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "h"))).alias("r"))
-    html = F.concat(F.lit("<html><body><table>"), F.array_join(F.transform("r", lambda x: x["h"]), ""),
-                    F.lit("</table></body></html>"))
-    return pages.select(F.col("n_regionkey").cast("string").alias("url"), html.alias("html"))
-
-
 @register("chart_songs", f"""
-SELECT n_regionkey::VARCHAR AS url,
-       (row_number() OVER (PARTITION BY n_regionkey ORDER BY s_suppkey) - 1)::INTEGER AS pos,
-       regexp_extract(t, '{{PAT}}', 1) AS artist, regexp_extract(t, '{{PAT}}', 2) AS title
+SELECT n_regionkey::VARCHAR AS url, s_suppkey::BIGINT AS s_suppkey, regexp_extract(t, '{{PAT}}', 1) AS artist, regexp_extract(t, '{{PAT}}', 2) AS title
 FROM (SELECT n_regionkey, s_suppkey, s_name || '-' || n_name AS t
       FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-QUALIFY regexp_matches(t, '{{PAT}}')
+WHERE regexp_matches(t, '{{PAT}}')
 """.replace("{PAT}", rf"^(.*?){WS}*-{WS}*(.*\p{{L}}.*)$"))
 def q_chart_songs(spark, sf):
-    """Chart cells parsed from rendered pages (text pieces joined
-    without separator) and split into artist and title."""
-    from ..operators import songs
-    from ..operators.pages import chart_texts
-    t = chart_texts(_chart_pages(spark, sf))
-    return songs.select_songs(t, "text", C.PROFILE).select("url", "pos", "artist", "title")
-
-
-def _lyric_pages(spark, sf):
-    """One lyrics page per document: every line a direct text node of the
-    lyrics container, separated by ``<br>``; one child element per page
-    (its text is not part of the lyrics)."""
-    e = T.html_escape
-    d = C.documents(spark, sf)
-    body = F.array_join(F.transform(T.split_lines(F.col("text")), lambda l: e(l)), "<br>")
-    html = F.concat(F.lit('<html><body><div data-lyrics-container="true">'), body,
-                    F.lit('<br><i>[chorus]</i></div></body></html>'))
-    return d.select(F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url"),
-                    "doc_id", "lang", html.alias("html"))
+    """Chart cells (text pieces joined without separator) split into artist and title."""
+    sup = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nat = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    t = sup.join(nat, sup.s_nationkey == nat.n_nationkey).select(
+        F.col("n_regionkey").cast("string").alias("url"), F.col("s_suppkey").cast("long").alias("s_suppkey"),
+        T.join_pieces(F.array("s_name", F.lit(" - "), "n_name")).alias("text"))
+    return songs.select_songs(t, "text", C.PROFILE).select("url", "s_suppkey", "artist", "title")
 
 
 @register("song_lyrics", f"""
@@ -1118,32 +1014,14 @@ SELECT lang || ' - ' || regexp_replace(source, '[\\\\/*?:"<>|]', '', 'g') || '.t
 FROM j
 """)
 def q_song_lyrics(spark, sf):
-    """Lyric pages joined (inner) to the songs that
-    point at them, cleaned, with file name and body."""
-    from ..operators.pages import song_lyrics
-    pages = _lyric_pages(spark, sf)
-    songs = table(spark, sf, "documents").select(
-        F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url"),
-        F.col("lang").alias("artist"), F.col("source").alias("title"))
-    return song_lyrics(pages.select("url", "html"), songs).select("file_name", "body")
-
-
-def _article_listing_pages(spark, sf):
-    """Article listing pages, 20 cards each (document id blocks); a card links
-    to its article only when the document is English (others have no href)."""
-    e = T.html_escape
-    d = table(spark, sf, "documents").select("doc_id", "lang", "source")
-    href = F.when(F.col("lang") == "en", F.concat(F.lit(' href="/articles/'), F.col("doc_id").cast("string"),
-                                                 F.lit('"'))).otherwise(F.lit(""))
-    card = F.concat(F.lit('<div class="catalogItemContainer"><h2 class="insideTitle"><a'), href, F.lit(">"),
-                    e(F.col("source")), F.lit("</a></h2></div>"))
-    block = F.floor(F.col("doc_id") / CARDS_PER_PAGE).cast("long")
-    pages = (d.select(block.alias("block"), "doc_id", card.alias("h"))
-             .groupBy("block").agg(F.array_sort(F.collect_list(F.struct("doc_id", "h"))).alias("c")))
-    html = F.concat(F.lit("<html><body>"), F.array_join(F.transform("c", lambda x: x["h"]), ""),
-                    F.lit("</body></html>"))
-    return pages.select(F.concat(F.lit("/articles/?page="), F.col("block").cast("string")).alias("url"),
-                        html.alias("html"))
+    """Lyrics of text pieces (one per line) joined
+    (inner) to the songs that point at them, cleaned, with file name and body."""
+    url = F.concat(F.lit("https://lyrics.test/"), F.col("doc_id").cast("string")).alias("url")
+    d = table(spark, sf, "documents")
+    parts = F.filter(T.split_lines(F.col("text")), lambda x: x != "")
+    found = d.select(url, songs.clean_lyrics(parts).alias("lyrics"))
+    listed = d.select(url, F.col("lang").alias("artist"), F.col("source").alias("title"))
+    return songs.lyric_files(listed.join(found, "url")).select("file_name", "body")
 
 
 @register("article_links", f"""
@@ -1153,7 +1031,125 @@ FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id // 20 ORDER BY
 WHERE lang = 'en'
 """)
 def q_article_links(spark, sf):
-    """Absolute article URLs from listing cards; cards without a
-    link are dropped."""
-    from ..operators.pages import article_urls
-    return article_urls(_article_listing_pages(spark, sf)).select("url", F.col("pos").cast("long"), "article_url")
+    """Absolute article URLs from listing cards; cards without a link are dropped."""
+    d = table(spark, sf, "documents").select("doc_id", "lang").withColumn("block", F.floor(F.col("doc_id") / CARDS_PER_PAGE).cast("long"))
+    href = F.when(F.col("lang") == "en", F.concat(F.lit("/articles/"), F.col("doc_id").cast("string")))
+    cards = d.select(F.concat(F.lit("/articles/?page="), F.col("block").cast("string")).alias("url"), _position(["block"], "doc_id").alias("pos"),
+                     T.absolute_url(SEED_BASE, href).alias("article_url"))
+    return cards.where("article_url != ''")
+
+
+# ---------------------------------------------------------------------------
+# Cleaning rules on rows that hold every case: the same projection of whole
+# columns on both sides
+# ---------------------------------------------------------------------------
+@register("line_rules", f"""
+WITH l AS (SELECT doc_id, (u.i - 1) AS pos, u.line, lang, source
+           FROM documents, unnest(string_split_regex(text, '{LB}')) WITH ORDINALITY AS u(line, i))
+SELECT doc_id::BIGINT AS doc_id, pos::BIGINT AS pos,
+       regexp_replace('[' || lang || '] ' || line, '(?s)\\[.*?\\]', '', 'g') AS no_brackets,
+       replace(line || chr(8206), chr(8206), '') AS no_lrm,
+       regexp_replace(chr(8234) || line || chr(8236), '[\\x{{202A}}-\\x{{202E}}]', '', 'g') AS no_bidi,
+       regexp_replace(line || ' - ' || source, '{sql_quote(T.TRAILING_ARTIST)}', '') AS no_artist,
+       {_sql_em("'  <em>' || line || '</em> '")} AS no_em,
+       {sql_strip("'  ' || line || chr(12288)")} AS stripped,
+       {sql_strip(f"regexp_replace(line || chr(10) || '  ' || chr(10) || lang, '\n{WS}*\n', chr(10) || chr(10), 'g')")} AS one_blank
+FROM l
+""")
+def q_line_rules(spark, sf):
+    """Every line with a bracket, marks, a trailing artist, tags, blanks and a blank line."""
+    x = text_lines_of(table(spark, sf, "documents").select("doc_id", "lang", "source", "text"), ["doc_id", "lang", "source"])
+    line, lang = F.col("line"), F.col("lang")
+    return x.select(
+        F.col("doc_id").cast("long"), "pos",
+        T.remove_brackets(F.concat(F.lit("["), lang, F.lit("] "), line), multiline=True).alias("no_brackets"),
+        T.remove_lrm(F.concat(line, F.lit("\u200e"))).alias("no_lrm"),
+        T.remove_bidi_embedding(F.concat(F.lit("\u202a"), line, F.lit("\u202c"))).alias("no_bidi"),
+        T.strip_trailing_artist(F.concat(line, F.lit(" - "), "source")).alias("no_artist"),
+        T.strip_em(F.concat(F.lit("  <em>"), line, F.lit("</em> "))).alias("no_em"),
+        T.strip(F.concat(F.lit("  "), line, F.lit("\u3000"))).alias("stripped"),
+        T.collapse_blank_lines(F.concat(line, F.lit("\n  \n"), lang)).alias("one_blank"))
+
+
+@register("field_rules", f"""
+WITH p AS (SELECT p_partkey, p_name, p_type, p_brand, p_size, replace(p_type, ' ', ' – ') AS dashed,
+                  '  ' || replace(p_name, ' ', '   ') || ' ' AS spaced, p_name || '/' || p_brand || '?*:"<>|.' AS path,
+                  CASE WHEN p_size > 25 THEN 'x' || p_size ELSE p_size::VARCHAR END AS span, nullif(p_brand, 'Brand#1') AS brand,
+                  CASE WHEN p_size > 40 THEN NULL ELSE p_brand END AS maybe
+           FROM part)
+SELECT p_partkey::BIGINT AS p_partkey, {sql_strip("replace(dashed, '–', '-')")} AS no_dash,
+       array_to_string(list_filter(list_transform(string_split(spaced, ' '), lambda x: {sql_strip('x')}), lambda x: x <> ''), '+') AS joined,
+       translate(path, '\\/*?:"<>|', '') AS file_name, coalesce(TRY_CAST(span AS INTEGER), 1) AS span,
+       coalesce(maybe, 'none') AS defaulted, coalesce(nullif(maybe, ''), {sql_strip('upper(spaced)')}) AS first_upper
+FROM p
+""")
+def q_field_rules(spark, sf):
+    """T13 T14 T15 T18 T21 and the mapped take-first (§2.12) on fields that hold each case."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    spaced = F.concat(F.lit("  "), F.replace("p_name", F.lit(" "), F.lit("   ")), F.lit(" "))
+    size = F.col("p_size").cast("string")
+    maybe = F.when(F.col("p_size") > 40, None).otherwise(F.col("p_brand"))
+    return p.select(
+        F.col("p_partkey").cast("long"), T.normalize_dash(F.replace("p_type", F.lit(" "), F.lit(" – "))).alias("no_dash"),
+        T.join_nonempty(F.split(spaced, " "), "+").alias("joined"),
+        T.sanitize_filename(F.concat("p_name", F.lit("/"), "p_brand", F.lit('?*:"<>|.'))).alias("file_name"),
+        T.int_or_one(F.when(F.col("p_size") > 25, F.concat(F.lit("x"), size)).otherwise(size)).alias("span"),
+        T.default(maybe, "none").alias("defaulted"),
+        F.coalesce(maybe, T.field_pipeline(F.array(F.lit(""), spaced), [F.upper, T.strip])).alias("first_upper"))
+
+
+# ---------------------------------------------------------------------------
+# Hebrew profile on real rows: whole texts projected letter by letter onto the
+# Hebrew block (letters, three points, maqaf), the same on both sides
+# ---------------------------------------------------------------------------
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+PROJECTED = "אבגד\u05b8הוז\u05b4חטיכל\u05b9מנסעפ\u05beצקרשת"
+SQL_HEB = f"translate(lower(text), '{LATIN}', '{PROJECTED}')"
+SQL_HEB_TOK = f"regexp_extract_all({SQL_HEB}, '[\u0590-\u05ff]+')"
+SQL_HEB_FOLD = "regexp_replace(word, '[^א-ת]', '', 'g')"
+SQL_HEB_CLEAN = "nullif(regexp_replace(word, '[\u05b4\u05b8\u05b9]', '', 'g'), '')"
+SQL_HEB_SOURCES = SQL_WORD_SOURCES.replace(tok("text"), SQL_HEB_TOK)
+
+
+def _hebrew(df: DataFrame) -> DataFrame:
+    return df.withColumn("text", F.translate(F.lower("text"), LATIN, PROJECTED))
+
+
+def _hebrew_sources(spark, sf) -> DataFrame:
+    return frequency.word_sources({k: _hebrew(v) for k, v in C.corpora(spark, sf).items()}, "hebrew")
+
+
+@register("hebrew_word_sources", SQL_HEB_SOURCES)
+def q_hebrew_word_sources(spark, sf):
+    """Counts per source of tokens of the Hebrew block."""
+    return _hebrew_sources(spark, sf)
+
+
+@register("hebrew_folded_sources", f"""
+WITH ws AS ({SQL_HEB_SOURCES})
+SELECT {SQL_HEB_FOLD} AS word, sum(songs)::BIGINT AS songs, sum(news)::BIGINT AS news, sum(youtube)::BIGINT AS youtube, sum(total)::BIGINT AS total
+FROM ws WHERE {SQL_HEB_FOLD} <> '' GROUP BY 1
+""")
+def q_hebrew_folded_sources(spark, sf):
+    """Counts by the key without points and maqaf."""
+    return frequency.folded_sources(_hebrew_sources(spark, sf), "hebrew")
+
+
+@register("hebrew_common_words", f"""
+WITH ws AS ({SQL_HEB_SOURCES}), c AS (SELECT {SQL_HEB_CLEAN} AS word, sum(songs) AS l, sum(youtube) AS r FROM ws GROUP BY 1)
+SELECT word, {SQL_HEB_FOLD} AS bare FROM c WHERE word IS NOT NULL AND l > 0 AND r > 0
+""")
+def q_hebrew_common_words(spark, sf):
+    """Cleaned words of both corpora. Cleaning keeps the maqaf and folding drops it, so words that
+    differ only there are two rows with one key."""
+    both = lexicon.common_from_sources(_hebrew_sources(spark, sf), "songs", "youtube", "hebrew")
+    return both.select("word", T.fold(F.col("word"), "hebrew").alias("bare"))
+
+
+@register("hebrew_titles", """
+SELECT doc_id::BIGINT AS doc_id, regexp_matches(translate(lower(left(text, 1)), 'abcdefghijklm', 'אבגדהוזחטיכלמ'), '[\u0590-\u05ff]') AS has_script FROM documents
+""")
+def q_hebrew_titles(spark, sf):
+    """F1 on the Hebrew block: does a projected initial have the script."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    return d.select(F.col("doc_id").cast("long"), T.has_script(F.translate(F.lower(F.left("text", F.lit(1))), LATIN[:13], "אבגדהוזחטיכלמ"), "hebrew").alias("has_script"))

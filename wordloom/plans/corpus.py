@@ -19,19 +19,17 @@ from pyspark.sql import functions as F
 from ..constants import SENTENCE_SOURCES
 from ..functions import text as T
 from ..operators import frequency
-from ..sources.tables import spread, table, text_lines_of
+from ..sources.tables import table, text_lines_of
 
 PROFILE = "latin"
 
 
 def documents(spark, sf) -> DataFrame:
-    """documents spread for text work; one column set for every use so the
-    spread exchange is shared (reused) within a plan."""
-    return spread(table(spark, sf, "documents").select("doc_id", "lang", "text"), "doc_id")
+    return table(spark, sf, "documents").select("doc_id", "lang", "text")
 
 
 def conversations(spark, sf) -> DataFrame:
-    return spread(table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    return table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
 
 
 def corpora(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

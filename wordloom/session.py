@@ -6,11 +6,14 @@ settings that are unset, so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 # Settings the library relies on. Applied only where the session has no value.
@@ -84,10 +87,33 @@ def ship_package(spark: SparkSession) -> None:
     sc._wordloom_shipped = True
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared checkpoint folder for what one run writes; removed when the driver exits."""
+    if not _run_folders:
+        atexit.register(_remove_run_folders)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _run_folders.append(folder)
+    return folder
+
+
+_run_folders: list[str] = []
+
+
+def _remove_run_folders() -> None:
+    for folder in _run_folders:
+        try:
+            fs, path = filesystem(folder)
+            if fs.get_file_info(path).type == pafs.FileType.Directory:
+                fs.delete_dir(path)
+        except Exception as e:  # noqa: BLE001 - the driver is going down; the folder is left to the operator
+            print(f"left {folder}: {e}")
+
+
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a shared folder and the path in it (``file:``, ``hdfs:``, ``s3:`` or a plain path)."""
+    if "://" not in uri and uri.startswith("file:"):
+        uri = "file://" + uri[len("file:"):]
+    return pafs.FileSystem.from_uri(uri)
 
 
 def apply_defaults(spark: SparkSession) -> None:
@@ -104,7 +130,3 @@ def driver_memory(cap_mb: int = 16384) -> str:
     except (ValueError, OSError, AttributeError):
         return f"{cap_mb}m"
     return f"{max(1024, min(cap_mb, int(total * 0.6)))}m"
-
-
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str],
-           replace: Sequence[str], overrides: dict[str, tuple[Column, Column]] | None = None) -> DataFrame:
+           replace: Sequence[str], overrides: dict[str, tuple[Column, Column]] | None = None,
+           order: str | None = None) -> DataFrame:
     """Merge ``updates`` into ``target`` on ``key``.
 
     New keys are inserted with the update's values; for existing keys the
@@ -18,9 +19,14 @@ def upsert(target: DataFrame, updates: DataFrame, key: str | Sequence[str],
     without an update are kept. ``overrides`` maps a column to
     ``(value_when_updated, value_when_inserted)`` for special policies
     (J6: ``last_seen`` = run date, ``first_seen`` kept / set on insert).
+    A key that comes more than once in ``updates`` counts once, with its last
+    row by ``order`` (by all columns where no order is given).
     One full outer join, shuffling both sides on the key once; an
     ``action`` column tells insert / update / keep."""
     keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in updates.columns if c not in keys and c != order]
+    last = updates.groupBy(*keys).agg(F.max(F.struct(*([order] if order else []), *rest)).alias("_last"))
+    updates = last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in updates.columns if c not in keys])
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_t"))
     u = updates.select(*[F.col(c).alias(f"u_{c}") for c in updates.columns], F.lit(True).alias("_u"))
     cond = [t[f"t_{k}"] == u[f"u_{k}"] for k in keys]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import filesystem
 
 
 def write_json(df: DataFrame, path: str, order_by: str | None = None) -> None:
@@ -79,9 +80,19 @@ def write_csv(df: DataFrame, path: str) -> bool:
     return True
 
 
-def write_song_files(files: DataFrame, path: str) -> None:
-    """K6 one text file per song, foldered by sanitised file name. Spark's
-    text sink ends every record with a line separator, so each file body is
-    followed by one newline (the reference file has none)."""
-    (files.select("file_name", F.col("body").alias("value"))
-     .repartition("file_name").write.mode("overwrite").partitionBy("file_name").text(path))
+def write_song_files(files: DataFrame, path: str, order: str = "ord") -> None:
+    """K6 one text file per song, named ``file_name``; of several songs with
+    one name the last by ``order`` (where that column exists) stays. Each task
+    writes its own files whole, so a repeated task writes the same bytes again."""
+    cols = ["file_name", "body", *([order] if order in files.columns else [])]
+    last = (files.select(F.col("file_name"), F.struct(*reversed(cols[1:])).alias("s"))
+            .groupBy("file_name").agg(F.max("s").alias("s")).select("file_name", "s.body"))
+    fs, root = filesystem(path)
+    fs.create_dir(root)
+
+    def part(rows: Iterable) -> None:
+        out, folder = filesystem(path)
+        for r in rows:
+            with out.open_output_stream(f"{folder}/{r.file_name}") as f:
+                f.write(r.body.encode("utf-8"))
+    last.foreachPartition(part)

@@ -93,24 +93,6 @@ def text_lines_of(df: DataFrame, id_cols: list[str], text_col: str = "text") ->
             .withColumn("pos", F.col("pos").cast("long")))
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give CPU-heavy per-row stages (regex tokenising, HTML parsing) at
-    least one task per core.
-
-    A scan of many files already has enough partitions and is returned
-    unchanged (no shuffle). A scan of one unsplittable file (a single row
-    group) is hash-partitioned on ``key`` (deterministic on retry) to the
-    default parallelism."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - no RDD API (Spark Connect)
-        return df
-    if n >= target:
-        return df
-    return df.repartition(target, key) if key else df.repartition(target)
-
-
 def payload_items(landing: DataFrame, body_schema, path: str, keep: list[str]) -> DataFrame:
     """S6 nested API payload scan (and R3 paged drain: one landing row per
     fetched page, ``page_no`` kept): ``landing`` holds one response body (JSON

@@ -25,8 +25,26 @@ def entity_state(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
         F.max_by(value, F.struct(ts, value)).alias("last_value"), F.count("*").alias("n_events"))
 
 
+def video_fields(payload: DataFrame) -> DataFrame:
+    """Columns of raw video payloads (``id``, ``snippet``, ``statistics`` structs): counts that are absent
+    are "0", the day is the first ten characters of the publication time."""
+    stat = lambda c: T.default(F.col(f"statistics.{c}"), "0").cast("long")
+    return payload.select(
+        F.col("id").alias("video_id"), F.col("snippet.title").alias("title"), F.col("snippet.channelTitle").alias("channel"),
+        T.date_cut(F.col("snippet.publishedAt")).alias("published_at"), stat("viewCount").alias("views"), stat("likeCount").alias("likes"),
+        stat("commentCount").alias("comment_count"))
+
+
+def comment_fields(payload: DataFrame, keep: tuple[str, ...] = ("video_id", "ord")) -> DataFrame:
+    """Columns of raw comment payloads (``snippet.topLevelComment``)."""
+    top = F.col("snippet.topLevelComment")
+    return payload.select(
+        *keep, top["id"].alias("id"), top["snippet"]["authorDisplayName"].alias("author"), top["snippet"]["textDisplay"].alias("text"),
+        top["snippet"]["likeCount"].cast("long").alias("likes"), T.date_cut(top["snippet"]["publishedAt"]).alias("published_at"))
+
+
 def refresh_videos(state: DataFrame, today: DataFrame, run_date: str, prof="hebrew") -> DataFrame:
-    """C14 J6 + F1 + P1 (field projections): trending videos whose title or channel has the script are
+    """C14 J6 + F1: trending videos whose title or channel has the script are
     merged into the state. New → inserted with first_seen = last_seen =
     run_date; known → views, likes, last_seen refreshed (title, channel,
     comment_count keep old values, D10); not trending today → unchanged."""
@@ -64,48 +82,23 @@ def dedupe_stream(spark: SparkSession, source: str, schema: StructType, keys: li
 
 def state_upsert_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
                         value: str, state_dir: str, checkpoint: str, fmt: str = "parquet"):
-    """R2/R4/K8 streaming entity state through ``foreachBatch``: each
-    micro-batch is folded into the previous state version and written as
-    version ``batch_id`` (overwrite), so a replayed batch rewrites the same
-    version — idempotent under retries and restarts. A batch commits whole
-    or not at all, so a stop mid-run (quota) keeps every finished batch
-    (R5)."""
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        delta = entity_state(batch, key, ts, value).withColumn("_ts", F.lit(None).cast("timestamp"))
-        delta = batch.groupBy(key).agg(F.max(ts).alias("_ts")).join(delta.drop("_ts"), key)
-        prev = _latest(spark, state_dir, batch_id)
-        if prev is not None:
-            both = prev.unionByName(delta)
-            delta = both.groupBy(key).agg(
-                F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
-                F.max_by("last_value", F.struct("_ts", "last_value")).alias("last_value"),
-                F.sum("n_events").alias("n_events"),
-                F.max("_ts").alias("_ts"))
-        delta.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id:010d}")
+    """R2/R4/K8 streaming entity state: a keyed aggregate in the state store
+    (``entity_state``), of which every micro-batch writes the entities it
+    changed as version ``batch_id`` (overwrite: a replayed batch rewrites the
+    same version). Bytes written follow the changes, not the size of the state.
+    A batch commits whole or not at all, so a stop mid-run (quota) keeps every
+    finished batch (R5). Returns the newest version of each entity."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
 
     s = spark.readStream.schema(schema).format(fmt).load(source)
-    q = (s.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    state = entity_state(s, key, ts, value)
+    q = (state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return _latest(spark, state_dir, None)
-
-
-def _latest(spark: SparkSession, state_dir: str, before: int | None):
-    """Newest committed state version (strictly before ``before``)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(state_dir)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return None
-    versions = sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-                      if st.getPath().getName().startswith("v=")
-                      and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
-    if before is not None:
-        versions = [v for v in versions if v < before]
-    if not versions:
-        return None
-    return spark.read.parquet(f"{state_dir}/v={versions[-1]:010d}")
+    versions = spark.read.schema(state.schema.add("v", "long")).option("basePath", state_dir).parquet(f"{state_dir}/v=*")
+    rest = [c for c in state.columns if c != key]
+    return versions.groupBy(key).agg(F.max_by(F.struct(*rest), "v").alias("s")).select(key, "s.*")
 
 
 def load_state(rows: DataFrame, key: str, ord_col: str = "ord") -> DataFrame:
@@ -131,9 +124,3 @@ def refresh_comments(videos_state: DataFrame, comments_state: DataFrame, trendin
     n_videos = videos.agg(F.count("*").alias("videos_tracked"))
     totals = n_new.select("new_comments", n_videos.scalar().alias("videos_tracked"))
     return videos.drop("action"), comments, totals
-
-
-def daily(steps) -> list:
-    """Run the daily jobs in order (refresh → counts → dataset); each step
-    is a callable that writes its output table and returns it."""
-    return [step() for step in steps]

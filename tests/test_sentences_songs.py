@@ -50,7 +50,7 @@ def test_song_lines_first_occurrence(spark):
     text = "‎שיר [פזמון\nחוזר]\n  שורה אחת - אמן  \nשורה אחת\n\nשורה שתיים\nשורה אחת"
     df = spark.createDataFrame([("s1", text), ("s2", "שורה אחת")], "song string, text string")
     got = sorted((r.song, r.pos, r.line) for r in S.song_lines(df).collect())
-    assert got == [("s1", 1, "שורה אחת"), ("s1", 4, "שורה שתיים"), ("s2", 0, "שורה אחת")]
+    assert got == [("s1", 0, "שיר"), ("s1", 1, "שורה אחת"), ("s1", 4, "שורה שתיים"), ("s2", 0, "שורה אחת")]
     sh = S.shuffled(S.song_lines(df), seed=7)
     assert sorted(r.line for r in sh.collect()) == sorted(e[2] for e in got)
     many = S.song_lines(spark.createDataFrame([("s", "\n".join(f"l{k}" for k in range(200)))], "song string, text string"))

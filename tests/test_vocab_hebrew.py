@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators import assemble as A
 from wordloom.operators import frequency, lexicon, sentences
-from wordloom.sources.html import TABLE_TYPE
+from wordloom.sources.markup import TABLE_TYPE
 from tests.conftest import rows
 
 DICT_SCHEMA = f"ord long, hebrew string, word_url string, meaning string, tables array<{TABLE_TYPE}>"

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from ..constants import NO_RESULTS_TEXT
 from ..functions import text as T
 
+_SPAN = "struct<text:string,colspan:int,rowspan:int>"
+_CELL_TYPE = "struct<hebrew:string,transcription:string,meaning:string>"
+TABLE_TYPE = f"struct<headers:array<array<{_SPAN}>>,rows:array<struct<labels:array<string>,cells:array<{_CELL_TYPE}>>>>"
 _TAG = "<[^>]*>"
 _CHILD = r"(?s)<(\w+)[^>]*>.*?</\1>"
 

@@ -161,6 +161,38 @@ def test_reply_order_links_quotes(spark):
     assert got[2, 0, "a", "from elsewhere"].from_conv == 1 and got[5, 0, "x", ""].parent_turn is None
 
 
+def test_reply_order_equals_the_sql(spark):
+    """Random nested quoting against the DuckDB statement of the query."""
+    import duckdb
+    import pandas as pd
+    r = random.Random(12)
+    pool = [f"line {k}" for k in range(6)] + ["Mixed  CASE", "é x"]
+    rows = [(c, t, "a", "\n".join("> " * r.choice([0, 0, 0, 1, 1, 2, 3]) + r.choice(pool) for _ in range(r.randint(0, 4)))) for c in range(6) for t in range(9)]
+    rows += [(x[0], x[1], x[2], x[3]) for x in MAIL if x[0] and x[1] is not None and x[0] != 2]
+    rows = [(c + 10 * (k >= 54), t, a, x) for k, (c, t, a, x) in enumerate(rows)]
+    got = quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), folder(spark))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    cur = con.execute(queries.ORACLE["op2_quotation_linking"])
+    names = [d[0] for d in cur.description]
+    key = lambda x: tuple(str(v) for v in x)
+    assert sorted(map(key, got.select(*names).collect())) == sorted(map(key, cur.fetchall()))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_oracle_parity(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    for t in ("conversations", "pages"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    got = queries.QUERIES[name](spark, SF)
+    cur = con.execute(queries.ORACLE[name])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(got.columns)
+    key = lambda x: tuple(str(v) for v in x)
+    assert sorted(map(key, got.select(*names).collect())) == sorted(map(key, cur.fetchall()))
+
+
 def test_quotes_of_empty_table_and_long_chain(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.reply_order(df, folder(spark)).collect() == []

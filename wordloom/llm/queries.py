@@ -87,6 +87,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # DuckDB SQL of the queries that SQL expresses at full scale.
 ORACLE: dict[str, str] = {
+    "op2_quotation_linking": r"""
+        WITH RECURSIVE m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+        l AS (SELECT conv_id, turn, u.i AS i, u.line AS line,
+                     length(regexp_replace(regexp_extract(u.line, '^[ \t]*((?:>[ \t]*)+)', 1), '[^>]', '', 'g')) AS level,
+                     lower(trim(regexp_replace(regexp_replace(u.line, '^[ \t]*((?:>[ \t]*)+)', ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')) AS normal
+              FROM m, unnest(string_split_regex(text, '\r?\n')) WITH ORDINALITY AS u(line, i) WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        q AS (SELECT DISTINCT conv_id, turn, level, normal FROM l WHERE level > 0 AND normal <> ''),
+        own AS (SELECT DISTINCT conv_id, turn, normal FROM l WHERE level = 0 AND normal <> ''),
+        fst AS (SELECT normal, conv_id AS c, turn AS t FROM own QUALIFY row_number() OVER (PARTITION BY normal ORDER BY conv_id, turn) = 1),
+        here AS (SELECT q.conv_id, q.turn, q.level, q.normal, max(o.turn) AS ft
+                 FROM q LEFT JOIN own o ON o.conv_id = q.conv_id AND o.normal = q.normal AND o.turn < q.turn GROUP BY ALL),
+        k AS (SELECT h.conv_id, h.turn, h.level, h.normal,
+                     CASE WHEN ft IS NOT NULL THEN h.conv_id WHEN f.c <> h.conv_id THEN f.c END AS fc,
+                     CASE WHEN ft IS NOT NULL THEN ft WHEN f.c <> h.conv_id THEN f.t END AS ft
+              FROM here h LEFT JOIN fst f USING (normal)),
+        per AS (SELECT conv_id, turn, max(level) AS levels, count(DISTINCT normal) AS nq, count(DISTINCT CASE WHEN ft IS NOT NULL THEN normal END) AS nl FROM k GROUP BY 1, 2),
+        v AS (SELECT conv_id, turn, fc, ft, count(*) AS n FROM k WHERE level = 1 AND ft IS NOT NULL GROUP BY 1, 2, 3, 4),
+        par AS (SELECT conv_id, turn, ft AS parent FROM v WHERE fc = conv_id QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY n DESC, ft DESC) = 1),
+        oth AS (SELECT conv_id, turn, fc FROM v WHERE fc <> conv_id QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY n DESC, fc DESC) = 1),
+        up AS (SELECT conv_id, turn, parent AS root FROM par UNION ALL SELECT up.conv_id, up.turn, p.parent FROM up JOIN par p ON p.conv_id = up.conv_id AND p.turn = up.root),
+        r AS (SELECT conv_id, turn, min(root) AS root FROM up GROUP BY 1, 2),
+        x AS (SELECT m.*, trim(array_to_string(list_filter(string_split_regex(text, '\r?\n'), lambda y: NOT regexp_matches(y, '^[ \t]*>')), chr(10)), ' ' || chr(9) || chr(10) || chr(13)) AS body FROM m)
+        SELECT x.conv_id::BIGINT AS conv_id, x.turn::BIGINT AS turn, x.role, x.body AS text, coalesce(per.levels, 0)::INTEGER AS levels, coalesce(per.nq, 0)::BIGINT AS n_quoted,
+               coalesce(per.nl, 0)::BIGINT AS n_linked, par.parent::BIGINT AS parent_turn, coalesce(r.root, x.turn)::BIGINT AS root_turn,
+               CASE WHEN par.parent IS NULL THEN oth.fc END::BIGINT AS from_conv,
+               concat_ws('/', coalesce(r.root, x.turn)::VARCHAR, x.turn::VARCHAR) AS position
+        FROM x LEFT JOIN per USING (conv_id, turn) LEFT JOIN par USING (conv_id, turn) LEFT JOIN oth USING (conv_id, turn) LEFT JOIN r USING (conv_id, turn)
+    """,
     "op8_warc_salvage": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
              d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(encode(html)) AS h FROM p),

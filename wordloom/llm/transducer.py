@@ -13,8 +13,9 @@ tropical semiring:
   allowed, so the shortest path equals the merge procedure's output.
 
 The transducer never joins a non-space character with a following space mark
-unless a piece does, so inputs are composed word by word and the paths of
-frequent words are kept in a cache of bounded size.
+unless a piece does, so inputs are composed word by word, words are cut between
+characters that no piece holds side by side, and the paths of words are kept in
+a cache of bounded size.
 
 Defined results: null and empty texts have no ids. Repeated rows are encoded
 alike; further columns are ignored. Decoding gives back the text exactly, apart
@@ -24,6 +25,7 @@ from characters the model maps elsewhere (U+2581 itself becomes a space).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +100,12 @@ class Transducer:
         by_score = sorted(self.lexicon, key=lambda p: (self.weight[p], self.lexicon[p]))
         self.rank = {p: k for k, p in enumerate(by_score)}
         self.longest = max(map(len, self.lexicon), default=1)
+        # longest piece that ends in two given characters
+        self.reach: dict[str, int] = {}
+        for p in self.lexicon:
+            self.reach[p[-2:]] = max(self.reach.get(p[-2:], 1), len(p))
+        # neighbouring characters within pieces: between others a word can be cut
+        self.joined = {p[k: k + 2] for p in self.lexicon for k in range(len(p) - 1)}
         self.byte = {int(p[3:-1], 16): i for i, (p, _, t) in enumerate(pieces) if t == BYTE}
         self.unknown = next((i for i, (_, _, t) in enumerate(pieces) if t == UNKNOWN), 0)
         self.whole = any(MARK in p.lstrip(MARK) for p in self.lexicon)
@@ -146,20 +154,27 @@ class Transducer:
             yield ""
 
     def _bpe_path(self, word: str) -> list[str]:
+        lexicon, pairs, reach = self.lexicon, self.pairs, self.reach
         last: dict[int, str] = {}
 
         def into(j: int) -> str:
-            """The last piece of the only allowed path to ``j``."""
-            found = last.get(j)
-            if found is None:
-                for t in self._into(word, j):
-                    i = j - (len(t) or 1)
-                    if i == 0 or not t or not (before := into(i)) or self._apart(before, t):
-                        found = last[j] = t
-                        break
+            """The last piece of the only allowed path to ``j``; '' for a character by fallback."""
+            t = last.get(j)
+            if t is None:
+                for i in range(max(0, j - reach.get(word[max(0, j - 2): j], 1)), j):
+                    t = word[i:j]
+                    if t in lexicon:
+                        if i == 0 or not (before := into(i)):
+                            break
+                        apart = pairs.get((before, t))
+                        if self._apart(before, t) if apart is None else apart:
+                            break
                 else:
-                    raise ValueError(f"no path for {word!r}")
-            return found
+                    if word[j - 1] in lexicon:
+                        raise ValueError(f"no path for {word!r}")
+                    t = ""
+                last[j] = t
+            return t
 
         if len(word) > RECURSE:
             for j in range(1, len(word) + 1):
@@ -184,6 +199,18 @@ class Transducer:
             j -= len(back[j])
         return path[::-1]
 
+    def _known(self, word: str) -> bytes:
+        """Ids of a word, from the cache if it is there."""
+        ids = self.paths.get(word)
+        if ids is None:
+            cuts = [0, *(k for k in range(1, len(word)) if word[k - 1: k + 1] not in self.joined), len(word)]
+            ids = self._ids(word) if len(cuts) == 2 else b"".join([self._known(word[a:z]) for a, z in pairwise(cuts)])
+            if len(self.paths) >= CACHE:
+                self.paths.clear()
+            if len(word) <= RECURSE:
+                self.paths[word] = ids
+        return ids
+
     def _ids(self, word: str) -> bytes:
         out: list[int] = []
         for t in (self._bpe_path if self.bpe else self._unigram_path)(word):
@@ -214,17 +241,7 @@ class Transducer:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        known, out = self.paths, []
-        for w in self._words(text):
-            ids = known.get(w)
-            if ids is None:
-                ids = self._ids(w)
-                if len(known) >= CACHE:
-                    known.clear()
-                if len(w) <= RECURSE:
-                    known[w] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), np.int32)
+        return np.frombuffer(b"".join(map(self._known, self._words(text))), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         s = b"".join(map(self.surface.__getitem__, ids.tolist())).decode("utf-8", "replace")

@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.session import ensure_checkpoint_dir, ship_package
-
-_folders: list[str] = []
+from wordloom.session import filesystem, run_folder, ship_package  # noqa: F401  (used by the operators)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,32 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared ``spark.checkpoint.dir``; removed when the driver exits."""
-    if not _folders:
-        atexit.register(_remove_folders)
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _folders.append(folder)
-    return folder
-
-
-def _remove_folders() -> None:
-    for folder in _folders:
-        try:
-            fs, path = filesystem(folder)
-            if fs.get_file_info(path).type == pafs.FileType.Directory:
-                fs.delete_dir(path)
-        except Exception as e:  # noqa: BLE001 - the driver is going down; leave the folder to the operator
-            print(f"left {folder}: {e}")
-
-
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a shared folder and the path in it (``file:``, ``hdfs:``, ``s3:`` or a plain path)."""
-    if "://" not in uri and uri.startswith("file:"):
-        uri = "file://" + uri[len("file:"):]
-    return pafs.FileSystem.from_uri(uri)
-
-
 def written(df: DataFrame, folder: str) -> DataFrame:
     """``df`` written as Parquet to a shared folder and read again: lineage ends there."""
     df.write.mode("overwrite").parquet(folder)

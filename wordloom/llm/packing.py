@@ -29,6 +29,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from wordloom.llm import common
 
 MAGIC = b"BPK1"
 BLOCK = 1 << 16
-CACHE = 200_000        # most pieces whose ids a worker keeps
+CACHE = 1_000_000      # most pieces whose ids a worker keeps, over all its tasks
 END_ID = 0
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("first", "<u8"), ("count", "<u8")])
 INDEX = np.dtype([("first", "<u8"), ("at", "<u8"), ("count", "<u4")])
@@ -161,14 +162,34 @@ class Shard:
 
 # --- encoding -----------------------------------------------------------------
 _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_stop = re.compile(r"(?s)(.*[A-Za-z\u00c0-\u024f])([.,;:!?*#$%&|]+)")
+LITERAL = "\r"   # first character of a piece's name if the piece does not begin with a space
+
+
+def pieces(text: str) -> list[str]:
+    """Names of the pieces of a text, cut before single spaces and line feeds between other characters.
+
+    A name is the piece without its space, or LITERAL and the piece. Texts
+    whose only white space is single spaces and line feeds take the short way.
+    """
+    words = text.replace("\n", " \n").split(" ")
+    if "" in words or "\n" in words or len(words) != len(text.split()):
+        return [LITERAL + p for p in _cut.split(text)] if text else []
+    words[0] = LITERAL + words[0]
+    return words
+
+
+def _spelled(name: str) -> str:
+    return name[1:] if name[0] == LITERAL else name if name[0] == "\n" else " " + name
 
 
 class Encoder:
     """Whole texts to ids by the ``tokenizers`` library, piece by piece.
 
-    The byte-level pre-tokenizer never joins a non-space character with a
-    following single space or line feed, so cutting there leaves the ids as they
-    are. A piece's ids are kept, as most pieces come again; the cache is bounded.
+    The byte-level pre-tokenizer never joins a character that is no space with
+    a single space or line feed after it, nor a letter with the punctuation
+    after it (apostrophes apart), so cutting there leaves the ids as they are.
+    A piece's ids are kept, as most pieces come again; the cache is bounded.
     """
 
     def __init__(self, path: str):
@@ -179,19 +200,34 @@ class Encoder:
         self.t.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [_cut.split(t) if t else [] for t in texts]
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list({p for pieces in cut for p in pieces})
+    def _learn(self, names: set[str]) -> None:
+        """Adds the ids of pieces that are not known; a piece with punctuation at its end is put together from two."""
+        known, both = self.known, {}
+        for name in names:
+            if m := _stop.fullmatch(name):
+                both[name] = (m[1], LITERAL + m[2])
+        new = list({x for pair in both.values() for x in pair if x not in known} | (names - both.keys()))
         for at in range(0, len(new), 4096):
             part = new[at: at + 4096]
-            for p, e in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[p] = np.array(e.ids, "<u4").tobytes()
+            for name, e in zip(part, self.t.encode_batch_fast([_spelled(x) for x in part], add_special_tokens=False), strict=True):
+                known[name] = np.array(e.ids, "<u4").tobytes()
+        for name, (a, b) in both.items():
+            known[name] = known[a] + known[b]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        cut = [pieces(t) if t else [] for t in texts]
+        if len(self.known) > CACHE:
+            self.known.clear()
+        known = self.known
+        self._learn({p for names in cut for p in names if p not in known})
         end = np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(known.__getitem__, pieces), end]), "<u4") for pieces in cut]
+        return [np.frombuffer(b"".join([*map(known.__getitem__, names), end]), "<u4") for names in cut]
+
+
+@lru_cache(maxsize=1)
+def load(path: str) -> Encoder:
+    """The encoder of a worker, with its cache."""
+    return Encoder(path)
 
 
 MANIFEST = pa.schema([("part", pa.int64()), ("path", pa.string()), ("n_docs", pa.int64()), ("tokens", pa.int64())])
@@ -203,7 +239,7 @@ def _write(folder: str, tokenizer: str, width: int):
         encoder, out, uri = None, None, f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.bpk"
         for b in common.slices(batches, 128):
             if out is None and b.num_rows:
-                encoder, out = Encoder(tokenizer), Writer(uri, width)
+                encoder, out = load(tokenizer), Writer(uri, width)
             for doc_id, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist()) if encoder else [], strict=True):
                 out.add(doc_id, ids)
         if out is not None:

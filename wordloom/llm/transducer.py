@@ -25,6 +25,7 @@ from characters the model maps elsewhere (U+2581 itself becomes a space).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from wordloom.llm import common
 
 MARK = "▁"
-CACHE = 400_000         # most words whose paths a worker keeps
+CACHE = 1_000_000       # most words whose paths a worker keeps, over all its tasks
 PAIR_CACHE = 1_000_000
 RECURSE = 200           # longer words are composed left to right
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -248,12 +249,18 @@ class Transducer:
         return s[1:] if self.prefix and s.startswith(" ") else s
 
 
+@lru_cache(maxsize=1)
+def load(model_file: str) -> Transducer:
+    """The compiled model of a worker, with its cache."""
+    return Transducer(model_file)
+
+
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("n_bytes", pa.int64()), ("round_trip", pa.bool_())])
 
 
 def _encoded(model_file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = Transducer(model_file)
+        t = load(model_file)
         for b in common.slices(batches, 256):
             texts = b.column(1).to_pylist()
             ids = [t.encode(x) for x in texts]

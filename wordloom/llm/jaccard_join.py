@@ -11,7 +11,7 @@ the first ``floor(n / 5) + 1``, so only these are posted. The boundary between
 the two ways is the size with the least estimated cost.
 
 Equal sets are one class from the start. A list with many classes is not
-expanded into pairs: its members are first compared with one hub each round,
+expanded into pairs: its members are first compared with a few hubs each round,
 and only members that still lie in different components are compared with each
 other at the end. No link between components is lost that way, and a dense
 group of near copies costs one comparison per member. Candidates go through a
@@ -44,6 +44,7 @@ HEAVY_ROWS = 1 << 20    # most shingles in the broadcast table of frequent ones
 WINDOW = 1 << 21        # shingles counted together inside a task
 SUBSET_SIZES = 14       # no set above this size enumerates subsets
 HUB_ROUNDS = 3
+HUBS = 3                # members of a list that its other members are compared with in a round
 SET_BITS = 24           # bits of the filter of classes whose sets are needed
 U64 = np.uint64
 
@@ -285,11 +286,13 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
         else:
             own = lists.join(label.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
         # of two linked sets the shorter has a shared shingle among its first n / 9, so a list needs such a member
-        rank = F.struct(F.xxhash64("cid", F.lit(step)).alias("r"), F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos"))
-        keys = (own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(F.when(F.col("pos") <= F.col("n") / 9, rank)).alias("hub"))
-                .where("lo != hi and hub is not null"))
+        member = [F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos")]
+        hubs = [F.min(F.when(F.col("pos") <= F.col("n") / 9, F.struct(F.xxhash64("cid", F.lit(step * HUBS + k)).alias("r"), *member))) for k in range(HUBS)]
+        keys = (own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.array(*hubs).alias("hubs"))
+                .where("lo != hi and hubs[0] is not null"))
         if step < HUB_ROUNDS:
-            pairs = own.join(keys.select("key", "hub.*"), "key").where("c != oc")
+            each = F.explode(F.array_distinct(F.transform("hubs", lambda x: x.dropFields("r")))).alias("hub")
+            pairs = own.join(keys.select("key", each).select("key", "hub.*"), "key").where("c != oc")
         else:
             still = common.written(own.join(keys.select("key"), "key", "left_semi").distinct(), f"{folder}/open")
             other = still.select("key", F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos"))

@@ -50,6 +50,22 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(any(y == a[i] for y in rest) for i in found)
 
 
+def test_alignment_is_exact_for_many_equal_lines():
+    r = random.Random(2)
+    assert len(page_diff.shared([7] + [1] * 1500 + [8, 2] * 20, [9] + [1] * 1500 + [2, 8] * 20)) == 1500 + 39
+    # an extra occurrence early in one page shifts every later one
+    a, b = [3] + [1, 2] * 1200 + [4], [5, 1] + [1, 2] * 1200 + [6]
+    assert len(a) ** 2 // 2 > page_diff.MATCHES and len(page_diff.shared(a, b)) == 2400
+    a, b = r.choices(range(3), k=2700), r.choices(range(3), k=2600)
+    found, row = sorted(page_diff.shared(a, b)), [0] * (len(b) + 1)
+    for x in a:
+        corner = 0
+        for j, y in enumerate(b):
+            corner, row[j + 1] = row[j + 1], corner + 1 if x == y else max(row[j + 1], row[j])
+    rest = iter(b)
+    assert len(found) == row[-1] and all(any(y == a[i] for y in rest) for i in found)
+
+
 def plain(*lines):
     return "<html><body>" + "".join(f"<p>{x}</p>" for x in lines) + "</body></html>"
 

@@ -38,7 +38,8 @@ from pyspark.sql import functions as F
 from wordloom.llm import common, kernel
 
 COPY = 0.7             # share of lines outside furniture from which mates are copies
-MATCHES = 2_000_000    # beyond so many equal line pairs, k-th occurrences are matched with k-th ones
+MATCHES = 2_000_000    # beyond so many equal line pairs, sequences are halved before they are aligned; either way is exact
+OFTEN = 64             # lines found more often keep their row of bits
 
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "xmp"}
 FURNITURE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "label", "head"}
@@ -151,20 +152,54 @@ def shared(a: list[int], b: list[int]) -> set[int]:
         tail += 1
     out = set(range(head)) | set(range(len(a) - tail, len(a)))
     x, y = a[head: len(a) - tail], b[head: len(b) - tail]
+    in_y, in_x = set(y), set(x)
+    at = [i for i, v in enumerate(x) if v in in_y]
+    out.update(head + at[i] for i in _longest([x[i] for i in at], [v for v in y if v in in_x]))
+    return out
+
+
+def _longest(x: list[int], y: list[int]) -> list[int]:
+    """Indexes of ``x`` on a longest common subsequence with ``y``: by equal pairs, or halved while these are many (Hirschberg)."""
+    counts = Counter(y)
+    if len(x) < 2 or sum(counts[v] for v in x) <= MATCHES:
+        return _by_pairs(x, y)
+    half = len(x) // 2
+    before, after = _prefix_lengths(x[:half], y), _prefix_lengths(x[half:][::-1], y[::-1])
+    cut = int(np.argmax(before + after[::-1]))
+    return _longest(x[:half], y[:cut]) + [half + i for i in _longest(x[half:], y[cut:])]
+
+
+def _prefix_lengths(x: list[int], y: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of ``x`` with every prefix of ``y``, a row of bits at a time."""
+    places: dict[int, list[int]] = {}
+    for j, v in enumerate(y):
+        places.setdefault(v, []).append(j)
+
+    def mask(js: list[int]) -> int:
+        marks = np.zeros(8 * ((len(y) + 7) // 8), np.uint8)
+        marks[js] = 1
+        return int.from_bytes(np.packbits(marks, bitorder="little").tobytes(), "little")
+
+    masks = {v: mask(js) for v, js in places.items() if len(js) > OFTEN}   # those of rare lines are made when met, so memory stays near linear
+    full = (1 << len(y)) - 1
+    row = full
+    for v in x:
+        if v not in places:
+            continue
+        hit = row & (masks[v] if v in masks else mask(places[v]))
+        row = ((row + hit) | (row - hit)) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes((len(y) + 7) // 8, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _by_pairs(x: list[int], y: list[int]) -> list[int]:
     where: dict[int, list[int]] = {}
     for j, v in enumerate(y):
         where.setdefault(v, []).append(j)
-    counts = Counter(v for v in x if v in where)
-    dense = sum(k * len(where[v]) for v, k in counts.items()) > MATCHES
     ends: list[int] = []       # smallest end in y of a common subsequence of each length
     links: list[tuple | None] = []
-    met: Counter = Counter()
     for i, v in enumerate(x):
-        js = where.get(v, ())
-        if dense and js:
-            js = js[met[v]: met[v] + 1]
-            met[v] += 1
-        for j in reversed(js):
+        for j in reversed(where.get(v, ())):
             k = bisect_left(ends, j)
             link = (i, links[k - 1] if k else None)
             if k == len(ends):
@@ -172,11 +207,12 @@ def shared(a: list[int], b: list[int]) -> set[int]:
                 links.append(link)
             elif j < ends[k]:
                 ends[k], links[k] = j, link
+    out = []
     link = links[-1] if links else None
     while link:
-        out.add(head + link[0])
+        out.append(link[0])
         link = link[1]
-    return out
+    return out[::-1]
 
 
 def main_text(page: str | None, mate: list[int] | None) -> tuple[str, int]:

@@ -87,6 +87,32 @@ def test_differencing_deletes_shared_lines_of_the_nearest_page(spark):
     assert page_diff.main_texts(df.where("false"), folder(spark)).collect() == []
 
 
+def test_short_pages_of_long_templates_are_differenced_and_copies_are_not_mates(spark):
+    site = ["logo", "link a", "link b", "link c", "copyright"]
+    words = "the body of the article under two addresses, told at some length and in more than one line " * 3
+    rows = [(1, "http://t/a/1", plain(*site, "one body")), (2, "http://t/a/2", plain(*site, "another body")), (3, "http://t/b/3", plain(*site, "third")),
+            # copies: equal under three paths, and one with a counter
+            (4, "http://u/x/1", plain(*site, "Headline", words)), (5, "http://u/x/1/print", plain(*site, "Headline", words)), (6, "http://u/x/1/send", plain(*site, "Headline", words)),
+            (7, "http://u/y/2", plain(*site, "News", words + "new", "seen 3")), (8, "http://u/y/2/print", plain(*site, "News", words + "new", "seen 4")), (9, "http://u/z", plain(*site, "last"))]
+    got = {x.page_id: x.text for x in page_diff.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), folder(spark)).collect()}
+    assert [got[i] for i in (1, 2, 3, 9)] == ["one body", "another body", "third", "last"]
+    assert got[4] == got[5] == got[6] == f"Headline {words.strip()}"
+    assert got[7] == f"News {words}new seen 3" and got[8] == f"News {words}new seen 4"
+
+
+def test_mates_do_not_depend_on_ranges(spark):
+    rows = [(f"h{k % 3}", f"/{'abcd'[k % 4]}/{k * 37 % 101}", k, k) for k in range(90)]
+    df = spark.createDataFrame(rows, "host string, path string, id long, sig long")
+    found = []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for n in ("1", "7", "40"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted(tuple(x) for x in page_diff.mates(df, folder(spark)).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] == found[2] and len(found[0]) == 90 and all(x[2] is not None and x[3] not in (None, x[2], x[1]) for x in found[0])
+
+
 def test_op10_gives_the_articles_of_the_table(spark):
     rows = {x.page_id: x for x in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for x in queries.op10_page_differencing(spark, SF).collect():

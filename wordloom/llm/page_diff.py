@@ -9,17 +9,22 @@ common is furniture.
 Markup says more where it is explicit. Lines in elements that are furniture by
 name (nav, footer, form, ...), role or class (ad, comments, ...) go whether
 shared or not; lines inside ``article`` or ``main`` stay even if shared, for
-articles of one site quote the same passages. A page whose mate shares nearly
-all of its lines (``COPY``) is the same article under another URL, and nothing
-is deleted.
+articles of one site quote the same passages.
 
-Line hashes of one page per path, not texts, travel to the mates; the pages are
+The same article under another URL is no mate. Paths whose pages have equal
+lines outside furniture are one class, and mates are taken from other classes.
+A copy with small changes is known by what it does not share with a second
+reference, the next nearest class: if the mate has nearly all of that remainder
+(``COPY``), the page is differenced against the second reference instead. A page
+that has no line of its own is kept whole.
+
+Line hashes of one page per class, not texts, travel to the mates; the pages are
 shuffled once. The neighbour search sorts (host, path) keys by range, so a host
 with a third of all pages is spread over many tasks.
 
 Defined results: null and empty html give an empty text. A page without URL, or
-alone on its host, has no mate. Pages that share a path share a mate; repeated
-rows give repeated results. Further columns are ignored.
+whose host has no other class, has no mate. Pages that share a path share a mate;
+repeated rows give repeated results. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +43,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm import common, kernel
 
-COPY = 0.7             # share of lines outside furniture from which mates are copies
+COPY = 0.05            # a copy has short changes only, and at most this share of the characters of its remainder
+PROSE = 60             # characters from which a line is taken to be prose
 MATCHES = 2_000_000    # beyond so many equal line pairs, sequences are halved before they are aligned; either way is exact
 OFTEN = 64             # lines found more often keep their row of bits
 
@@ -215,14 +222,29 @@ def _by_pairs(x: list[int], y: list[int]) -> list[int]:
     return out[::-1]
 
 
-def main_text(page: str | None, mate: list[int] | None) -> tuple[str, int]:
-    """(main text, lines shared with the mate)."""
+def signature(found: list[tuple[str, int]], hashes: list[int]) -> int | None:
+    """Hash of the lines outside furniture, or of all where there are no others."""
+    body = [h for h, (_, z) in zip(hashes, found, strict=True) if z] or hashes
+    return int.from_bytes(blake2b(np.array(body, np.int64).tobytes(), digest_size=8).digest(), "little", signed=True) if body else None
+
+
+def main_text(page: str | None, mate: list[int] | None, second: list[int] | None = None) -> tuple[str, int]:
+    """(main text, lines shared with the mate); ``second``: lines of the second reference."""
     found = lines(page)
-    common_lines = shared(line_hashes(found).tolist(), mate) if mate else set()
-    outside = [i for i, (_, z) in enumerate(found) if z]
-    copy = len(common_lines.intersection(outside)) > COPY * len(outside)
+    hashes = line_hashes(found).tolist() if mate or second else []
+    common_lines = shared(hashes, mate) if mate else set()
+    others = shared(hashes, second) if second else set()
+    outside = {i for i, (_, z) in enumerate(found) if z}
+    dropped = common_lines
+    remainder = outside - others
+    changed = remainder - common_lines
+    size = lambda some: sum(len(found[i][0]) for i in some)
+    if outside <= common_lines and not (second and remainder):
+        dropped = set()     # no line of its own
+    elif second and remainder and all(len(found[i][0]) < PROSE for i in changed) and size(changed) <= COPY * size(remainder):
+        dropped = others    # the mate is a copy
     marked = any(z == 2 for _, z in found)
-    kept = [x for i, (x, z) in enumerate(found) if z == 2 or (z == 1 and not marked and (copy or i not in common_lines))]
+    kept = [x for i, (x, z) in enumerate(found) if z == 2 or (z == 1 and not marked and i not in dropped)]
     return " ".join(kept), len(common_lines)
 
 
@@ -237,12 +259,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(path, r"(?:/|/index)?(?:\.html?|\.php)?/?$", "")
 
 
-HASHES = pa.schema([("page_id", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+HASHES = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("sig", pa.int64()), ("hashes", pa.list_(pa.int64()))])
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in common.slices(batches, 128):
-        yield common.batch(HASHES, b.column(0), pa.array([line_hashes(lines(x)) for x in b.column(1).to_pylist()], pa.list_(pa.int64())))
+        found = [lines(x) for x in b.column(3).to_pylist()]
+        hashes = [line_hashes(x).tolist() for x in found]
+        yield common.batch(HASHES, b.column(0), b.column(1), b.column(2), [signature(x, h) for x, h in zip(found, hashes, strict=True)], pa.array(hashes, pa.list_(pa.int64())))
 
 
 TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("n_shared", pa.int64())])
@@ -250,7 +274,7 @@ TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.st
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in common.slices(batches, 128):
-        rows = [main_text(page, mate) for page, mate in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+        rows = [main_text(*x) for x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
         yield common.batch(TEXTS, b.column(0), b.column(1), [t.encode("utf-8", "replace").decode() for t, _ in rows], [len(t) for t, _ in rows], [n for _, n in rows])
 
 
@@ -260,33 +284,43 @@ def _common_prefix(a: Column, b: Column) -> Column:
     return F.coalesce(F.array_min(F.filter(F.sequence(F.lit(1), F.greatest(least, F.lit(1))), lambda i: F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)))) - 1, least)
 
 
-def mates(pages: DataFrame, folder: str) -> DataFrame:
-    """(host, path, mate_id): for every path the page of the nearest other path of its host."""
-    keys = (pages.where("host != '' and page_id is not null").groupBy("host", "path").agg(F.min("page_id").alias("id")))
-    ordered = common.written(keys.repartitionByRange("host", "path").sortWithinPartitions("host", "path").withColumn("part", F.spark_partition_id()), f"{folder}/keys")
+def mates(classes: DataFrame, folder: str) -> DataFrame:
+    """(host, sig, mate_id, second_id): for every class (host, path, id, sig) the page of the nearest other path of its host, and of the next nearest."""
+    ordered = common.written(classes.repartitionByRange("host", "path").sortWithinPartitions("host", "path").withColumn("part", F.spark_partition_id()), f"{folder}/keys")
     key = F.struct("host", "path", "id")
-    # neighbours over the edge of a range: the last and first key of the ranges before and after
-    edges = ordered.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    by_part = Window.orderBy("part")   # a row per range
-    edges = edges.select("part", F.lag("high").over(by_part).alias("edge_before"), F.lead("low").over(by_part).alias("edge_after"))
+    around = {"before": F.lag(key), "before_2": F.lag(key, 2), "after": F.lead(key), "after_2": F.lead(key, 2)}
+    # neighbours over the edge of a range: from the first and last two keys of every range
+    ends = ordered.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
+    inner = (ordered.join(F.broadcast(ends), "part").groupBy("part")
+             .agg(F.min(F.when(key > F.col("low"), key)).alias("low_2"), F.max(F.when(key < F.col("high"), key)).alias("high_2")))
+    edges = (ends.join(inner, "part").select("part", F.explode(F.array_distinct(F.array("low", "low_2", "high_2", "high"))).alias("k")).where("k is not null").select("part", "k.*"))
+    by_key = Window.orderBy("host", "path")   # four rows per range
+    edges = edges.select("host", "path", *[x.over(by_key).alias(f"edge_{c}") for c, x in around.items()])
     inside = Window.partitionBy("part").orderBy("host", "path")
-    near = (ordered.withColumns({"before": F.lag(key).over(inside), "after": F.lead(key).over(inside)})
-            .join(F.broadcast(edges), "part", "left")   # bounded: a row per shuffle partition
-            .withColumns({"before": F.coalesce("before", "edge_before"), "after": F.coalesce("after", "edge_after")}))
-    size = lambda c: F.when(F.col(f"{c}.host") == F.col("host"), _common_prefix(F.col("path"), F.col(f"{c}.path")))
-    near = near.withColumns({"x": size("before"), "y": size("after")})
-    return near.select("host", "path", F.when(F.col("y").isNull() | (F.col("x") >= F.col("y")), F.when(F.col("x").isNotNull(), F.col("before.id"))).otherwise(F.col("after.id")).alias("mate_id"))
+    near = (ordered.withColumns({c: x.over(inside) for c, x in around.items()})
+            .join(F.broadcast(edges), ["host", "path"], "left")   # bounded: four rows per shuffle partition
+            .withColumns({c: F.coalesce(c, f"edge_{c}") for c in around}))
+    near = near.withColumns({c: F.when(F.col(f"{c}.host") == F.col("host"), F.col(c)) for c in around})
+    near = near.withColumns({f"{c}_x": F.when(F.col(c).isNotNull(), _common_prefix(F.col("path"), F.col(f"{c}.path"))) for c in around})
+    first = F.col("before_x").isNotNull() & (F.col("after_x").isNull() | (F.col("before_x") >= F.col("after_x")))
+    nearer = lambda a, b: F.when(F.col(f"{b}_x").isNull() | (F.col(f"{a}_x") >= F.col(f"{b}_x")), F.col(f"{a}.id")).otherwise(F.col(f"{b}.id"))
+    return near.select("host", "sig", F.when(first, F.col("before.id")).otherwise(F.col("after.id")).alias("mate_id"),
+                       F.when(first, F.coalesce(nearer("after", "before_2"), F.col("before_2.id"))).otherwise(F.coalesce(nearer("before", "after_2"), F.col("after_2.id"))).alias("second_id"))
 
 
 def main_texts(pages: DataFrame, folder: str) -> DataFrame:
     """(page_id, url, text, n_chars, n_shared) of every row of ``pages`` (page_id, url, html)."""
     whole = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     addressed = whole.withColumns({"host": F.coalesce(host_of(F.col("url")), F.lit("")), "path": F.coalesce(path_of(F.col("url")), F.lit(""))})
-    pairs = common.written(mates(addressed.select("page_id", "host", "path"), folder).where("mate_id is not null"), f"{folder}/mates")
-    hashes = whole.select("page_id", "html").mapInArrow(_hashed, "page_id long, hashes array<long>")
+    hashes = common.written(addressed.where("host != '' and page_id is not null").select("page_id", "host", "path", "html")
+                            .mapInArrow(_hashed, "page_id long, host string, path string, sig long, hashes array<long>"), f"{folder}/hashes")
+    paths = hashes.where("sig is not null").groupBy("host", "path").agg(F.min(F.struct("page_id", "sig")).alias("p")).select("host", "path", "p.page_id", "p.sig")
+    classes = paths.groupBy("host", "sig").agg(F.min(F.struct("path", "page_id")).alias("c")).select("host", "c.path", F.col("c.page_id").alias("id"), "sig")
+    near = mates(classes, folder).where("mate_id is not null")
+    pairs = common.written(paths.join(near, ["host", "sig"]).select("host", "path", "mate_id", "second_id"), f"{folder}/mates")
     # one row per page id: repeated ids would repeat the mate
-    hashes = common.written(hashes.join(pairs.select(F.col("mate_id").alias("page_id")).distinct(), "page_id", "left_semi"), f"{folder}/hashes")
-    hashes = hashes.groupBy(F.col("page_id").alias("mate_id")).agg(F.min("hashes").alias("mate"))
-    beside = pairs.join(hashes, "mate_id").select("host", "path", "mate")
-    return (addressed.join(beside, ["host", "path"], "left").select("page_id", "url", "html", "mate")
+    of = hashes.groupBy("page_id").agg(F.min("hashes").alias("of"))
+    beside = (pairs.join(of.select(F.col("page_id").alias("mate_id"), F.col("of").alias("mate")), "mate_id")
+              .join(of.select(F.col("page_id").alias("second_id"), F.col("of").alias("second")), "second_id", "left").select("host", "path", "mate", "second"))
+    return (addressed.join(beside, ["host", "path"], "left").select("page_id", "url", "html", "mate", "second")
             .mapInArrow(_texts, "page_id long, url string, text string, n_chars long, n_shared long"))

@@ -100,6 +100,21 @@ def test_short_pages_of_long_templates_are_differenced_and_copies_are_not_mates(
     assert got[7] == f"News {words}new seen 3" and got[8] == f"News {words}new seen 4"
 
 
+def test_alignment_decides_on_marked_pages_too(spark):
+    notice, quoted = "Sign up for our letter and read every story a day before all the others do", "a passage that one other article quotes as well"
+    prose = "main text {} that stands beside a teaser article and is long enough to be told from a link or a caption"
+    page = lambda k, *more: f"<html><body><p>Site</p><article><h1>Title {k}</h1><p>{notice}</p><p>text {k}</p>{''.join(f'<p>{x}</p>' for x in more)}</article><p>{prose.format(k)}</p><p>by {k}</p><p>Legal</p></body></html>"
+    law = "a long law that all articles quote " * 8
+    rows = [(1, "http://h/a/1", page("one", quoted, law)), (2, "http://h/a/2", page("two", quoted, law)), (3, "http://h/b/3", page("three", law))]
+    rows += [(4, "http://two/1", page("four", "Share", law)), (5, "http://two/2", page("five", "Share", law)), (6, "http://lone/1", page("six"))]
+    got = {x.page_id: x.text for x in page_diff.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"), folder(spark)).collect()}
+    law = law.strip()
+    assert got[1] == f"Title one text one {quoted} {law} {prose.format('one')}" and got[2] == f"Title two text two {quoted} {law} {prose.format('two')}"
+    assert got[3] == f"Title three text three {law} {prose.format('three')}"
+    assert got[4] == f"Title four {notice} text four {law} {prose.format('four')}"   # one reference: a long shared line may be a quotation
+    assert got[6] == f"Title six {notice} text six {prose.format('six')}"
+
+
 def test_mates_do_not_depend_on_ranges(spark):
     rows = [(f"h{k % 3}", f"/{'abcd'[k % 4]}/{k * 37 % 101}", k, k) for k in range(90)]
     df = spark.createDataFrame(rows, "host string, path string, id long, sig long")

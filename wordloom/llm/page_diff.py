@@ -8,8 +8,12 @@ common is furniture.
 
 Markup says more where it is explicit. Lines in elements that are furniture by
 name (nav, footer, form, ...), role or class (ad, comments, ...) go whether
-shared or not; lines inside ``article`` or ``main`` stay even if shared, for
-articles of one site quote the same passages.
+shared or not. Articles of one site quote the same passages, so a line inside
+``article`` or ``main`` goes only if both references of the page (see below)
+share it and it is shorter than ``PASSAGE``, or, where there is one reference,
+if that one shares it and it is shorter than ``PROSE``. On pages with such
+elements a line outside them stays if it is not shared and at least ``PROSE``
+long: text beside a teaser.
 
 The same article under another URL is no mate. Paths whose pages have equal
 lines outside furniture are one class, and mates are taken from other classes.
@@ -45,6 +49,7 @@ from wordloom.llm import common, kernel
 
 COPY = 0.05            # a copy has short changes only, and at most this share of the characters of its remainder
 PROSE = 60             # characters from which a line is taken to be prose
+PASSAGE = 200          # characters from which a line inside an article is a quotation though both references share it
 MATCHES = 2_000_000    # beyond so many equal line pairs, sequences are halved before they are aligned; either way is exact
 OFTEN = 64             # lines found more often keep their row of bits
 
@@ -244,7 +249,8 @@ def main_text(page: str | None, mate: list[int] | None, second: list[int] | None
     elif second and remainder and all(len(found[i][0]) < PROSE for i in changed) and size(changed) <= COPY * size(remainder):
         dropped = others    # the mate is a copy
     marked = any(z == 2 for _, z in found)
-    kept = [x for i, (x, z) in enumerate(found) if z == 2 or (z == 1 and not marked and i not in dropped)]
+    notices = {i for i in dropped & common_lines & others if len(found[i][0]) < PASSAGE} if second else {i for i in dropped if len(found[i][0]) < PROSE}
+    kept = [x for i, (x, z) in enumerate(found) if (z == 2 and i not in notices) or (z == 1 and i not in dropped and (not marked or len(x) >= PROSE))]
     return " ".join(kept), len(common_lines)
 
 

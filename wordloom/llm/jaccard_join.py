@@ -303,8 +303,10 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = common.written(pairs, f"{folder}/pairs-{step}")
-        if not pairs.take(1):
-            break
+        if not pairs.take(1):   # the hubs gave nothing new, the last round may
+            if not keys.take(1):
+                break
+            continue
         tested = pairs if tested is None else tested.unionAll(pairs)
         found = join.checked(pairs, classes, f"step-{step}")
         if not found.take(1):

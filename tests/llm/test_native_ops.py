@@ -123,6 +123,17 @@ def test_weak_supervision_adds_secrets_and_not_plain_tokens(spark):
     assert all(got[i * 4 + 3].startswith("number:") for i in range(60))
 
 
+def test_tokens_of_any_length_are_candidates(spark):
+    r = random.Random(3)
+    rows = [(k, f'a token = "{"".join(r.choices("0123456789abcdef", k=40))}" b') for k in range(60)]
+    rows += [(100 + k, f"see {'abcdefgh' * 3} word") for k in range(60)]
+    sizes = {200: 513, 201: 100_000}
+    rows += [(i, f'a token = "{"".join(r.choice("0123456789") + r.choice("abcdef") for _ in range(n))[:n]}" b') for i, n in sizes.items()]
+    rows += [(300, "+a" * 50_000), (301, "a" * 100_000 + "=")]
+    got = {x.doc_id: x.spans for x in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string"), folder(spark)).collect()}
+    assert all(f"secret:11:{11 + n}" in got[i].split(",") for i, n in sizes.items())
+
+
 def test_reliabilities_find_the_good_labeler():
     base = dict.fromkeys(pii.FLAGS, False)
     rows = [base | {"shape_hex": True, "near_secret": True, "assigned": True, "k": 90}, base | {"shape_word": True, "near_other": True, "in_path": True, "k": 90},

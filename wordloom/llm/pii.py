@@ -38,7 +38,7 @@ BASE = {
 }
 KINDS = [*BASE, "secret", "number"]
 # long tokens and numbers of 7 to 19 digits that stand alone
-CANDIDATE = r"(?<![A-Za-z0-9_])(?:[A-Za-z0-9_+/=-]{16,512}+|[0-9]{7,15}+|[0-9](?:[\x20./-]?[0-9]){6,18}+)(?![A-Za-z0-9_])"
+CANDIDATE = r"(?<![A-Za-z0-9_])(?:[A-Za-z0-9_+/=-]{16,}+|[0-9]{7,15}+|[0-9](?:[\x20./-]?[0-9]){6,18}+)(?![A-Za-z0-9_])"
 BEFORE, BLOCK = 28, 64
 PRIOR = 0.2             # share of candidates taken to be personal before any vote
 

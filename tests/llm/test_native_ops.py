@@ -57,6 +57,18 @@ def test_quality_of_an_empty_table(spark):
     assert quality.verdicts(df, folder(spark)).collect() == []
 
 
+def test_languages_without_word_lists_are_judged_by_their_own_reference(spark):
+    r = random.Random(8)
+    russian, greek, english = "абвгдежзиклмнопрстуфхыья", "αβγδεζηθικλμνοπρστυφχψω", "abcdefghiklmnoprstuwy"
+    text = lambda letters, n: " ".join("".join(r.choices(letters, k=r.randint(3, 8))) + r.choice(["", "", "", ","]) for _ in range(n))
+    rows = [(k, text(english, 90), "en") for k in range(20)] + [(100 + k, text(russian, 90), "ru") for k in range(40)]
+    rows += [(200, text("#$%<|>&*@~^{}[]", 70), "ru"), (300, text(greek, 90), "el"), (301, text(russian, 90), None), (302, text(english, 90), "ru")]
+    got = {x.doc_id: x for x in quality.verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string"), folder(spark)).collect()}
+    assert not any(x.base_failed for x in got.values())
+    assert all(got[100 + k].kept and got[100 + k].class_distance < quality.CLASS_LIMIT for k in range(40)) and got[302].kept and all(got[k].kept for k in range(20))
+    assert not got[200].kept and got[300].kept and got[300].class_distance is None and got[301].kept
+
+
 def test_quality_keeps_good_documents_and_drops_junk(spark):
     sf = "/root/testdata/sf0.1"
     rows = queries.op6_distribution_divergence(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("not base_failed").select("kept", "quality").collect()

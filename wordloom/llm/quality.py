@@ -8,11 +8,15 @@ the first sum. A document is dropped when the Jensen-Shannon distance of its
 character classes to the nearest language's reference, or of its words to its
 own language's, exceeds a limit; the word histogram counts only from
 ``WORD_GUARD`` words on, for short texts say little about frequencies, and only
-for documents of a known language.
+for documents of a known language. A language without a list of words has a
+reference of character classes if its documents have ``REFERENCE_GUARD``
+characters; its documents are compared with that one and those of the known
+languages. Where there is none, or no language is given, the classes decide
+nothing and ``class_distance`` is null.
 
 The base rules (word, symbol, line and repetition counts) are exact counts per
-text; see ``counted``. All of it is row-wise, plus one grouped sum with a row
-per known language.
+text; see ``counted``. All of it is row-wise, plus grouped sums with a row per
+language.
 
 Defined results: null, empty and blank texts have zero counts and fail the base
 rules. Repeated rows are judged alike. Further columns are ignored.
@@ -30,6 +34,7 @@ MIN_WORDS = 50
 WORD_GUARD = 100
 CLASS_LIMIT = 0.14
 WORD_LIMIT = 0.35
+REFERENCE_GUARD = 10_000   # characters from which documents of a language without a list of words make a reference
 ROUNDS = 2              # references are summed again over the documents near the first ones
 
 # The most common function words of each language.
@@ -125,12 +130,22 @@ def references(counts: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
     return out
 
 
+def other_references(counts: DataFrame) -> DataFrame:
+    """(lang, reference): the class distribution of every other language that has documents enough in ``counts``."""
+    sums = (counts.where(F.col("lang").isNotNull() & ~F.col("lang").isin(list(COMMON_WORDS))).groupBy("lang")
+            .agg(F.array(*[F.sum(F.col("classes")[k]) for k in range(len(CLASSES) + 2)]).alias("c")))
+    total = F.aggregate("c", F.lit(0).cast("long"), lambda a, c: a + c)
+    return sums.where(total >= REFERENCE_GUARD).select("lang", F.transform("c", lambda c: c / total).alias("reference"))
+
+
 def distances(refs: dict[str, tuple[list[float], list[float]]]) -> tuple[Column, Column]:
-    """(class distance to the nearest language's reference, word distance to the row's own language's)."""
+    """(class distance to the nearest language's reference, word distance to the row's own language's); ``reference``: that of another language than the known ones."""
     floats = lambda x: F.array(*map(F.lit, x))
+    own_class = F.when(F.col("reference").isNotNull(), _divergence(F.col("classes"), F.col("reference")))
     if not refs:
-        return F.lit(None).cast("double"), F.lit(None).cast("double")
+        return own_class, F.lit(None).cast("double")
     by_class = F.array_min(F.transform(F.array(*[floats(c) for c, _ in refs.values()]), lambda ref: _divergence(F.col("classes"), ref)))
+    by_class = F.when(F.col("lang").isin(list(COMMON_WORDS)), by_class).when(F.col("reference").isNotNull(), F.least(by_class, own_class))
     own = F.lit(None).cast("array<double>")
     for lang, (_, w) in refs.items():
         own = F.when(F.col("lang") == lang, floats(w)).otherwise(own)
@@ -139,13 +154,14 @@ def distances(refs: dict[str, tuple[list[float], list[float]]]) -> tuple[Column,
 
 def verdicts(docs: DataFrame, folder: str, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, lang): the base counts, base_failed, kept and both distances."""
-    counts = common.written(counted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")), folder)
+    counts = common.written(counted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")), f"{folder}/counts")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = counts.where(~failed)
-    for _ in range(ROUNDS):
+    for k in range(ROUNDS):
         by_class, by_word = distances(references(near))
-        near = counts.where(~failed & (by_class <= class_limit))
+        judged = counts.join(common.written(other_references(near), f"{folder}/languages-{k}"), "lang", "left")
+        near = judged.where(~failed & (by_class <= class_limit)).drop("reference")
     far = F.coalesce(F.col("class_distance") > class_limit, F.lit(False)) | ((F.col("n_words") >= WORD_GUARD) & F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
-    return (counts.withColumns({"class_distance": by_class, "word_distance": by_word})
+    return (judged.withColumns({"class_distance": by_class, "word_distance": by_word})
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"),
                     "class_distance", "word_distance"))

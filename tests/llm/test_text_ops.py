@@ -149,6 +149,19 @@ def test_tiling_equals_brute_force_and_catches_reordering(spark, benchmark_rows)
     assert any(x[1] for x in expected if x[0] and x[0] >= 10)
 
 
+def test_items_that_repeat_a_phrase_equal_brute_force(spark):
+    items = [(1, "ha " * 12), (2, "row of " * 10), (3, "a b c " * 8 + "d e f g h"), (4, "x " * 6 + "y " * 6), (5, "solo word here and there then")]
+    docs = [(k, f"before {t} after") for k, t in items] + [(11, "ha " * 11), (12, "ha " * 9), (13, "row of " * 7 + "z " + "row of " * 3), (14, "c a b " * 9), (15, "y " * 6 + "q " + "x " * 6), (16, "ha ha ha ha")]
+    got = {(x.doc_id, x.item_id, round(x.coverage, 6)) for x in tiling.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), folder(spark)).collect()}
+    expected = set()
+    for i, t in docs:
+        found = [(-brute_tile(t.split(), x.split(), 5) / len(x.split()), k) for k, x in items]
+        c, k = min(found)
+        expected.add((i, k, round(-c, 6)) if -c >= 0.8 else (i, None, 0.0))
+    assert got == expected and sum(x[1] is not None for x in expected) >= 8
+
+
 def test_tiling_without_benchmark(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")

@@ -182,7 +182,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, folder: str, threshold: float =
     # equal items are tiled once, under the smallest id
     items = items.groupBy("m", "n", "seeds").agg(F.min("item_id").alias("item_id"))
     items = common.written(items, f"{folder}/distinct-items")
-    seeds = items.select("item_id", "m", "n", F.explode("seeds").alias("h")).distinct()
+    seeds = items.select("item_id", "m", "n", F.explode("seeds").alias("h")).groupBy("item_id", "m", "n", "h").agg(F.count("*").cast("int").alias("k"))
     widths = sorted(r["m"] for r in items.select("m").distinct().collect())
     if not widths:
         return spark.createDataFrame([], "row long, doc_id long, item_id long, covered int, n int")
@@ -190,11 +190,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, folder: str, threshold: float =
     found = (docs.select("doc_id", F.col("text").cast("string").alias("text"), "row")
              .mapInArrow(_doc_seeds(shared, widths), "doc_id long, row long, seeds array<struct<p:int,h:long>>")
              .select("doc_id", "row", F.explode("seeds").alias("x")).select("doc_id", "row", "x.p", "x.h"))
-    # a tile of L tokens has L - m + 1 seeds, so k distinct seeds cover at most k * m tokens
+    # a tile of L tokens has L - m + 1 seeds, so tiles cover at most m tokens for each place of the item whose seed was found (k places of one seed)
     pairs = (found.join(seeds, "h").groupBy("row", "doc_id", "item_id", "m", "n")
-             .agg(F.collect_list(F.struct("p", "h")).alias("at"))
-             .where(F.size(F.array_distinct("at.h")) * F.col("m") >= F.lit(threshold) * F.col("n")))
-    whole = pairs.select("doc_id", "row", "item_id", "at").join(items, "item_id").select("doc_id", "row", "item_id", "at", "seeds", "m", "n")
+             .agg(F.collect_list(F.struct("p", "h", "k")).alias("at")))
+    places = F.aggregate(F.array_distinct(F.transform("at", lambda x: F.struct(x["h"].alias("h"), x["k"].alias("k")))), F.lit(0), lambda a, x: a + x["k"])
+    pairs = pairs.where(places * F.col("m") >= F.lit(threshold) * F.col("n"))
+    at = F.transform("at", lambda x: F.struct(x["p"].alias("p"), x["h"].alias("h"))).alias("at")
+    whole = pairs.select("doc_id", "row", "item_id", at).join(items, "item_id").select("doc_id", "row", "item_id", "at", "seeds", "m", "n")
     tiled = whole.mapInArrow(_tiled, "doc_id long, row long, item_id long, covered int, n int")
     return tiled.where(F.col("covered") >= F.lit(threshold) * F.col("n")).select("row", "doc_id", "item_id", "covered", "n")
 

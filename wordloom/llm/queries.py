@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import common, jaccard_join, packing, page_diff, pii, quality, quotes, tiling, toxicity, transducer, warc
+from wordloom.llm import common, hard_negatives, jaccard_join, length_packing, merkle, packing, page_diff, pii, quality, quotes, tiling, toxicity, transducer, warc
 
 BPE_FILE, BPE_SIZE = "byte_bpe_50k.json", 50_257
 PIECE_FILE = "piece_bpe_32k.model"
+WORD_FILE = "word_bpe_49k.json"
 TOXIC_SCORE = 0.7
 
 
@@ -79,10 +80,34 @@ def op10_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_diff.main_texts(pages, common.run_folder(spark, "op10"))
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = common.table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), hard_negatives.integer_vector("embedding").alias("v"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, common.run_folder(spark, "op11"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every row, folded from a copy of the table in which some rows' ``n_chars`` were raised by one."""
+    docs = common.table(spark, sf_dir, "documents")
+    leaf = lambda n_chars: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text"))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    raised = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    leaves = docs.select("doc_id", merkle.group_key(F.col("lang")).alias("g"), leaf(F.col("n_chars")).alias("digest"),
+                         leaf(F.when(tampered, raised).otherwise(F.col("n_chars").cast("string"))).alias("check"))
+    return merkle.manifest(leaves, common.run_folder(spark, "op12")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = length_packing.pieces(docs, public_tokenizers.path(WORD_FILE))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_benchmark_decontamination, op2_quotation_linking, op3_bit_packing, op4_toxicity, op5_sentencepiece, op6_distribution_divergence,
-        op7_weak_supervision_pii, op8_warc_salvage, op9_ngram_jaccard_join, op10_page_differencing)
+        op7_weak_supervision_pii, op8_warc_salvage, op9_ngram_jaccard_join, op10_page_differencing, op11_hard_negative_mining, op12_merkle_manifest,
+        op13_hierarchical_packing)
 }
 
 # DuckDB SQL of the queries that SQL expresses at full scale.

@@ -725,23 +725,20 @@ def q_json_extract(spark, sf):
 
 
 @register("upsert_merge", """
-WITH u AS (SELECT o_custkey AS key, arg_max(o_orderpriority, o_orderkey) AS flag, arg_max(o_totalprice, o_orderkey) AS data FROM orders GROUP BY 1),
-t AS (SELECT c_custkey AS key, c_mktsegment AS flag, c_acctbal AS data FROM customer WHERE c_nationkey < 15)
-SELECT coalesce(t.key, u.key)::BIGINT AS key, coalesce(t.flag, u.flag) AS flag, coalesce(u.data, t.data) AS data,
+WITH u AS (SELECT user_id AS key, arg_max(event_type, event_id) AS flag, arg_max(value, event_id) AS data FROM events GROUP BY 1),
+t AS (SELECT doc_id AS key, quality::VARCHAR AS flag, toxic::DOUBLE AS data FROM labels)
+SELECT coalesce(t.key, u.key)::BIGINT AS key, coalesce(t.flag, u.flag) AS flag, CASE WHEN u.key IS NULL THEN t.data ELSE u.data END AS data,
        CASE WHEN t.key IS NULL THEN 'insert' WHEN u.key IS NULL THEN 'keep' ELSE 'update' END AS action
 FROM t FULL OUTER JOIN u ON u.key = t.key
 """)
 def q_upsert_merge(spark, sf):
-    """Keyed upsert. The target holds the customers of some nations;
-    every order is an update, the last one per customer counts. New keys are
-    inserted, existing keys get the new data and keep their flag, keys without
-    orders are kept."""
+    """Keyed upsert of all labels with all events, the last one per
+    user. Users without a label are inserted, users with one get the new data
+    and keep their flag, labels without a user are kept."""
     from ..sinks.merge import upsert
-    target = (table(spark, sf, "customer").where("c_nationkey < 15")
-              .select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("flag"), F.col("c_acctbal").alias("data")))
-    upd = table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("flag"),
-                                            F.col("o_totalprice").alias("data"), "o_orderkey")
-    return upsert(target, upd, "key", replace=["data"], order="o_orderkey").withColumn("key", F.col("key").cast("long"))
+    target = table(spark, sf, "labels").select(F.col("doc_id").alias("key"), F.col("quality").cast("string").alias("flag"), F.col("toxic").cast("double").alias("data"))
+    upd = table(spark, sf, "events").select(F.col("user_id").alias("key"), F.col("event_type").alias("flag"), F.col("value").alias("data"), "event_id")
+    return upsert(target, upd, "key", replace=["data"], order="event_id").withColumn("key", F.col("key").cast("long"))
 
 
 @register("seen_state", """
@@ -1146,10 +1143,18 @@ def q_hebrew_common_words(spark, sf):
     return both.select("word", T.fold(F.col("word"), "hebrew").alias("bare"))
 
 
+TITLE_LETTERS = ("ñß", "אב")
+
+
 @register("hebrew_titles", """
-SELECT doc_id::BIGINT AS doc_id, regexp_matches(translate(lower(left(text, 1)), 'abcdefghijklm', 'אבגדהוזחטיכלמ'), '[\u0590-\u05ff]') AS has_script FROM documents
+SELECT doc_id::BIGINT AS doc_id, coalesce(regexp_matches(translate(text, 'ñß', 'אב'), '[\u0590-\u05ff]'), false) OR coalesce(regexp_matches(translate(source, '7', 'ג'), '[\u0590-\u05ff]'), false) AS has_script
+FROM documents
 """)
 def q_hebrew_titles(spark, sf):
-    """F1 on the Hebrew block: does a projected initial have the script."""
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    return d.select(F.col("doc_id").cast("long"), T.has_script(F.translate(F.lower(F.left("text", F.lit(1))), LATIN[:13], "אבגדהוזחטיכלמ"), "hebrew").alias("has_script"))
+    """F1 on the Hebrew block: has the whole text or the source a character of it, with rare letters projected onto it."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "source")
+    found = T.has_script(F.translate("text", *TITLE_LETTERS), "hebrew") | T.has_script(F.translate("source", "7", "ג"), "hebrew")
+    return d.select(F.col("doc_id").cast("long"), found.alias("has_script"))
+
+
+from . import daily  # noqa: E402,F401  (registers its queries here)

@@ -59,8 +59,8 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
         tables.alias("tables"))
 
 
-def conversation_lines(spark, sf) -> DataFrame:
-    return text_lines_of(conversations(spark, sf), ["conv_id", "turn", "role"])
+def conversation_lines(spark, sf, conv: DataFrame | None = None) -> DataFrame:
+    return text_lines_of(conversations(spark, sf) if conv is None else conv, ["conv_id", "turn", "role"])
 
 
 def document_lines(spark, sf) -> DataFrame:
@@ -71,10 +71,10 @@ def first_token(line) -> F.Column:
     return F.regexp_extract(line, r"\p{L}+", 0)
 
 
-def sentence_providers(spark, sf):
-    """Two example-sentence providers: conversation lines (priority 0) and
-    document lines (priority 1), keyed by their first token."""
-    conv = conversation_lines(spark, sf).select(
+def sentence_providers(spark, sf, conv: DataFrame | None = None):
+    """Two example-sentence providers: conversation lines (priority 0; of ``conv``
+    where given) and document lines (priority 1), keyed by their first token."""
+    conv = conversation_lines(spark, sf, conv).select(
         first_token(F.col("line")).alias("word"), F.col("line").alias("sentence"),
         F.col("role").alias("translation"),
         F.struct(F.col("conv_id").alias("a"), F.col("turn").alias("b"), F.col("pos").alias("c")).alias("ord"))

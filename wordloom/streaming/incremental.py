@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 from ..functions import text as T
 from ..operators.ordering import keep_first
 from ..sinks.merge import upsert
+from .versions import Versions, newest
 
 
 def entity_state(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
@@ -25,12 +26,12 @@ def entity_state(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
         F.max_by(value, F.struct(ts, value)).alias("last_value"), F.count("*").alias("n_events"))
 
 
-def video_fields(payload: DataFrame) -> DataFrame:
+def video_fields(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Columns of raw video payloads (``id``, ``snippet``, ``statistics`` structs): counts that are absent
     are "0", the day is the first ten characters of the publication time."""
     stat = lambda c: T.default(F.col(f"statistics.{c}"), "0").cast("long")
     return payload.select(
-        F.col("id").alias("video_id"), F.col("snippet.title").alias("title"), F.col("snippet.channelTitle").alias("channel"),
+        *keep, F.col("id").alias("video_id"), F.col("snippet.title").alias("title"), F.col("snippet.channelTitle").alias("channel"),
         T.date_cut(F.col("snippet.publishedAt")).alias("published_at"), stat("viewCount").alias("views"), stat("likeCount").alias("likes"),
         stat("commentCount").alias("comment_count"))
 
@@ -81,24 +82,22 @@ def dedupe_stream(spark: SparkSession, source: str, schema: StructType, keys: li
 
 
 def state_upsert_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
-                        value: str, state_dir: str, checkpoint: str, fmt: str = "parquet"):
+                        value: str, state_dir: str, checkpoint: str, fmt: str = "parquet", max_files: int | None = None):
     """R2/R4/K8 streaming entity state: a keyed aggregate in the state store
-    (``entity_state``), of which every micro-batch writes the entities it
-    changed as version ``batch_id`` (overwrite: a replayed batch rewrites the
-    same version). Bytes written follow the changes, not the size of the state.
+    (``entity_state``), of which every micro-batch adds the entities it changed
+    to a compacted state table (``Versions``), once per batch number however
+    often the batch is replayed. What is read follows the size of the state,
+    not the number of runs.
     A batch commits whole or not at all, so a stop mid-run (quota) keeps every
     finished batch (R5). Returns the newest version of each entity."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
-
-    s = spark.readStream.schema(schema).format(fmt).load(source)
+    s = spark.readStream.schema(schema).format(fmt)
+    s = (s.option("maxFilesPerTrigger", max_files) if max_files else s).load(source)
     state = entity_state(s, key, ts, value)
-    q = (state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    versions = Versions(spark, state_dir, state.schema, newest([key]))
+    q = (state.writeStream.outputMode("update").foreachBatch(versions.add).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    versions = spark.read.schema(state.schema.add("v", "long")).option("basePath", state_dir).parquet(f"{state_dir}/v=*")
-    rest = [c for c in state.columns if c != key]
-    return versions.groupBy(key).agg(F.max_by(F.struct(*rest), "v").alias("s")).select(key, "s.*")
+    return versions.read()
 
 
 def load_state(rows: DataFrame, key: str, ord_col: str = "ord") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.columns import bound
 from .frequency import SOURCES
 from .lexicon import form_index
 from .ordering import keep_first, sorted_list
@@ -23,13 +24,13 @@ def extract_word(word) -> F.Column:
     first present key among word/hebrew/text gives the word, whatever its value
     (a JSON null reads "None"); stripped. An object with none of the keys raises."""
     w = F.col(word) if isinstance(word, str) else word
-    v = F.try_parse_json(w)
-    is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    obj_word = F.coalesce(*[F.when(F.try_variant_get(v, f"$.{k}", "variant").isNotNull(), F.coalesce(F.try_variant_get(v, f"$.{k}", "string"), F.lit("None")))
-                            for k in ("word", "hebrew", "text")])
-    picked = F.when(is_obj & obj_word.isNull(),
-                    F.raise_error(F.concat(F.lit("Cannot extract word from entry: "), w)).cast("string"))
-    return T.strip(F.when(is_obj, F.coalesce(obj_word, picked)).otherwise(w))
+
+    def of_object(v: F.Column) -> F.Column:
+        present = [F.when(F.try_variant_get(v, f"$.{k}", "variant").isNotNull(), F.coalesce(F.try_variant_get(v, f"$.{k}", "string"), F.lit("None"))) for k in ("word", "hebrew", "text")]
+        error = F.raise_error(F.concat(F.lit("Cannot extract word from entry: "), w)).cast("string")
+        return F.when(F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), F.coalesce(*present, error)).otherwise(w)
+    # parsed once, and only what may be an object
+    return T.strip(F.when(T.strip(w).startswith("{"), bound(F.try_parse_json(w), of_object)).otherwise(w))
 
 
 def word_list(raw: DataFrame, prof="hebrew") -> DataFrame:
@@ -55,7 +56,7 @@ def unique_by_key(words: DataFrame) -> DataFrame:
 
 
 def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
-             sources: DataFrame, prof="hebrew", unique_words: bool = False) -> DataFrame:
+             sources: DataFrame | None, prof="hebrew", unique_words: bool = False, payload: tuple[str, ...] = PAYLOAD) -> DataFrame:
     """C8, nested output as the reference writes it: one row per listed word
     (duplicates kept, D1) with ``meanings`` (J1, W1, A4 ordered list),
     ``sentences`` (J2 left join) and ``sources`` (J3 left join, NULL when
@@ -64,23 +65,24 @@ def assemble(words: DataFrame, dictionary: DataFrame, sentences: DataFrame,
     providers without that cap use :func:`assemble_flat`.
 
     ``words``: from :func:`word_list`; ``sentences``: from
-    ``sentence_rows``; ``sources``: from ``folded_sources``. The entry payload
-    (inflection tables) is joined once per (bare, entry) after dedupe. The
-    arrays are bounded by the dictionary entries / sentences of one word."""
+    ``sentence_rows``; ``sources``: from ``folded_sources``, or ``None`` where
+    the words carry a ``sources`` column themselves. ``payload``: the entry
+    fields of a meaning. Without the inflection tables a group holds ids and
+    short fields only, and forms that nobody listed are left to the last join,
+    so the word list, a corpus-sized plan, is worked out once."""
     if unique_words:
         words = unique_by_key(words)
-    pairs = meaning_pairs(words, dictionary, prof)
-    cols = [c for c in PAYLOAD if c in dictionary.columns]
-    payload = dictionary.select("ord", *cols)
-    meanings = (pairs.join(payload, "ord")
+    cols = [c for c in payload if c in dictionary.columns]
+    pairs = meaning_pairs(words if "tables" in cols else None, dictionary, prof)
+    meanings = (pairs.join(dictionary.select("ord", *cols), "ord")
                 .groupBy("bare")
                 .agg(sorted_list(F.struct("ord", *cols), ["ord"], ["ord"]).alias("meanings")))
     sents = (sentences.groupBy("bare")
              .agg(sorted_list(F.struct("prio", "ord", "sentence", "translation", "source"),
                               ["prio", "ord"], ["prio", "ord"]).alias("sentences")))
-    srcs = sources.select(F.col("word").alias("bare"),
-                          F.struct(*SOURCES, "total").alias("sources"))
-    out = (words.join(meanings, "bare", "left").join(sents, "bare", "left").join(srcs, "bare", "left"))
+    out = words.join(meanings, "bare", "left").join(sents, "bare", "left")
+    if sources is not None:
+        out = out.join(sources.select(F.col("word").alias("bare"), F.struct(*SOURCES, "total").alias("sources")), "bare", "left")
     meanings_c = F.coalesce(F.col("meanings"), F.array())
     return out.select(
         "word_ord", F.col("bare").alias("word"),

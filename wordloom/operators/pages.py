@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.columns import bound
 from ..sources import markup as H
 
 from ..constants import DICT_BASE
@@ -109,12 +110,13 @@ def text_until_marker(paragraphs: Column, marker: str = T.ARTICLE_MARKER) -> Col
     """W8 row-local: paragraph texts (pieces stripped, space-joined) up to the
     first paragraph containing ``marker``; of that one only the part before
     the marker; empties skipped; joined with spaces."""
-    texts = F.transform(paragraphs, lambda p: T.join_nonempty(p, " "))
-    idx = F.array_position(F.transform(texts, lambda t: F.instr(t, marker) > 0), True)
-    before = F.slice(texts, 1, F.when(idx > 0, idx - 1).otherwise(F.size(texts)))
-    cut = F.when(idx > 0, F.array(T.strip(T.text_before(F.element_at(texts, idx.cast("int")), marker)))) \
-        .otherwise(F.array())
-    return F.array_join(F.filter(F.concat(before, cut), lambda t: t != ""), " ")
+    def until(texts: Column, idx: Column) -> Column:
+        before = F.slice(texts, 1, F.when(idx > 0, idx - 1).otherwise(F.size(texts)))
+        cut = F.when(idx > 0, F.array(T.strip(T.text_before(F.get(texts, idx - 1), marker)))).otherwise(F.array())
+        return F.array_join(F.filter(F.concat(before, cut), lambda t: t != ""), " ")
+    # the texts and the marker's place are worked out once
+    return bound(F.transform(paragraphs, lambda p: T.join_nonempty(p, " ")), lambda texts: bound(
+        F.array_position(F.transform(texts, lambda t: F.instr(t, marker) > 0), True).cast("int"), lambda idx: until(texts, idx)))
 
 
 def articles(pages: DataFrame, marker: str = T.ARTICLE_MARKER) -> DataFrame:

@@ -27,15 +27,18 @@ def song_lines(songs: DataFrame, song_col: str = "song", text_col: str = "text")
 
 
 def shuffled(lines: DataFrame, seed: int = 0, col: str = "line") -> DataFrame:
-    """O2/K2 random permutation without a global sort: rows are scattered by a
-    seeded hash of the whole row and sorted by it within each partition;
-    reading partitions in order yields the permutation. The key is a pure
-    function of the row (not of its position), so a retried task after a lost
-    executor reproduces exactly the same assignment — no row lost or doubled.
-    Pass identifying columns (song, position) along so equal lines differ."""
+    """O2/K2 random permutation without a global sort: rows go to partitions by
+    the range of a seeded hash of the whole row, and are sorted by it within
+    each; reading partitions in order yields the permutation. The hash spreads
+    evenly, so its ranges need no sampling. It is a pure function of the row
+    (not of its position), so the order is the same over any partitioning and a
+    retried task after a lost executor gives the same rows again. Pass
+    identifying columns (song, position) along so equal lines differ."""
     key = F.xxhash64(F.lit(seed), *[F.col(c) for c in lines.columns])
-    return (lines.select(col, key.alias("_k"))
-            .repartition("_k").sortWithinPartitions("_k").select(col))
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.least(F.floor((F.col("_k") / F.lit(2.0 ** 64) + 0.5) * n), F.lit(n - 1)).cast("int")
+    return (lines.select(col, key.alias("_k")).repartitionById(n, place)
+            .sortWithinPartitions("_k").select(col))
 
 
 def clean_lyrics(parts: Column) -> Column:

@@ -235,12 +235,14 @@ def q_dataset_build(spark, sf):
     dictionary form. Counts come from one corpus only, so words of the other
     have none (J3). Sentences are cut to three per word, as both providers do."""
     dic = C.dictionary(spark, sf)
-    spoken = _tokens_of(spark, sf, "documents").unionAll(_tokens_of(spark, sf, "conversations"))
-    words = lexicon.common_words(spoken, lexicon.all_forms(dic), C.PROFILE).select(F.col("word").alias("word_ord"), "word")
+    # one pass over each corpus gives the words and their counts
+    spoken = frequency.folded_sources(frequency.word_sources({"songs": C.documents(spark, sf), "youtube": C.conversations(spark, sf)}, C.PROFILE), C.PROFILE)
+    sung = F.when(F.col("songs") > 0, F.struct("songs", F.lit(0).cast("long").alias("news"), F.lit(0).cast("long").alias("youtube"), F.col("songs").alias("total")))
+    words = (spoken.join(lexicon.form_index(dic, C.PROFILE).select(F.col("bare").alias("word")), "word", "left_semi")
+             .select(F.col("word").alias("word_ord"), A.extract_word("word").alias("word"), sung.alias("sources")).select("word_ord", F.col("word").alias("bare"), "sources"))
     rows = top_k(sentences.sentence_rows(C.sentence_providers(spark, sf), C.PROFILE), ["bare"], ["prio", "ord"], T.EXAMPLES_PER_WORD)
     rows = rows.withColumn("sentence", F.concat_ws(":", "source", F.col("ord.a").cast("string"), "sentence")).drop("rank")
-    counts = frequency.folded_sources(frequency.word_sources({"songs": C.documents(spark, sf)}, C.PROFILE), C.PROFILE)
-    v = A.assemble(A.word_list(words, C.PROFILE), dic, rows, counts, C.PROFILE)
+    v = A.assemble(words, dic, rows, None, C.PROFILE, payload=("word_url",))
     return v.select("word", "multiple_meanings", F.size("meanings").cast("long").alias("n_meanings"),
                     F.array_join(F.transform("meanings", lambda x: x["word_url"]), "|").alias("meanings"), F.size("sentences").cast("long").alias("n_sentences"),
                     F.array_join(F.transform("sentences", lambda x: x["sentence"]), "|").alias("sentences"), F.col("sources.total").cast("long").alias("total"))
@@ -403,6 +405,11 @@ def q_sentences_fill(spark, sf):
     (assistant turns) first, HTML tier (documents) topping up; words already
     in the prior output (user turns) are skipped."""
     _, missing = _coverage(spark, sf)
+    return filled(spark, sf, missing)
+
+
+def filled(spark, sf, missing: DataFrame) -> DataFrame:
+    """Sentences of the ``missing`` words: assistant turns, then documents; user turns are the prior output."""
     conv = C.conversation_lines(spark, sf).select(
         T.fold(C.first_token(F.col("line")), C.PROFILE).alias("word"), "role",
         F.struct(F.col("conv_id").alias("a"), F.col("turn").alias("b"), F.col("pos").alias("c")).alias("pos"),
@@ -1157,4 +1164,4 @@ def q_hebrew_titles(spark, sf):
     return d.select(F.col("doc_id").cast("long"), found.alias("has_script"))
 
 
-from . import daily  # noqa: E402,F401  (registers its queries here)
+from . import cases, daily  # noqa: E402,F401  (they register their queries here)

@@ -60,11 +60,11 @@ def test_batches_hold_a_hundred_and_the_rest(spark):
 
 def test_one_file_per_name(spark):
     at = run_folder(spark, "sink")
-    rows = [("a b.txt", "one\n\ntwo", 1), ("a b.txt", "last", 3), ("a b.txt", "mid", 2), ("שיר+%20.txt", "", 1), ("c.txt", "x", 1)]
+    rows = [("a b.txt", "one\n\ntwo", 1), ("a b.txt", "last", 3), ("a b.txt", "mid", 2), ("שיר+%20.txt", "x", 1), ("c.txt", "x", 1)]
     committed.write(spark.createDataFrame(rows, "file_name string, body string, ord int"), at, "files")
     committed.write(spark.createDataFrame([("c.txt", "new", 1)], "file_name string, body string, ord int"), at, "files", mode="append")
     got = {r.file_name: r.body for r in committed.read(spark, at).collect()}
-    assert got == {"a b.txt": "last", "c.txt": "new"} | ({"שיר+%20.txt": ""} if "שיר+%20.txt" in got else {})
+    assert got == {"a b.txt": "last", "c.txt": "new", "שיר+%20.txt": "x"}
 
 
 def test_nothing_written(spark):
@@ -73,4 +73,4 @@ def test_nothing_written(spark):
     committed.write(spark.range(0).select(F.lit("x").alias("value")), at)
     assert committed.read(spark, at).collect() == []
     with pytest.raises(Exception, match="needs the columns"):
-        committed.write(spark.range(1).select(F.lit("x").alias("value"), F.lit("n").alias("file_name"), F.lit("b").alias("body")), at, "nothing") if "nothing" in committed.KINDS else spark.range(1).write.format("committed").option("kind", "files").mode("append").save(at)
+        spark.range(1).write.format("committed").option("kind", "files").mode("append").save(at)

@@ -199,3 +199,69 @@ def q_committed_sinks(spark, sf):
     committed.write(pages, f"{at}/files", "files")
     files = committed.read(spark, f"{at}/files")
     return out.unionAll(files.agg(F.lit("files"), F.count("*"), F.sum(F.length("body")).cast("long"), F.bool_and(F.col("file_name").rlike("^page [0-9]+[.]txt$"))))
+
+
+# --- markup of the given pages ---------------------------------------------------------------------
+def _sql_text(tag: str, css: str = "") -> str:
+    from .catalog import sql_unescape
+    body = f"regexp_replace(regexp_extract(html, '(?s)<{tag}{css}>(.*?)</{tag}>', 1), '<[^>]*>', '', 'g')"
+    return sql_unescape(f"replace(replace({body}, '&copy;', '©'), '&middot;', '·')")
+
+
+@register("page_elements", f"""
+SELECT page_id::BIGINT AS page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS page_lang, {sql_strip(_sql_text('h1'))} AS heading, {_sql_text('footer')} AS footer,
+       {_sql_text('div', ' class="ad"')} AS ad,
+       array_to_string(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1), '|') AS hrefs,
+       len(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<li>'))::BIGINT AS n_items
+FROM pages
+""")
+def q_page_elements(spark, sf):
+    """Elements cut by balance, class tokens, attributes and every character reference, on the given pages."""
+    from ..sources import markup as M
+    p = table(spark, sf, "pages").select("page_id", F.regexp_replace("html", M._NO_MARKUP, "").alias("html"))
+    html = F.col("html")
+    p = p.withColumns({"_html": F.get(M._open_tags(html, "html"), 0), "_h1": M.inner(html, "h1"), "_footer": M.inner(html, "footer"), "_ad": M.inner(html, "div", M.has_class("ad")), "_nav": M.inner(html, "nav", None, True)})
+    p = p.withColumn("_li", M._below(F.col("_nav"), lambda n: M.inner(n, "li")))
+    p = p.withColumn("_href", M._below(F.col("_li"), M._hrefs))
+    text = lambda c: F.coalesce(F.array_join(M.texts(F.get(c, 0)), ""), F.lit(""))
+    return p.select(F.col("page_id").cast("long"), M.attribute(F.col("_html"), "lang").alias("page_lang"), T.strip(text("_h1")).alias("heading"), text("_footer").alias("footer"), text("_ad").alias("ad"),
+                    F.array_join(M._unescaped(F.col("_href")), "|").alias("hrefs"), F.size("_li").cast("long").alias("n_items"))
+
+
+@register("cell_priority", f"""
+SELECT p_partkey::BIGINT AS p_partkey, CASE p_size % 4 WHEN 0 THEN {sql_strip("replace('~ ' || p_brand, '~', '')")} WHEN 1 THEN {sql_strip('p_name')} WHEN 2 THEN {sql_strip('p_name')} ELSE '' END AS form FROM part
+""")
+def q_cell_priority(spark, sf):
+    """Cells with a chaser, an empty one, none, and one that is empty without its mark."""
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    kind = F.col("p_size") % 4
+    chaser = F.when(kind == 0, F.concat(F.lit("~ "), "p_brand")).when(kind == 1, F.lit("")).when(kind == 3, F.lit(" ~ "))
+    from ..sources.markup import cell_form
+    return p.select(F.col("p_partkey").cast("long"), cell_form(chaser, F.col("p_name")).alias("form"))
+
+
+@register("file_round_trips", f"""
+SELECT 'line' AS source, u.line AS value, count(*)::BIGINT AS n FROM benchmark, unnest(string_split_regex(text, '{LB}')) AS u(line) GROUP BY 2
+UNION ALL SELECT 'csv', c_name || ',' || c_mktsegment, count(*) FROM customer GROUP BY 2
+UNION ALL SELECT 'table', coalesce(s_name, '') || '//-/' || s_suppkey, count(*) FROM supplier GROUP BY 2
+UNION ALL SELECT 'prior', r_name, count(*) FROM region GROUP BY 2
+""")
+def q_file_round_trips(spark, sf):
+    """Text lines, a spreadsheet export, the word table's defaults and a prior output that may be absent,
+    each written and read back."""
+    from ..sinks import writers
+    from ..sources import tables as S
+    at = run_folder(spark, "files")
+    lines = table(spark, sf, "benchmark").select(F.explode(T.split_lines(F.col("text"))).alias("line"))
+    writers.write_lines(lines, f"{at}/lines")
+    out = S.text_lines(spark, f"{at}/lines").select(F.lit("line").alias("source"), "value")
+    writers.write_csv(table(spark, sf, "customer").select("c_name", "c_mktsegment"), f"{at}/csv")
+    assert not writers.write_csv(table(spark, sf, "customer").select("c_name").where("false"), f"{at}/none")
+    out = out.unionAll(spark.read.option("header", True).csv(f"{at}/csv").select(F.lit("csv"), F.concat_ws(",", "c_name", "c_mktsegment")))
+    words = writers.sql_defaults(table(spark, sf, "supplier").select(F.col("s_name").alias("hebrew"), F.lit(None).cast("string").alias("root"), F.col("s_suppkey").cast("string").alias("word_url")))
+    out = out.unionAll(words.select(F.lit("table"), F.concat_ws("/", "hebrew", "transcription", "root", "word_url")))
+    region = table(spark, sf, "region").select("r_name")
+    prior = S.optional(spark, f"{at}/prior", region.schema)   # absent on the first run
+    prior.unionAll(region).write.parquet(f"{at}/prior")
+    again = S.optional(spark, f"{at}/prior", region.schema)
+    return out.unionAll(again.select(F.lit("prior"), "r_name")).groupBy("source", "value").agg(F.count("*").alias("n"))

@@ -725,7 +725,7 @@ def q_attach_tables(spark, sf):
 SELECT event_id::BIGINT AS event_id, TRY_CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
 """)
 def q_json_extract(spark, sf):
-    """Typed field of a JSON payload (parse once, variant path)."""
+    """Typed field of a JSON payload (parsed once, variant path)."""
     ev = table(spark, sf, "events").select("event_id", "props")
     return ev.select(F.col("event_id").cast("long"),
                      F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
@@ -789,7 +789,7 @@ def q_field_pipeline(spark, sf):
 SELECT DISTINCT event_id::BIGINT AS event_id, user_id::BIGINT AS user_id, event_type FROM events
 """)
 def q_comment_dedupe(spark, sf):
-    """Two runs on one checkpoint. The first delivery holds the
+    """Two runs on one checkpoint. The first delivery holds the
     purchases; the second, after a restart, the whole table, and only ids the
     state does not know yet are appended."""
     from ..session import run_folder
@@ -1035,7 +1035,8 @@ FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id // 20 ORDER BY
 WHERE lang = 'en'
 """)
 def q_article_links(spark, sf):
-    """Absolute article URLs from listing cards; cards without a link are dropped."""
+    """Absolute article URLs from listing cards. Cards get a link only for English documents here, so that cards
+    without one occur; they are dropped."""
     d = table(spark, sf, "documents").select("doc_id", "lang").withColumn("block", F.floor(F.col("doc_id") / CARDS_PER_PAGE).cast("long"))
     href = F.when(F.col("lang") == "en", F.concat(F.lit("/articles/"), F.col("doc_id").cast("string")))
     cards = d.select(F.concat(F.lit("/articles/?page="), F.col("block").cast("string")).alias("url"), _position(["block"], "doc_id").alias("pos"),

@@ -7,6 +7,8 @@ restarted or partially failed run resumes exactly where it stopped.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,12 +77,29 @@ def dedupe_stream(spark: SparkSession, source: str, schema: StructType, keys: li
         s = s.withWatermark(*watermark).dropDuplicatesWithinWatermark(keys)
     else:
         s = s.dropDuplicates(keys)
-    q = (s.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start(sink))
+    with _rocksdb(spark):
+        q = (s.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start(sink))
     q.awaitTermination()
     return spark.read.parquet(sink)
 
 
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """The state of a query that starts here is kept on disk (RocksDB), unless the session names a store of its own: a
+    state that grows with all ids ever seen does not fit the heap."""
+    key, default = "spark.sql.streaming.stateStore.providerClass", "HDFSBackedStateStoreProvider"
+    given = spark.conf.get(key)
+    if not given.endswith(default):
+        yield
+        return
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, given)
+
+
 def state_upsert_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
                         value: str, state_dir: str, checkpoint: str, fmt: str = "parquet", max_files: int | None = None):
     """R2/R4/K8 streaming entity state: a keyed aggregate in the state store

@@ -150,7 +150,9 @@ def test_stages_keep_rows_and_columns_of_odd_documents(spark):
     rows = [(None, "plain words of no id", "en", "s", 4), (1, None, None, None, None), (2, "", "en", "s", 0), (3, long, "en", "s", 9), (4, long, "en", "s", 9), (5, long + " tail", "de", "s", 9),
             (6, f"before {item} after", "en", "s", 9), (7, "mail me at a.b@example.com now", "en", "s", 9), (8, "you idiot scum moron trash loser pathetic clown", "en", "s", 9)]
     docs = spark.createDataFrame(rows, COLUMNS)
-    for stage in (stages.toxic, stages.near_duplicates, stages.decontaminated, stages.without_personal_data):
+    encoded = {x.doc_id: list(x.ids) for x in stages.encoded(spark, docs, SF).collect()}
+    assert encoded.keys() == {x[0] for x in rows} and encoded[1] == encoded[2] == [] and encoded[3] == encoded[4] != []
+    for stage in (stages.toxic, stages.near_duplicates, stages.decontaminated, stages.without_personal_data, stages.encoded):
         assert stage(spark, docs.where("false"), SF).collect() == []
     near = stages.near_duplicates(spark, docs, SF)
     assert near.columns == docs.columns and {x.doc_id for x in near.collect()} == {None, 1, 2, 3, 6, 7, 8}
@@ -162,6 +164,16 @@ def test_stages_keep_rows_and_columns_of_odd_documents(spark):
     assert polite == {x[0] for x in rows} - {8}
 
 
+def test_pii_stage_annotates_once_and_keeps_clashing_columns(spark, monkeypatch):
+    rows = [(1, "mail me at a.b@example.com now", "en", "s", 30, "b", "c", "d", "e", "f"), (2, None, "en", "s", None, None, "c", "d", "e", "f")]
+    docs = spark.createDataFrame(rows, COLUMNS + ", base string, cands string, spans string, row string, _t string")
+    plans, real = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, at: (plans.append(df), real(df, at))[1])
+    out = stages.without_personal_data(spark, docs, SF)
+    assert sum(x._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") for x in [*plans, out]) <= 5
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [(1, "mail me at <email> now", "en", "s", 22, "b", "c", "d", "e", "f"), rows[1]]
+
+
 def test_pipeline_equals_its_operators(spark):
     """run() against the operators' own results put together by plain Python."""
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "n-gram Jaccard join", "benchmark decontamination", "PII", "SentencePiece encoding and decoding"]

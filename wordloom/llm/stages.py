@@ -37,12 +37,15 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span of personal data is replaced by its kind; n_chars follows the text."""
-    folder = common.run_folder(spark, "pii")
-    notes = common.written(pii.annotated(docs.select("text")).select("cands").where(F.size("cands") > 0), folder)
-    spans = pii.all_spans(pii.trained(notes))
-    noted = pii.annotated(docs).withColumn("_spans", spans)
-    clean = noted.withColumn("text", F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("_spans"))))
-    return clean.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    # one pass over the texts, written whole: a filter over the lazy annotation would have every step of it worked out anew.
+    # The caller's columns travel in a struct, so that none clashes with those of the operator.
+    noted = pii.annotated(docs.select(F.struct("*").alias("row"), "text")).select("row", "base", "cands")
+    noted = common.written(noted, common.run_folder(spark, "pii"))
+    spanned = noted.select("row", pii.all_spans(pii.trained(noted)).alias("spans"))
+    clean = {"text": F.when(F.col("row.text").isNotNull(), pii.redacted(F.col("row.text"), F.col("spans")))}
+    if "n_chars" in docs.columns:
+        clean["n_chars"] = F.when(F.size("spans") > 0, F.length(clean["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return spanned.select(*(clean.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

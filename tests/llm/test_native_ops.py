@@ -206,7 +206,7 @@ def test_reply_order_equals_the_sql(spark):
 def test_oracle_parity(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("conversations", "pages"):
+    for t in ("conversations", "pages", "documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     cur = con.execute(queries.ORACLE[name])
@@ -228,3 +228,90 @@ def test_quotes_of_empty_table_and_long_chain(spark):
 def test_native_plans_have_no_python(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapIn", plan)
+
+
+def test_added_spans_find_the_secrets_of_the_table(spark):
+    """Hexadecimal keys and passwords of the documents, found here by a pattern of their own, against the spans of the method."""
+    sf = "/root/testdata/sf0.01"
+    docs = {x.doc_id: x.text or "" for x in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    spans = {x.doc_id: [s.split(":") for s in x.spans.split(",") if s] for x in queries.op7_weak_supervision_pii(spark, sf).collect()}
+    planted = found = 0
+    for i, text in docs.items():
+        for m in re.finditer(r"(?:(?<=password=)|(?<=\"))[0-9a-f]{16,}(?![0-9A-Za-z])", text):
+            if re.search("[a-f]", m.group()) and re.search("[0-9]", m.group()):
+                planted += 1
+                found += any(k == "secret" and int(a) <= m.start() and m.end() <= int(b) for k, a, b in spans[i])
+    assert planted >= 10 and found >= 0.9 * planted
+
+
+# --- verdict of the divergence rules, worked out again ---------------------------
+def brute_histograms(text, lang):
+    text = text or ""
+    rest = re.sub("[a-z0-9]+", "", text)
+    other = "".join(chr(c) for c in range(0x80) if c not in range(9, 14) and c != 32 and not chr(c).isalnum() and chr(c) not in ".,;:!?#*$%&|<>")
+    removed = [sum(c in of for c in rest) for of in (" \t\n\x0b\x0c\r", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".,;:!?", "#*$%&|<>", other)]
+    lower = len(text) - len(rest)
+    classes = [lower, *removed, len(text) - lower - sum(removed)]
+    words = quality.COMMON_WORDS.get(lang)
+    if words is None:
+        return classes, None
+    import regex
+    seen = regex.findall(r"(?<![^\x20\x09-\x0D])(?:" + "|".join(words) + r")(?![\p{L}\p{N}])", text.lower())
+    n_words = len([w for w in re.split(r"[\x20\x09-\x0D]+", text) if w])
+    commons = [seen.count(w) for w in words]
+    return classes, [*commons, max(n_words - sum(commons), 0)]
+
+
+def distance(counts, reference):
+    from math import log2, sqrt
+    total = sum(counts)
+    if not total:
+        return None
+    p = [c / total for c in counts]
+    m = [(a + b) / 2 for a, b in zip(p, reference)]
+    return sqrt(max(sum(a * log2(a / c) if a > 0 else 0 for a, c in zip(p, m)) + sum(b * log2(b / c) if b > 0 else 0 for b, c in zip(reference, m)), 0) / 2)
+
+
+def test_kept_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {x.doc_id: x for x in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {x.doc_id: x for x in queries.op6_distribution_divergence(spark, sf).collect()}
+    hist = {i: brute_histograms(d.text, d.lang) for i, d in docs.items()}
+    counts = {i: brute_counts(d.text) for i, d in docs.items()}
+    failed = {i: c[0] < 50 or 100 * c[4] > 50 * c[0] for i, c in counts.items()}
+    near, by_class, own = [i for i in docs if not failed[i]], {}, {}
+    for _ in range(quality.ROUNDS):
+        refs = {}
+        for lang in quality.COMMON_WORDS:
+            sums = [[sum(v) for v in zip(*(hist[i][k] for i in near if docs[i].lang == lang))] for k in (0, 1)]
+            refs[lang] = [[c / sum(s) for c in s] for s in sums]
+        by_class = {i: min((d for c, _ in refs.values() if (d := distance(hist[i][0], c)) is not None), default=None) for i in docs}
+        own = {i: distance(hist[i][1], refs[docs[i].lang][1]) for i in docs}
+        near = [i for i in docs if not failed[i] and by_class[i] is not None and by_class[i] <= quality.CLASS_LIMIT]
+    for i, x in got.items():
+        far = (by_class[i] or 0) > quality.CLASS_LIMIT or (counts[i][0] >= quality.WORD_GUARD and (own[i] or 0) > quality.WORD_LIMIT)
+        assert (x.base_failed, x.kept) == (failed[i], not failed[i] and not far), i
+        assert x.class_distance == pytest.approx(by_class[i], abs=1e-9) and x.word_distance == pytest.approx(own[i], abs=1e-9)
+    assert 0 < sum(x.kept for x in got.values()) < sum(not f for f in failed.values())
+
+
+def test_quotes_of_the_whole_table_when_turns_quote_each_other(spark):
+    """Every turn of the table quotes the first line of the turn before it and, two levels deep, of the one before that."""
+    import duckdb
+    import pandas as pd
+    from pyspark.sql import Window
+    w = Window.partitionBy("conv_id").orderBy("turn")
+    line = lambda k: F.split(F.lag("text", k).over(w), "\n")[0]
+    quote = lambda mark, k: F.coalesce(F.concat(F.lit(mark), line(k), F.lit("\n")), F.lit(""))
+    df = spark.read.parquet(f"{SF}/conversations.parquet").withColumn("text", F.concat(quote("> ", 1), quote("> >  ", 2), "text"))
+    rows = [tuple(x) for x in df.select("conv_id", "turn", "role", "text").collect()]
+    got = quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), folder(spark))
+    con = duckdb.connect()
+    con.register("conversations", pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]))
+    cur = con.execute(queries.ORACLE["op2_quotation_linking"])
+    names = [d[0] for d in cur.description]
+    key = lambda x: tuple(str(v) for v in x)
+    found = got.select(*names).collect()
+    assert sorted(map(key, found)) == sorted(map(key, cur.fetchall()))
+    later = [x for x in found if x.turn > 0]
+    assert sum(x.parent_turn is not None for x in later) > 0.9 * len(later) and max(x.levels for x in later) == 2 and all(">" != x.text[:1] for x in later)

@@ -149,4 +149,45 @@ ORACLE: dict[str, str] = {
                CASE WHEN top.top <> d.page_id THEN top.top END AS refers_to
         FROM d LEFT JOIN top USING (h)
     """,
+    "op11_hard_negative_mining": """
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, coalesce(list_sum(list_transform(list_zip(a.v, r.v), lambda z: coalesce(z[1] * z[2], 0))), 0)::BIGINT AS score
+                   FROM r a JOIN r ON r.vec_id <> a.vec_id WHERE a.vec_id % 50 = 0),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank,
+               s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+        QUALIFY rank <= 3
+    """,
+    "op12_merkle_manifest": """
+        WITH RECURSIVE c AS (SELECT i, 0 AS k, i::BIGINT AS v FROM range(256) AS x(i)
+                             UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END FROM c WHERE k < 8),
+        crc AS (SELECT list(v ORDER BY i) AS t FROM c WHERE k = 8),
+        d AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                                                    lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) % 7 = 0 AS raised
+              FROM documents, crc),
+        e AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '-' ELSE '=' || lang END AS g,
+                     list_transform([doc_id::VARCHAR, source, lang], lambda x: coalesce(strlen(x) || ':' || x, '-')) AS a, n_chars::VARCHAR AS b,
+                     CASE WHEN raised THEN (n_chars + 1)::VARCHAR ELSE n_chars::VARCHAR END AS b2, coalesce(strlen(text) || ':' || text, '-') AS z FROM d),
+        l AS (SELECT doc_id, g, sha256(array_to_string(a, '') || coalesce(strlen(b) || ':' || b, '-') || z) AS leaf,
+                     sha256(array_to_string(a, '') || coalesce(strlen(b2) || ':' || b2, '-') || z) AS bad FROM e),
+        n AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, bad) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM l),
+        t AS (SELECT g, 0 AS lev, i, leaf AS h, n FROM n
+              UNION ALL SELECT g, lev + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY g, lev, i // 2, n),
+        s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+        u AS (SELECT 0 AS lev, i, subroot AS h, n FROM s
+              UNION ALL SELECT lev + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY lev, i // 2, n),
+        w AS (SELECT doc_id, leaf, g, 0 AS lev, i, n, '' AS siblings, bad AS node FROM n
+              UNION ALL SELECT w.doc_id, w.leaf, w.g, w.lev + 1, w.i // 2, (w.n + 1) // 2, w.siblings || coalesce(x.h, ''),
+                               sha256(CASE WHEN w.i % 2 = 0 THEN w.node || coalesce(x.h, '') ELSE x.h || w.node END)
+                        FROM w LEFT JOIN t x ON x.g = w.g AND x.lev = w.lev AND x.i = w.i + 1 - 2 * (w.i % 2) WHERE w.n > 1),
+        v AS (SELECT w.doc_id, w.leaf, s.subroot, 0 AS lev, s.i, s.n, w.siblings, w.node FROM w JOIN s USING (g) WHERE w.n = 1
+              UNION ALL SELECT v.doc_id, v.leaf, v.subroot, v.lev + 1, v.i // 2, (v.n + 1) // 2, v.siblings || coalesce(x.h, ''),
+                               sha256(CASE WHEN v.i % 2 = 0 THEN v.node || coalesce(x.h, '') ELSE x.h || v.node END)
+                        FROM v LEFT JOIN u x ON x.lev = v.lev AND x.i = v.i + 1 - 2 * (v.i % 2) WHERE v.n > 1)
+        SELECT v.doc_id::BIGINT AS doc_id, v.leaf, v.subroot, u.h AS root, sha256(v.siblings) AS proof_sha256, v.node AS folded_root, v.node = u.h AS verified
+        FROM v, u WHERE v.n = 1 AND u.n = 1
+    """,
 }

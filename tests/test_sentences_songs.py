@@ -1,7 +1,4 @@
-"""Sentence providers (C5, C6) and song operators (C10, C13) against
-plain-Python restatements of the reference loops."""
-
-import random
+"""Sentence providers (C5, C6) and song operators (C10, C13) on literal cases."""
 
 from pyspark.sql import functions as F
 
@@ -68,36 +65,14 @@ def test_resolve_without_budget_tells_errors_apart(spark):
 
 
 def test_resolve_first_hit_stops_at_cap(spark):
-    rnd = random.Random(5)
-    songs, hits, errs = [], [], []
-    for o in range(60):
-        songs.append((o, f"a{o}", f"t{o}"))
-        k = rnd.choice([0, 0, 1, 2, 3])
-        for h in range(k):
-            hits.append((o, rnd.randint(0, 9) * 10 + h, f"/p{o}-{h}"))
-        if k == 0 and rnd.random() < 0.3:
-            errs.append((o,))
-    sdf = spark.createDataFrame(songs, "ord long, artist string, title string")
-    hdf = spark.createDataFrame(hits, "ord long, hit_pos long, path string")
-    edf = spark.createDataFrame(errs, "ord long") if errs else None
-    cap = 7
-    found, tally = S.resolve_first_hit(sdf, hdf, edf, cap=cap, base_url="https://x")
-    # brute force: the reference loop
-    by = {}
-    for o, p, path in hits:
-        by.setdefault(o, []).append((p, path))
-    err = {e[0] for e in errs}
-    exp_found, counts = [], {}
-    for o, a, t in songs:
-        if o in err:
-            out = "ERROR"
-        elif o in by:
-            out = "FOUND"
-            exp_found.append((o, "https://x" + min(by[o])[1]))
-        else:
-            out = "NOT FOUND"
-        counts[out] = counts.get(out, 0) + 1
-        if len(exp_found) >= cap:
-            break
-    assert sorted((r.ord, r.url) for r in found.collect()) == exp_found
-    assert {r.outcome: r.n for r in tally.collect()} == counts
+    """Ten songs: 1, 2, 4, 7 and 9 have hits, 3 fails, 5 has hits and fails."""
+    songs = spark.createDataFrame([(k, f"a{k}", f"t{k}") for k in range(10)], "ord long, artist string, title string")
+    hits = [(1, 20, "/p1-b"), (1, 3, "/p1-a"), (2, 0, "/p2"), (4, 5, "/p4-a"), (4, 6, "/p4-b"), (5, 1, "/p5"), (7, 9, "/p7"), (9, 2, "/p9")]
+    hdf, edf = spark.createDataFrame(hits, "ord long, hit_pos long, path string"), spark.createDataFrame([(3,), (5,)], "ord long")
+    stops = {1: ([1], {"FOUND": 1, "NOT FOUND": 1}), 3: ([1, 2, 4], {"FOUND": 3, "NOT FOUND": 1, "ERROR": 1}),
+             4: ([1, 2, 4, 7], {"FOUND": 4, "NOT FOUND": 2, "ERROR": 2}), 6: ([1, 2, 4, 7, 9], {"FOUND": 5, "NOT FOUND": 3, "ERROR": 2})}
+    url = {1: "https://x/p1-a", 2: "https://x/p2", 4: "https://x/p4-a", 7: "https://x/p7", 9: "https://x/p9"}
+    for cap, (found_ords, counts) in stops.items():
+        found, tally = S.resolve_first_hit(songs, hdf, edf, cap=cap, base_url="https://x")
+        assert sorted((r.ord, r.url) for r in found.collect()) == [(o, url[o]) for o in found_ords]
+        assert {r.outcome: r.n for r in tally.collect()} == counts

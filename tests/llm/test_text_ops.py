@@ -1,5 +1,6 @@
 """Jaccard join, tiling, toxicity: brute force on small fixtures, and edge cases."""
 
+import os
 import random
 
 import numpy as np
@@ -70,6 +71,36 @@ def test_jaccard_components_equal_brute_force(spark, seed):
     assert sorted(map(key, got)) == sorted(map(key, brute_components(rows)))
 
 
+@pytest.mark.parametrize("rounds", [0, 1, 8])
+def test_jaccard_components_do_not_depend_on_hub_rounds(spark, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard_join, "HUB_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "PAIRWISE", 0)
+    rows = fixture_docs(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.component_table(df, folder(spark)).select("doc_id", "n_shingles", "component_id").collect()
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(map(key, got)) == sorted(map(key, brute_components(rows)))
+
+
+def test_jaccard_pairs_of_a_large_group_grow_with_its_members(spark):
+    """Near copies by 0 to 5 changed words, so that many of them do not link with each other."""
+    def pairs(n):
+        r = random.Random(9)
+        base = [f"w{k}" for k in range(150)]
+        rows = []
+        for i in range(n):
+            w = list(base)
+            for _ in range(r.randint(0, 5)):
+                w[r.randrange(len(w))] = f"x{i}-{r.randrange(10**6)}"
+            rows.append((i, " ".join(w)))
+        at = folder(spark)
+        got = jaccard_join.component_table(spark.createDataFrame(rows, "doc_id long, text string"), at).select("doc_id", "n_shingles", "component_id").collect()
+        assert sorted(map(tuple, got)) == sorted(brute_components(rows))
+        return sum(spark.read.parquet(f"{at}/{x}").count() for x in ("pairs-0", "pairs-1", "pairs-2") if os.path.exists(f"{at.removeprefix('file:')}/{x}"))
+    few, many = pairs(150), pairs(600)
+    assert many <= 6 * few and many <= 8 * 600
+
+
 def test_jaccard_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.component_table(df, folder(spark)).collect() == []
@@ -201,6 +232,30 @@ def test_counterfactual_penalty_closes_the_gap_between_groups(spark):
     assert found[20.0][4] == found[20.0][5] and 0 <= found[20.0][4] < 0.7
 
 
+def test_every_training_text_has_a_counterfactual():
+    assert toxicity.counterfactual("The Muslims and the women") == "The jews and the men"
+    assert toxicity.counterfactual("Die Männer, die FRAUEN") == "Die frauen, die männer"
+    for text in ("plain words", "", None, "womenfolk"):
+        got = toxicity.counterfactual(text)
+        assert got.startswith(text or "") and got.split()[-1] in toxicity.SWAP and got == toxicity.counterfactual(text)
+    assert len({toxicity.counterfactual(f"text {k}").split()[-1] for k in range(500)}) > 60   # mentions of all languages
+
+
+def test_the_penalty_acts_on_the_given_tables(spark):
+    """No document there names a group; the scores change with the penalty, held-out accuracy does not."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    train = labels.where(~queries.held_out()).select("doc_id", "toxic")
+    y = {x.doc_id: x.toxic for x in labels.where(queries.held_out()).collect()}
+    found, right = {}, {}
+    for penalty in (0.0, 1.0):
+        found[penalty] = {x.doc_id: x.score for x in toxicity.scores(docs, toxicity.train(docs, train, penalty=penalty)).collect()}
+        right[penalty] = sum((found[penalty][i] >= queries.TOXIC_SCORE) == bool(t) for i, t in y.items()) / len(y)
+    assert sum(abs(found[0.0][i] - found[1.0][i]) > 1e-6 for i in found[0.0]) > 100
+    assert right[1.0] >= right[0.0] - 0.01 and right[1.0] > 0.9
+
+
 def test_toxicity_with_one_class_or_no_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id long, text string")
     for labels in ([], [(1, 0)], [(1, None), (None, 1)]):

@@ -12,9 +12,15 @@ the two ways is the size with the least estimated cost.
 
 Equal sets are one class from the start. A list with many classes is not
 expanded into pairs: its members are first compared with a few hubs each round,
-and only members that still lie in different components are compared with each
-other at the end. No link between components is lost that way, and a dense
-group of near copies costs one comparison per member. Candidates go through a
+the member with the fewest lighter shingles before the list's own (of a group
+of near copies the least changed one, which most of the others link with) and
+the first members of two random components. A hub leaves its list once it met
+all of it, a list with one component left is closed, and after the first round
+others follow while they find links and the open lists hold more than PAIRWISE
+pairs per document; then, or after HUB_ROUNDS, the rest are compared with each
+other. No link
+between components is lost that way, and a dense group of near copies costs
+about one comparison per member. Candidates go through a
 64-bucket histogram whose bucket-wise minimum bounds the intersection from
 above, then through an exact intersection of the two sets.
 
@@ -43,7 +49,8 @@ BUCKETS = 64            # histogram buckets of the upper bound
 HEAVY_ROWS = 1 << 20    # most shingles in the broadcast table of frequent ones
 WINDOW = 1 << 21        # shingles counted together inside a task
 SUBSET_SIZES = 14       # no set above this size enumerates subsets
-HUB_ROUNDS = 3
+HUB_ROUNDS = 8          # most rounds of hubs
+PAIRWISE = 1024         # pairs of places in open lists per document that are joined without a further round; few of them pass the position test
 HUBS = 3                # members of a list that its other members are compared with in a round
 SET_BITS = 24           # bits of the filter of classes whose sets are needed
 U64 = np.uint64
@@ -280,21 +287,35 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
     label = None   # (v, c) of the classes linked so far
     links: DataFrame | None = None
     tested: DataFrame | None = None
+    spent: DataFrame | None = None   # (key, cid) of the hubs that met their lists in the round before
+    n_docs, settled = members.count(), True
     for step in range(HUB_ROUNDS + 1):
+        own = lists if spent is None else lists.join(spent, ["key", "cid"], "left_anti")
         if label is None:
-            own = lists.withColumn("c", F.col("cid"))
+            own = own.withColumn("c", F.col("cid"))
         else:
-            own = lists.join(label.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
+            own = own.join(label.withColumnRenamed("v", "cid"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
         # of two linked sets the shorter has a shared shingle among its first n / 9, so a list needs such a member
         member = [F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos")]
-        hubs = [F.min(F.when(F.col("pos") <= F.col("n") / 9, F.struct(F.xxhash64("cid", F.lit(step * HUBS + k)).alias("r"), *member))) for k in range(HUBS)]
-        keys = (own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.array(*hubs).alias("hubs"))
+        place, able = F.col("pos").cast("long"), F.col("pos") <= F.col("n") / 9
+        ranks = [(place, F.xxhash64("cid", F.lit(step))), *((F.xxhash64("c", F.lit(step * HUBS + k)), place) for k in range(1, HUBS))]
+        hubs = [F.min(F.when(able, F.struct(r.alias("r"), then.alias("then"), *member))) for r, then in ranks]
+        keys = (own.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.array(*hubs).alias("hubs"), F.count("*").alias("m"), F.count_if(able).alias("e"))
                 .where("lo != hi and hubs[0] is not null"))
-        if step < HUB_ROUNDS:
-            each = F.explode(F.array_distinct(F.transform("hubs", lambda x: x.dropFields("r")))).alias("hub")
-            pairs = own.join(keys.select("key", each).select("key", "hub.*"), "key").where("c != oc")
+        keys = common.written(keys.select("key", F.array_distinct(F.transform("hubs", lambda x: x.dropFields("r", "then"))).alias("hubs"), "m", "e"), f"{folder}/keys-{step}")
+        still_pairs = keys.agg(F.sum(F.col("m").cast("double") * F.col("e"))).first()[0]
+        if still_pairs is None:
+            break
+        if step:   # only open lists go on
+            own = common.written(own.join(keys.select("key"), "key", "left_semi"), f"{folder}/open-{step}")
+            lists = own.drop("c")
+        last = step == HUB_ROUNDS or (step > 0 and (not settled or still_pairs <= PAIRWISE * n_docs))
+        if not last:
+            each = keys.select("key", F.explode("hubs").alias("hub")).select("key", "hub.*")
+            pairs = own.join(each, "key").where("c != oc")
+            spent = each.select("key", F.col("o").alias("cid"))
         else:
-            still = common.written(own.join(keys.select("key"), "key", "left_semi").distinct(), f"{folder}/open")
+            still = own.join(keys.select("key"), "key", "left_semi").distinct()
             other = still.select("key", F.col("cid").alias("o"), F.col("n").alias("on"), F.col("c").alias("oc"), F.col("pos").alias("opos"))
             pairs = still.join(other, "key").where("cid < o and c != oc")
         # both must meet the required intersection from this shingle on
@@ -303,16 +324,15 @@ def component_table(docs: DataFrame, folder: str, doc_id: str = "doc_id", text:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = common.written(pairs, f"{folder}/pairs-{step}")
-        if not pairs.take(1):   # the hubs gave nothing new, the last round may
-            if not keys.take(1):
-                break
-            continue
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        found = join.checked(pairs, classes, f"step-{step}")
-        if not found.take(1):
-            continue
-        links = found if links is None else links.unionAll(found)
-        label = common.written(common.components(links, f"{folder}/components-{step}"), f"{folder}/label-{step}")
+        settled = False
+        if pairs.take(1):
+            tested = pairs if tested is None else tested.unionAll(pairs)
+            found = join.checked(pairs, classes, f"step-{step}")
+            if settled := bool(found.take(1)):
+                links = found if links is None else links.unionAll(found)
+                label = common.written(common.components(links, f"{folder}/components-{step}"), f"{folder}/label-{step}")
+        if last:
+            break
 
     out = members.select("doc_id", "n", F.when(F.col("n") > 0, F.col("cid")).alias("class_id"))
     if label is not None:

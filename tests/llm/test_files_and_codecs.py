@@ -67,6 +67,19 @@ def test_piecewise_encoding_equals_whole_text_encoding():
         assert ids.tolist() == [*whole.encode(t or "", add_special_tokens=False).ids, packing.END_ID], repr(t)
 
 
+def test_every_white_space_in_100_000_random_texts():
+    """Lone carriage returns after spaces and at the begin included."""
+    r = random.Random(11)
+    space = [" ", " ", "\n", "\r", "\t", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\r\n", " \r", "\r "]
+    words = ["a", "bee", "Word", "x.", "12", "'s", "é", "--"]
+    texts = ["a \rb", "one \rtwo three", "\rx", "\r", " \r", "a\r b"] + ["".join(r.choice(space if r.random() < 0.5 else words) for _ in range(r.randint(1, 9))) for _ in range(100_000)]
+    encoder, whole = packing.Encoder(public_tokenizers.path(queries.BPE_FILE)), whole_text_encoder()
+    for at in range(0, len(texts), 5000):
+        part = texts[at: at + 5000]
+        for t, ids, e in zip(part, encoder.encode(part), whole.encode_batch(part, add_special_tokens=False), strict=True):
+            assert ids.tolist() == [*e.ids, packing.END_ID], repr(t)
+
+
 def brute_digests(rows):
     t, start, out = whole_text_encoder(), 0, []
     for doc_id, text in rows:
@@ -182,7 +195,7 @@ def test_unigram_path_is_the_cheapest():
     t = object.__new__(transducer.Transducer)
     t.lexicon = {"a": 0, "b": 1, "ab": 2, "aba": 3, "ba": 4}
     t.weight = {"a": 2.0, "b": 2.0, "ab": 3.0, "aba": 3.5, "ba": 1.0}
-    t.longest, t.unknown_weight = 3, 20.0
+    t.longest, t.unknown_weight, t.bpe = 3, 20.0, False
 
     def brute(w):
         if not w:
@@ -193,7 +206,7 @@ def test_unigram_path_is_the_cheapest():
     r = random.Random(1)
     for _ in range(200):
         w = "".join(r.choices("abc", k=r.randint(1, 8)))
-        path = t._unigram_path(w)
+        path = t.path(w)
         assert "".join(path) == w and abs(sum(t.weight.get(p, 20.0) for p in path) - brute(w)) < 1e-9
 
 
@@ -202,3 +215,49 @@ def test_op5_edge_rows(spark, pieces):
     got = transducer.encoded(df, public_tokenizers.path(queries.PIECE_FILE)).collect()
     assert all(x.round_trip for x in got) and [x.n_ids for x in got if x.ids == []] == [0, 0]
     assert sorted(tuple(x.ids) for x in got if x.ids) == sorted([tuple(pieces[1].encode("é 日")), *[tuple(pieces[1].encode("a"))] * 2])
+
+
+def test_every_word_takes_the_least_path(spark):
+    """The search of BPE words and the composition solved by shortest_path give the same pieces."""
+    t = transducer.Transducer(public_tokenizers.path(queries.PIECE_FILE))
+    r = random.Random(8)
+    words = {w for x in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect() for w in t._words(x.text or "")}
+    words = [w for w in r.sample(sorted(words), 1500) if len(w) < 60]
+    words += ["".join(r.choices("abcdefeorstnié▁日本😀\x00", k=r.randint(1, 12))) for _ in range(1500)]
+    for w in words:
+        assert t.path(w) == t._bpe_path(w), w
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc_cf", "identity"])
+def test_character_maps_equal_the_library(rule):
+    from wordloom.llm.lattice import Normaliser
+    library = sentencepiece.SentencePieceNormalizer(rule_name=rule, escape_whitespaces=False, add_dummy_prefix=False, remove_extra_whitespaces=False)
+    spec = next(dict(transducer._fields(v)) for k, v in transducer._fields(library.serialized_model_proto()) if k == 3)
+    own, r = Normaliser(spec.get(2, b"")), random.Random(2)
+    texts = ["", "ﬁ Å ①㍿ ﾊﾞ \u3000x\t\r\n", "plain text"] + ["".join(chr(r.choice([r.randrange(32, 0x250), r.randrange(0x300, 0x3400), r.randrange(0xF900, 0x10000), 0x1D400 + r.randrange(900)])) for _ in range(r.randint(1, 12))) for _ in range(4000)]
+    for x in texts:
+        assert own(x) == library.normalize(x), repr(x)
+
+
+def test_shortest_path_in_the_tropical_semiring():
+    from wordloom.llm.lattice import shortest_path
+    arcs = {0: [(1, "a", 1.0, "x"), (2, "b", 5.0, "y")], 1: [(1, "b", 1.5, "z"), (1, "a", float("inf"), "no")], 2: [(1, "", 0.0, "end")]}
+    assert shortest_path(3, "", lambda i, state: iter(arcs[i])) == (2.5, ["x", "z", "end"])
+    assert shortest_path(2, "", lambda i, state: iter([(1, "", float("inf"), "no")])) is None and shortest_path(0, "", lambda i, state: iter([])) == (0.0, [])
+
+
+def test_a_wrong_length_does_not_pull_the_file_into_memory(tmp_path, monkeypatch):
+    """A plain record that claims almost all of a long file is quarantined after a few small reads."""
+    good = [warc.record(k, f"http://a/{k}", p, None, False) for k, p in enumerate(PAYLOADS)]
+    filler = b"x" * 20_000_000
+    claimed = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 20000100\r\n\r\nshort\r\n\r\n"
+    path = tmp_path / "a.warc"
+    path.write_bytes(good[0] + claimed + good[1] + filler + good[2])
+    f = warc._File(str(path))
+    read, real = [], warc._File.at
+    monkeypatch.setattr(warc._File, "at", lambda self, pos, n: (read.append(n), real(self, pos, n))[1])
+    with pytest.raises(warc.Broken):
+        warc.parse(f, len(good[0]))
+    assert sum(read) < 1_000_000
+    records, _ = records_of(path)
+    assert [k for _, k, _ in records] == [0, 1, 2]

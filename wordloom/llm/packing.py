@@ -170,10 +170,11 @@ def pieces(text: str) -> list[str]:
     """Names of the pieces of a text, cut before single spaces and line feeds between other characters.
 
     A name is the piece without its space, or LITERAL and the piece. Texts
-    whose only white space is single spaces and line feeds take the short way.
+    whose only white space is single spaces and line feeds take the short way,
+    so no word there begins with LITERAL.
     """
     words = text.replace("\n", " \n").split(" ")
-    if "" in words or "\n" in words or len(words) != len(text.split()):
+    if LITERAL in text or "" in words or "\n" in words or len(words) != len(text.split()):
         return [LITERAL + p for p in _cut.split(text)] if text else []
     words[0] = LITERAL + words[0]
     return words

@@ -1,16 +1,20 @@
 """SentencePiece encoding and decoding with a weighted finite-state transducer.
 
-A model file is compiled into three parts: the normaliser (dummy prefix, spaces
-to U+2581), a piece lexicon whose arcs read a piece and write its id, and byte
-fallback arcs that read a character outside the lexicon and write its bytes'
-ids. Encoding composes them with the input and takes the shortest path in the
-tropical semiring:
+A model file is compiled into three parts: the normaliser (the model's character
+map, extra spaces, dummy prefix, spaces to U+2581), a piece lexicon whose arcs
+read a piece and write its id, and byte fallback arcs that read a character
+outside the lexicon and write its bytes' ids. Encoding composes them with the
+input (``arcs``) and takes the shortest path in the tropical semiring
+(``lattice.shortest_path``):
 
 * unigram models: an arc weighs minus its piece's score;
 * BPE models: a bigram acceptor over the pieces allows an arc (weight 0) after a
   piece only if merging leaves the two apart, and forbids it (infinite weight)
   otherwise. A merge result is the one path on which every neighbouring pair is
-  allowed, so the shortest path equals the merge procedure's output.
+  allowed, so the shortest path equals the merge procedure's output. As every
+  finite path weighs 0, a search from the word's end that stops at the first
+  allowed arc finds the same path without visiting the others; words take this
+  way (``_bpe_path``).
 
 The transducer never joins a non-space character with a following space mark
 unless a piece does, so inputs are composed word by word, words are cut between
@@ -24,9 +28,10 @@ from characters the model maps elsewhere (U+2581 itself becomes a space).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm import common
+from wordloom.llm.lattice import Arc, Normaliser, shortest_path
 
 MARK = "▁"
 CACHE = 1_000_000       # most words whose paths a worker keeps, over all its tasks
@@ -87,10 +93,9 @@ class Transducer:
                 trainer = dict(_fields(value))
             elif number == 3:
                 normaliser = dict(_fields(value))
-        if normaliser.get(2):
-            raise ValueError("models with a character map are not supported")
-        if not normaliser.get(5, 1) or normaliser.get(4, 1) or trainer.get(24, 0):
-            raise ValueError("only models that keep all spaces, as marks before words, are supported")
+        if not normaliser.get(5, 1) or trainer.get(24, 0):
+            raise ValueError("only models that write spaces as marks before words are supported")
+        self.normaliser, self.squeeze = Normaliser(normaliser.get(2, b"")), bool(normaliser.get(4, 1))
         kind = trainer.get(3, 1)
         if kind not in (1, 2):
             raise ValueError("only unigram and BPE models are supported")
@@ -144,15 +149,28 @@ class Transducer:
             parts[at: at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _into(self, word: str, j: int) -> Iterator[str]:
-        """Labels of the arcs that end at ``j``, longest first; '' is the fallback arc of one character."""
-        lexicon, any_arc = self.lexicon, False
-        for i in range(max(0, j - self.longest), j):
-            if word[i:j] in lexicon:
-                any_arc |= i == j - 1
-                yield word[i:j]
-        if not any_arc:
-            yield ""
+    def arcs(self, word: str) -> Callable[[int, str], Iterator[Arc]]:
+        """The composition of a normalised word with the lexicon and the fallback; a BPE state is the piece just read."""
+        lexicon = self.lexicon
+
+        def out(i: int, before: str) -> Iterator[Arc]:
+            for n in range(min(self.longest, len(word) - i), 0, -1):
+                t = word[i: i + n]
+                if t in lexicon:
+                    if self.bpe:
+                        yield n, t, 0.0 if not before or self._apart(before, t) else inf, t
+                    else:
+                        yield n, "", self.weight[t], t
+            if word[i] not in lexicon:
+                yield 1, "", 0.0 if self.bpe else self.unknown_weight, word[i]
+        return out
+
+    def path(self, word: str) -> list[str]:
+        """Pieces and fallback characters of the least path."""
+        found = shortest_path(len(word), "", self.arcs(word))
+        if found is None:
+            raise ValueError(f"no path for {word!r}")
+        return found[1]
 
     def _bpe_path(self, word: str) -> list[str]:
         lexicon, pairs, reach = self.lexicon, self.pairs, self.reach
@@ -187,19 +205,6 @@ class Transducer:
             j -= len(t) or 1
         return path[::-1]
 
-    def _unigram_path(self, word: str) -> list[str]:
-        cost, back = [0.0] + [np.inf] * len(word), [""] * (len(word) + 1)
-        for j in range(1, len(word) + 1):
-            for t in self._into(word, j):
-                c = cost[j - (len(t) or 1)] + (self.weight[t] if t else self.unknown_weight)
-                if c < cost[j]:
-                    cost[j], back[j] = c, t or word[j - 1]
-        path, j = [], len(word)
-        while j:
-            path.append(back[j])
-            j -= len(back[j])
-        return path[::-1]
-
     def _known(self, word: str) -> bytes:
         """Ids of a word, from the cache if it is there."""
         ids = self.paths.get(word)
@@ -214,7 +219,7 @@ class Transducer:
 
     def _ids(self, word: str) -> bytes:
         out: list[int] = []
-        for t in (self._bpe_path if self.bpe else self._unigram_path)(word):
+        for t in (self._bpe_path if self.bpe else self.path)(word):
             if t in self.lexicon:
                 out.append(self.lexicon[t])
             else:
@@ -239,8 +244,13 @@ class Transducer:
         if lead:
             yield lead
 
+    def normalised(self, text: str) -> str:
+        if self.normaliser.units:
+            text = self.normaliser(text)
+        return " ".join(w for w in text.split(" ") if w) if self.squeeze else text
+
     def encode(self, text: str | None) -> np.ndarray:
-        if not text:
+        if not text or not (text := self.normalised(text)):
             return np.zeros(0, np.int32)
         return np.frombuffer(b"".join(map(self._known, self._words(text))), np.int32)
 

@@ -201,6 +201,9 @@ def parse(f: _File, pos: int) -> tuple[dict[str, str], bytes, int]:
     size = int(head["content-length"])
     if not packed and pos + split + 8 + size > f.size:
         raise Broken("record ends early")
+    # a wrong length is found out where it points to, before what lies between is held in memory
+    if not packed and f.at(pos + split + 4 + size, 4) != b"\r\n\r\n":
+        raise Broken("record does not end where its length says")
     if not fill(split + 8 + size):
         raise Broken("record ends early")
     body = bytes(data[split + 4: split + 4 + size])

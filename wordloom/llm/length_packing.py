@@ -24,7 +24,9 @@ An empty table gives no pieces. Further columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -39,56 +41,104 @@ from wordloom.llm import common
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
-BUCKET = 8 << 20       # bytes of text whose documents are packed together
+BUCKET = 4 << 20       # bytes of text whose documents are packed together
 STEP = 1 << 17         # tokens of a step group
 SEGMENT = 1 << 20      # characters of a text whose words are held at a time
-CACHE = 1_000_000      # most words whose ids a worker keeps, over all its tasks
+CACHE = 1_000_000      # most tokens whose ids a worker keeps, over all its tasks
 
 
 # --- encoding -------------------------------------------------------------------
-class Encoder:
-    """Whole texts to ids by a tokenizer that drops white space, word by word.
+# Fixed value: the pattern of the tokens that the tokenizer's model sees, after lower-casing.
+TOKEN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# the same on texts of ASCII and of Latin letters with one lower case form
+_tokens = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\x0b\x0c\ra-zß-öø-ÿ0-9]+").findall
+_other = re.compile(r"[^\t-\r -\x7eÀ-ÖØ-öø-ÿ]").search
+
 
-    Ids never reach across a space or a line feed there, so a text's ids are
-    those of its parts between them; a part's ids are kept, within a bound.
+class Encoder:
+    """Whole texts to ids by the ``tokenizers`` library, token by token.
+
+    The tokenizer drops white space and case and gives its model one token of
+    letters, one digit or one run of other characters at a time. Texts of the
+    common alphabet are lower-cased and cut into these tokens here, and each
+    distinct token is encoded once (``tokens``: the same model behind a plain
+    split at spaces). Other texts are cut at spaces and line feeds only, which
+    ids never reach across. Ids are kept, within a bound.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.t = Tokenizer.from_file(path)
         self.t.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
-
-    def _segments(self, text: str) -> Iterator[list[str]]:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.plain = bool(suffix) and TOKEN_PATTERN in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\") and "Lowercase" in json.dumps(spec["normalizer"])
+        self.tokens = Tokenizer.from_file(path)
+        self.tokens.encode_special_tokens = True
+        self.tokens.normalizer = normalizers.Sequence([])
+        self.tokens.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.t.get_vocab()
+        self.ends = np.zeros(1 + max(vocabulary.values(), default=0), bool)   # ids that end a token
+        for token, i in vocabulary.items():
+            self.ends[i] = bool(suffix) and token.endswith(suffix)
+
+    def _learn(self, new: list[str]) -> None:
+        """Adds the ids of tokens that are not known."""
+        for at in range(0, len(new), 512):
+            part = new[at: at + 512]
+            ids = np.array(self.tokens.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            if len(stops) != len(part):
+                self._learn_words(part)
+                continue
+            whole = ids.tobytes()
+            for w, a, b in zip(part, [0, *stops], stops):
+                self.known[w] = whole[a:b]
+
+    def _learn_words(self, new: list[str]) -> None:
+        """Adds the ids of strings by the whole tokenizer."""
+        for at in range(0, len(new), 4096):
+            part = new[at: at + 4096]
+            for w, e in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _segments(self, text: str) -> Iterator[str]:
         at = 0
         while at < len(text):
             end = len(text)
             if end - at > SEGMENT:
                 places = [p for c in (" ", "\n") if (p := text.find(c, at + SEGMENT)) >= 0]
                 end = min(places, default=end)
-            yield text[at:end].replace("\n", " ").split(" ")
+            yield text[at:end]
             at = end
 
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian 32-bit ids of the text and the end id."""
-        out, known = [], self.known
-        for words in self._segments(text or ""):
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                if len(known) > CACHE:
-                    known.clear()
-                    known[""] = b""
-                new = list({w for w in words if w not in known})
-                for at in range(0, len(new), 4096):
-                    part = new[at: at + 4096]
-                    for w, e in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                        known[w] = np.array(e.ids, "<u4").tobytes()
-                out.append(b"".join(map(known.__getitem__, words)))
-        out.append(END_ID.to_bytes(4, "little"))
-        return b"".join(out)
+    def _encoded(self, segments: list[str]) -> list[bytes]:
+        known, cut = self.known, []
+        tokens: set[str] = set()
+        words: set[str] = set()
+        for s in segments:
+            if self.plain and not _other(s):
+                cut.append(_tokens(s.lower()))
+                tokens.update(cut[-1])
+            else:
+                cut.append(s.replace("\n", " ").split(" "))
+                words.update(cut[-1])
+        self._learn(list(tokens.difference(known)))
+        self._learn_words(list(words.difference(known)))
+        return [b"".join(map(known.__getitem__, x)) for x in cut]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text and the end id; the new tokens of all short texts are learned together."""
+        if len(self.known) > CACHE:
+            self.known.clear()
+            self.known[""] = b""
+        end = END_ID.to_bytes(4, "little")
+        short = iter(self._encoded([t for t in texts if t and len(t) <= SEGMENT]))
+        return [end if not t else next(short) + end if len(t) <= SEGMENT else b"".join([*(self._encoded([s])[0] for s in self._segments(t)), end]) for t in texts]
 
 
 @lru_cache(maxsize=1)
@@ -105,10 +155,9 @@ def _encoded(tokenizer: str, longest: int):
     """Documents cut into whole windows and a rest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, n = None, [], 0
-        for b in common.slices(batches, 64):
+        for b in common.slices(batches, 256):
             encoder = encoder or load(tokenizer)
-            for row, doc_id, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                ids = encoder.encode(text)
+            for row, doc_id, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), encoder.encode(b.column(2).to_pylist()), strict=True):
                 for at in range(0, len(ids), 4 * longest):
                     held.append((row, doc_id, at // 4, len(ids) // 4, ids[at: at + 4 * longest]))
                     n += len(held[-1][-1])

@@ -162,7 +162,8 @@ class Shard:
 
 # --- encoding -----------------------------------------------------------------
 _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_stop = re.compile(r"(?s)(.*[A-Za-z\u00c0-\u024f])([.,;:!?*#$%&|]+)")
+STOPS = ".,;:!?*#$%&|"
+_stop = re.compile(r"(?s)(.*[A-Za-z\u00c0-\u024f])([" + STOPS + "]+)")
 LITERAL = "\r"   # first character of a piece's name if the piece does not begin with a space
 
 
@@ -205,7 +206,7 @@ class Encoder:
         """Adds the ids of pieces that are not known; a piece with punctuation at its end is put together from two."""
         known, both = self.known, {}
         for name in names:
-            if m := _stop.fullmatch(name):
+            if name[-1] in STOPS and (m := _stop.fullmatch(name)):
                 both[name] = (m[1], LITERAL + m[2])
         new = list({x for pair in both.values() for x in pair if x not in known} | (names - both.keys()))
         for at in range(0, len(new), 4096):
@@ -220,7 +221,7 @@ class Encoder:
         if len(self.known) > CACHE:
             self.known.clear()
         known = self.known
-        self._learn({p for names in cut for p in names if p not in known})
+        self._learn(set().union(*cut).difference(known))
         end = np.array([END_ID], "<u4").tobytes()
         return [np.frombuffer(b"".join([*map(known.__getitem__, names), end]), "<u4") for names in cut]
 

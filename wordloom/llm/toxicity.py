@@ -3,10 +3,13 @@
 A document's features are its distinct words and word beginnings (3 to 6
 bytes), ASCII case folded, as 64-bit hashes. The model is a logistic regression
 over the features that tell the classes apart in the training rows. Every
-training sentence that names a group (``GROUPS``) is also taken with its identity
-terms swapped for another of the same kind, and the loss adds
-``penalty * (logit(x) - logit(x'))^2``: the score must not hang on which group is
-named, so a neutral mention does not make a text toxic.
+training text is also taken as a counterfactual, and the loss adds
+``penalty * (logit(x) - logit(x'))^2``: a text that names a group (``GROUPS``) has
+its identity terms swapped for others of the same kind and language, one that
+names none gets a neutral mention after its last word. The score must hang
+neither on which group is named nor on whether one is, so a neutral mention does
+not make a text toxic. The penalty reaches the words and word beginnings that
+group names share with other words.
 
 Training rows: labelled documents chosen by the caller, at most ``max_rows``,
 those with the smallest id hashes (a bounded sample of labels, fitted on the
@@ -21,6 +24,7 @@ null labels are no labels. Further columns are ignored.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,7 +44,7 @@ STEPS = 400
 BEGINNINGS = (3, 4, 5, 6)
 U64 = np.uint64
 
-# Neutral names of groups, by kind; a term is swapped for the next one of its list.
+# Neutral names of groups in four languages, by kind; a term is swapped for the next one of its list.
 GROUPS = {
     "gender": ["women", "men"],
     "gender, one": ["woman", "man"],
@@ -52,17 +56,39 @@ GROUPS = {
     "orientation": ["straight", "gay", "lesbian", "bisexual"],
     "status": ["immigrants", "refugees", "citizens", "locals"],
     "age": ["young", "old"],
+    "gender, de": ["frauen", "männer"],
+    "religion, de": ["christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"],
+    "origin, de": ["amerikaner", "mexikaner", "türken", "chinesen", "inder", "afrikaner", "araber", "russen"],
+    "status, de": ["einwanderer", "flüchtlinge", "bürger", "einheimische"],
+    "orientation, de": ["heterosexuelle", "schwule", "lesben", "bisexuelle"],
+    "age, de": ["jugendliche", "senioren"],
+    "gender, fr": ["femmes", "hommes"],
+    "religion, fr": ["chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"],
+    "origin, fr": ["américains", "mexicains", "allemands", "chinois", "indiens", "africains", "arabes", "russes"],
+    "status, fr": ["immigrés", "réfugiés", "citoyens", "habitants"],
+    "orientation, fr": ["hétérosexuels", "homosexuels", "lesbiennes", "bisexuels"],
+    "age, fr": ["jeunes", "retraités"],
+    "gender, es": ["mujeres", "hombres"],
+    "religion, es": ["cristianos", "musulmanes", "judíos", "hinduistas", "budistas", "ateos"],
+    "origin, es": ["estadounidenses", "mexicanos", "alemanes", "chinos", "indios", "africanos", "árabes", "rusos"],
+    "status, es": ["inmigrantes", "refugiados", "ciudadanos", "vecinos"],
+    "orientation, es": ["heterosexuales", "homosexuales", "lesbianas", "bisexuales"],
+    "age, es": ["jóvenes", "ancianos"],
 }
 
 
 SWAP = {t: terms[(k + 1) % len(terms)] for terms in GROUPS.values() for k, t in enumerate(terms)}
-TERM = re.compile(r"(?i)(?<![A-Za-z0-9])(?:" + "|".join(sorted(SWAP, key=len, reverse=True)) + r")(?![A-Za-z0-9])")
+TERM = re.compile(r"(?i)(?<!\w)(?:" + "|".join(sorted(SWAP, key=len, reverse=True)) + r")(?!\w)")
+MENTIONS = sorted(SWAP)
 
 
-def counterfactual(text: str | None) -> str | None:
-    """The text with every identity term swapped for the next of its kind; None if it names no group."""
+def counterfactual(text: str | None) -> str:
+    """The text with every identity term swapped for the next of its kind, or with a neutral mention if it names no group.
+
+    Which group is mentioned follows from the text alone.
+    """
     swapped, n = TERM.subn(lambda m: SWAP[m.group().lower()], text or "")
-    return swapped if n else None
+    return swapped if n else f"{swapped} {MENTIONS[zlib.crc32(swapped.encode('utf-8', 'replace')) % len(MENTIONS)]}"
 
 
 def _term_features() -> np.ndarray:
@@ -197,13 +223,11 @@ def _distinct(texts: list[str | None]) -> list[np.ndarray]:
 
 
 def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Label, features and, where the text names a group, features of its counterfactual."""
+    """Label, features and features of the counterfactual."""
     kind = pa.list_(pa.int64())
     for b in common.slices(batches, 256):
         texts = b.column(1).to_pylist()
-        other = [counterfactual(t) for t in texts]
-        found = iter(_distinct([t for t in other if t is not None]))
-        yield common.batch(TRAINING, b.column(0), pa.array(_distinct(texts), kind), pa.array([None if t is None else next(found) for t in other], kind))
+        yield common.batch(TRAINING, b.column(0), pa.array(_distinct(texts), kind), pa.array(_distinct([counterfactual(t) for t in texts]), kind))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty: float = PENALTY) -> Model:
@@ -233,17 +257,26 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty:
     keep = np.union1d(useful.view(np.uint64), _term_features())
     shared = docs.sparkSession.sparkContext.broadcast(keep)
     small = rows.select("toxic", "x", "swapped").mapInArrow(_kept(shared), "toxic int, x array<long>, swapped array<long>").toArrow()
-    x = [np.array(v, np.int64).view(np.uint64) for v in small["x"].to_pylist()]
-    swapped = [same if v is None else np.array(v, np.int64).view(np.uint64) for v, same in zip(small["swapped"].to_pylist(), x, strict=True)]
+    x, swapped = (_rows_of(small[c].combine_chunks()) for c in ("x", "swapped"))
     return fit(x, swapped, small["toxic"].to_numpy().astype(float), penalty)
 
 
+def _rows_of(lists: pa.ListArray) -> list[np.ndarray]:
+    return np.split(lists.flatten().to_numpy().view(np.uint64), np.cumsum(np.diff(lists.offsets.to_numpy()))[:-1])
+
+
+def _cut(lists: pa.ListArray, keep: np.ndarray) -> pa.ListArray:
+    """The lists without values that are not in ``keep``."""
+    values, sizes = lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy())
+    ok = np.isin(values.view(np.uint64), keep)
+    left = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[ok], minlength=len(sizes))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(left)]).astype(np.int32)), pa.array(values[ok]))
+
+
 def _kept(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = shared.value
         for b in common.slices(batches, 256):
-            cut = [pa.array([None if r is None else (v := np.array(r, np.int64))[np.isin(v.view(np.uint64), keep)] for r in b.column(i).to_pylist()], pa.list_(pa.int64())) for i in (1, 2)]
-            yield common.batch(TRAINING, b.column(0), *cut)
+            yield common.batch(TRAINING, b.column(0), _cut(b.column(1), shared.value), _cut(b.column(2), shared.value))
     return run
 
 

@@ -80,6 +80,18 @@ def test_every_white_space_in_100_000_random_texts():
             assert ids.tolist() == [*e.ids, packing.END_ID], repr(t)
 
 
+def test_texts_of_the_common_alphabet_are_cut_into_the_tokenizers_tokens():
+    r = random.Random(21)
+    atoms = ["'s", "'", "'ll", "'LL", "''t", "don't", " ", " ", "  ", "\n", "\n\n", " \n", "\n ", "12", "3", "ab", "É", "ß", "ÿ", "Word", ".", "...", "!?", "_", "<|endoftext|>", "$%&", "~", "@a.b"]
+    texts = ["".join(r.choices(atoms, k=r.randint(1, 14))) for _ in range(40_000)]
+    encoder, whole = packing.Encoder(public_tokenizers.path(queries.BPE_FILE)), whole_text_encoder()
+    assert not any(packing._other(t) for t in texts)
+    for at in range(0, len(texts), 5000):
+        part = texts[at: at + 5000]
+        for t, ids, e in zip(part, encoder.encode(part), whole.encode_batch(part, add_special_tokens=False), strict=True):
+            assert ids.tolist() == [*e.ids, packing.END_ID], repr(t)
+
+
 def brute_digests(rows):
     t, start, out = whole_text_encoder(), 0, []
     for doc_id, text in rows:

@@ -164,6 +164,9 @@ class Shard:
 _cut = re.compile(r"(?<=\S)(?=[ \n]\S)")
 STOPS = ".,;:!?*#$%&|"
 _stop = re.compile(r"(?s)(.*[A-Za-z\u00c0-\u024f])([" + STOPS + "]+)")
+# Fixed value: the tokens of the byte-level pre-tokenizer, here on texts of ASCII, Latin letters, spaces and line feeds.
+_tokens = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ \nA-Za-zÀ-ÖØ-öø-ÿ0-9]+|[ \n]+(?![^ \n])|[ \n]+").findall
+_other = re.compile(r"[^\n -\x7eÀ-ÖØ-öø-ÿ]").search
 LITERAL = "\r"   # first character of a piece's name if the piece does not begin with a space
 
 
@@ -188,6 +191,9 @@ def _spelled(name: str) -> str:
 class Encoder:
     """Whole texts to ids by the ``tokenizers`` library, piece by piece.
 
+    Texts of the common alphabet are cut into the pre-tokenizer's own tokens,
+    and each distinct token goes through the model once (``tokens``: the same
+    model without the pre-tokenizer's pattern). Other texts take larger pieces:
     The byte-level pre-tokenizer never joins a character that is no space with
     a single space or line feed after it, nor a letter with the punctuation
     after it (apostrophes apart), so cutting there leaves the ids as they are.
@@ -196,11 +202,15 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.t = Tokenizer.from_file(path)
         self.t.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.tokens = Tokenizer.from_file(path)
+        self.tokens.encode_special_tokens = True
+        self.tokens.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.of_token: dict[str, bytes] = {}
 
     def _learn(self, names: set[str]) -> None:
         """Adds the ids of pieces that are not known; a piece with punctuation at its end is put together from two."""
@@ -216,14 +226,22 @@ class Encoder:
         for name, (a, b) in both.items():
             known[name] = known[a] + known[b]
 
+    def _learn_tokens(self, new: list[str]) -> None:
+        for at in range(0, len(new), 4096):
+            part = new[at: at + 4096]
+            for token, e in zip(part, self.tokens.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.of_token[token] = np.array(e.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [pieces(t) if t else [] for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        self._learn(set().union(*cut).difference(known))
+        for held in (self.known, self.of_token):
+            if len(held) > CACHE:
+                held.clear()
+        common_alphabet = [bool(t) and not _other(t) for t in texts]
+        cut = [[] if not t else _tokens(t) if plain else pieces(t) for t, plain in zip(texts, common_alphabet, strict=True)]
+        self._learn_tokens(list(set().union(*(c for c, plain in zip(cut, common_alphabet, strict=True) if plain)).difference(self.of_token)))
+        self._learn(set().union(*(c for c, plain in zip(cut, common_alphabet, strict=True) if not plain)).difference(self.known))
         end = np.array([END_ID], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(known.__getitem__, names), end]), "<u4") for names in cut]
+        return [np.frombuffer(b"".join([*map((self.of_token if plain else self.known).__getitem__, names), end]), "<u4") for names, plain in zip(cut, common_alphabet, strict=True)]
 
 
 @lru_cache(maxsize=1)

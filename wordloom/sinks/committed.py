@@ -33,16 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-KINDS = {"lines": ["value"], "batches": ["value"], "files": ["file_name", "body"]}
-
+from ..session import filesystem, ship_package
 
-def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri("file://" + uri[len("file:"):] if uri.startswith("file:") and "://" not in uri else uri)
+KINDS = {"lines": ["value"], "batches": ["value"], "files": ["file_name", "body"]}
 
 
 def manifest(path: str) -> tuple[int, dict]:
     """Number and content of the newest manifest; (0, no parts) where there is none."""
-    fs, root = _fs(f"{path}/manifests")
+    fs, root = filesystem(f"{path}/manifests")
     found = [f.base_name for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if f.base_name.endswith(".json")]
     if not found:
         return 0, {"kind": None, "parts": []}
@@ -65,7 +63,7 @@ class CommittedWriter(DataSourceArrowWriter):
     # --- in a task ------------------------------------------------------------------
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
         part = Part(TaskContext.get().partitionId(), f"data/{uuid.uuid4().hex}", 0)
-        fs, root = _fs(f"{self.path}/{part.folder}")
+        fs, root = filesystem(f"{self.path}/{part.folder}")
         fs.create_dir(root)
         if self.kind == "files":
             for b in iterator:
@@ -100,14 +98,14 @@ class CommittedWriter(DataSourceArrowWriter):
         kept = [] if self.overwrite else before["parts"]
         new = sorted((m for m in messages if m is not None and m.rows), key=lambda m: m.number)
         content = {"kind": self.kind, "parts": kept + [{"folder": m.folder, "rows": m.rows} for m in new]}
-        fs, root = _fs(f"{self.path}/manifests")
+        fs, root = filesystem(f"{self.path}/manifests")
         fs.create_dir(root)
         with fs.open_output_stream(f"{root}/{number + 1}.tmp") as f:
             f.write(json.dumps(content).encode())
         fs.move(f"{root}/{number + 1}.tmp", f"{root}/{number + 1}.json")
 
     def abort(self, messages: list[Part | None]) -> None:
-        fs, root = _fs(self.path)
+        fs, root = filesystem(self.path)
         for m in messages:
             if m is not None:
                 fs.delete_dir(f"{root}/{m.folder}")
@@ -127,6 +125,7 @@ class CommittedSource(DataSource):
 
 def write(df: DataFrame, path: str, kind: str = "lines", mode: str = "overwrite", batch_size: int = 100) -> None:
     spark = df.sparkSession
+    ship_package(spark)
     spark.dataSource.register(CommittedSource)
     if kind == "files":   # one file per name: the last by ``ord`` where that column is
         cols = ["body", *(["ord"] if "ord" in df.columns else [])]
@@ -152,7 +151,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def clean(path: str) -> int:
     """Removes folders that the newest manifest does not name (no writer or reader may be at work); how many."""
     live = {p["folder"].removeprefix("data/") for p in manifest(path)[1]["parts"]}
-    fs, root = _fs(f"{path}/data")
+    fs, root = filesystem(f"{path}/data")
     gone = [f.path for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True)) if f.base_name not in live]
     for f in gone:
         fs.delete_dir(f)

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 RANGE = ["file", "range"]
 
 
@@ -77,6 +79,7 @@ def records(spark: SparkSession, path: str, schema: str, mode: str = "FAILFAST")
 
 def write(df: DataFrame, path: str, order: list[str]) -> None:
     """One JSON array per partition, its elements in ``order``, streamed; text is written as it is."""
+    ship_package(df.sparkSession)
     rows = df.sortWithinPartitions(*order).select(F.to_json(F.struct("*")).alias("value"))
     rows.mapInArrow(_array, "value string").write.mode("overwrite").text(path)
 

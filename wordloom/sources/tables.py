@@ -52,8 +52,8 @@ def json_array(spark: SparkSession, path: str, schema: StructType,
                mode: str = "FAILFAST") -> DataFrame:
     """S1 a JSON array of objects (one file) with its element position as
     ``ord``. The file is read whole (``wholetext``) and parsed with the given
-    schema; use for small reference files. Large inputs should land as JSON
-    lines carrying their own ordinal (see :func:`json_lines`)."""
+    schema; use for small reference files. ``json_arrays.records`` reads large
+    arrays with many tasks."""
     raw = spark.read.text(path, wholetext=True)
     arr = F.from_json(F.col("value"), ArrayType(schema), {"mode": mode})
     return (raw.select(F.posexplode(arr).alias("ord", "r"))

@@ -76,3 +76,19 @@ def test_resolve_first_hit_stops_at_cap(spark):
         found, tally = S.resolve_first_hit(songs, hdf, edf, cap=cap, base_url="https://x")
         assert sorted((r.ord, r.url) for r in found.collect()) == [(o, url[o]) for o in found_ords]
         assert {r.outcome: r.n for r in tally.collect()} == counts
+
+
+def test_permutation_evidence_keeps_places_not_texts(spark, tmp_path, monkeypatch):
+    import random
+
+    import __spark_entry__ as E
+    from wordloom.plans import cases
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=400)) for _ in range(600)]
+    docs = [(None if i == 7 else i, "\n".join([*words[3 * i: 3 * i + 3], words[3 * i]]), "en", "web", 0) for i in range(200)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/sf/documents.parquet")
+    monkeypatch.setattr(cases, "run_folder", lambda *_: f"{tmp_path}/run")
+    got = E.queries()["permutation_evidence"](spark, f"{tmp_path}/sf").first()
+    assert tuple(got) == (600, 600, True, True, True)
+    for name in "abc":
+        assert sum(p.stat().st_size for p in (tmp_path / "run" / name).glob("*.parquet")) < sum(map(len, words)) / 3

@@ -34,16 +34,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm import common
+from wordloom.llm import common, lookup
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 BUCKET = 4 << 20       # bytes of text whose documents are packed together
 STEP = 1 << 17         # tokens of a step group
 SEGMENT = 1 << 20      # characters of a text whose words are held at a time
+GROUP = 1 << 22        # characters of short texts that are encoded together
 CACHE = 1_000_000      # most tokens whose ids a worker keeps, over all its tasks
 
 
@@ -55,6 +57,29 @@ _tokens = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t\n\x0
 _other = re.compile(r"[^\t-\r -\x7eÀ-ÖØ-öø-ÿ]").search
 
 
+# kinds of the bytes of a lower-cased text of the common alphabet
+SPACE, LETTER, DIGIT, OTHER, APOSTROPHE = range(5)
+_KIND = np.full(256, OTHER, np.uint8)
+_KIND[[*b" \t\n\x0b\x0c\r"]] = SPACE
+_KIND[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = LETTER
+_KIND[ord("0"): ord("9") + 1] = DIGIT
+_KIND[ord("'")] = APOSTROPHE
+
+
+def _spaced(texts: list[str]) -> pa.StringArray:
+    """Lower-cased texts of the common alphabet with a space between tokens that touch, but for those beside an apostrophe."""
+    low = [t.lower().encode() for t in texts]
+    raw = np.frombuffer(b"".join(low), np.uint8)
+    kind = _KIND[raw]
+    a, b = kind[:-1], kind[1:]
+    digit = (a == DIGIT) | (b == DIGIT)
+    cut = 1 + np.flatnonzero((a != SPACE) & (b != SPACE) & (digit | (a != b) & (a != APOSTROPHE) & (b != APOSTROPHE)))
+    ends = np.cumsum([0, *map(len, low)])
+    # a space where two texts meet goes to the later one
+    offsets = (ends + np.searchsorted(cut, ends)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(low), pa.py_buffer(offsets), pa.py_buffer(np.insert(raw, cut, ord(" "))))
+
+
 class Encoder:
     """Whole texts to ids by the ``tokenizers`` library, token by token.
 
@@ -72,7 +97,7 @@ class Encoder:
 
         self.t = Tokenizer.from_file(path)
         self.t.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known, self.known_words = lookup.Table(self._learn, CACHE), lookup.Table(self._learn_words, CACHE)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"].get("end_of_word_suffix")
@@ -86,25 +111,26 @@ class Encoder:
         for token, i in vocabulary.items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
 
-    def _learn(self, new: list[str]) -> None:
-        """Adds the ids of tokens that are not known."""
-        for at in range(0, len(new), 512):
-            part = new[at: at + 512]
-            ids = np.array(self.tokens.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-            if len(stops) != len(part):
-                self._learn_words(part)
-                continue
-            whole = ids.tobytes()
-            for w, a, b in zip(part, [0, *stops], stops):
-                self.known[w] = whole[a:b]
-
-    def _learn_words(self, new: list[str]) -> None:
-        """Adds the ids of strings by the whole tokenizer."""
-        for at in range(0, len(new), 4096):
-            part = new[at: at + 4096]
-            for w, e in zip(part, self.t.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """The ids of strings without white space, each one token unless it has an apostrophe."""
+        cut = {w: _tokens(w) for w in new if "'" in w}
+        tokens = list({*(w for w in new if w and w not in cut), *(t for found in cut.values() for t in found)})
+        ids = {"": b""}
+        for at in range(0, len(tokens), 512):
+            ids.update(self._token_ids(tokens[at: at + 512]))
+        return [b"".join(map(ids.__getitem__, cut[w])) if w in cut else ids[w] for w in new]
+
+    def _token_ids(self, part: list[str]) -> Iterator[tuple[str, bytes]]:
+        ids = np.array(self.tokens.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        stops = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(stops) != len(part):
+            return zip(part, self._learn_words(part), strict=True)
+        whole = ids.tobytes()
+        return ((w, whole[a:b]) for w, a, b in zip(part, [0, *stops], stops))
+
+    def _learn_words(self, new: list[str]) -> list[bytes]:
+        """The ids of strings by the whole tokenizer."""
+        return [np.array(e.ids, "<u4").tobytes() for at in range(0, len(new), 4096) for e in self.t.encode_batch_fast(new[at: at + 4096], add_special_tokens=False)]
 
     def _segments(self, text: str) -> Iterator[str]:
         at = 0
@@ -117,28 +143,35 @@ class Encoder:
             at = end
 
     def _encoded(self, segments: list[str]) -> list[bytes]:
-        known, cut = self.known, []
-        tokens: set[str] = set()
-        words: set[str] = set()
-        for s in segments:
-            if self.plain and not _other(s):
-                cut.append(_tokens(s.lower()))
-                tokens.update(cut[-1])
-            else:
-                cut.append(s.replace("\n", " ").split(" "))
-                words.update(cut[-1])
-        self._learn(list(tokens.difference(known)))
-        self._learn_words(list(words.difference(known)))
-        return [b"".join(map(known.__getitem__, x)) for x in cut]
+        plain = [self.plain and not _other(s) for s in segments]
+        common_ones = [s for s, p in zip(segments, plain, strict=True) if p]
+        others = [s.replace("\n", " ").split(" ") for s, p in zip(segments, plain, strict=True) if not p]
+        ids = {True: iter(self.known.joined(pc.ascii_split_whitespace(_spaced(common_ones))) if common_ones else ()),
+               False: iter(self.known_words.joined(pa.array(others, pa.list_(pa.string()))) if others else ())}
+        return [next(ids[p]) for p in plain]
+
+    def _groups(self, texts: list[str | None]) -> Iterator[list[str]]:
+        """The short texts, about GROUP characters at a time."""
+        held, n = [], 0
+        for t in texts:
+            if t and len(t) <= SEGMENT:
+                held.append(t)
+                n += len(t)
+                if n >= GROUP:
+                    yield held
+                    held, n = [], 0
+        if held:
+            yield held
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text and the end id; the new tokens of all short texts are learned together."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-            self.known[""] = b""
+    def encoded(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text and the end id; the new tokens of a group of short texts are learned together."""
         end = END_ID.to_bytes(4, "little")
-        short = iter(self._encoded([t for t in texts if t and len(t) <= SEGMENT]))
-        return [end if not t else next(short) + end if len(t) <= SEGMENT else b"".join([*(self._encoded([s])[0] for s in self._segments(t)), end]) for t in texts]
+        short = (ids for group in self._groups(texts) for ids in self._encoded(group))
+        for t in texts:
+            yield end if not t else next(short) + end if len(t) <= SEGMENT else b"".join([*(self._encoded([s])[0] for s in self._segments(t)), end])
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        return list(self.encoded(texts))
 
 
 @lru_cache(maxsize=1)
@@ -155,9 +188,9 @@ def _encoded(tokenizer: str, longest: int):
     """Documents cut into whole windows and a rest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, held, n = None, [], 0
-        for b in common.slices(batches, 256):
+        for b in common.slices(batches, 2048):
             encoder = encoder or load(tokenizer)
-            for row, doc_id, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), encoder.encode(b.column(2).to_pylist()), strict=True):
+            for row, doc_id, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), encoder.encoded(b.column(2).to_pylist()), strict=True):
                 for at in range(0, len(ids), 4 * longest):
                     held.append((row, doc_id, at // 4, len(ids) // 4, ids[at: at + 4 * longest]))
                     n += len(held[-1][-1])

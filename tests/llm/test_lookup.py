@@ -6,7 +6,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from wordloom.llm import length_packing, lookup, queries
+from wordloom.llm import length_packing, lookup, queries, transducer
 
 
 def lists(*found):
@@ -48,3 +48,14 @@ def test_a_word_met_again_in_any_batch_is_not_encoded_again():
     e.encode(["one two, it's", "two one"])
     e.encode(["Two it's three"])
     assert sorted(seen) == sorted([",", "it's", "one", "three", "two"])
+
+
+def test_words_of_the_transducer_are_kept_outside_python_objects():
+    t = transducer.Transducer(public_tokenizers.path(queries.PIECE_FILE))
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(20_000)]
+    first = [x.tolist() for x in t.encode_all([" ".join(words[k: k + 100]) for k in range(0, 20_000, 100)])]
+    assert len(t.words.strings) >= 19_900 and t.words.strings.nbytes + t.words.values.nbytes < 100 * 20_000
+    assert len(t.parts) <= transducer.PART_CACHE
+    again = [t.encode(" ".join(words[k: k + 100])).tolist() for k in range(0, 20_000, 100)]
+    assert first == again

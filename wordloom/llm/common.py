@@ -32,6 +32,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()   # the worker lives on
 
 
 # --- bounded membership filter ----------------------------------------------

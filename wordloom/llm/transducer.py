@@ -35,15 +35,17 @@ from math import inf
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm import common
+from wordloom.llm import common, lookup
 from wordloom.llm.lattice import Arc, Normaliser, shortest_path
 
 MARK = "▁"
 CACHE = 1_000_000       # most words whose paths a worker keeps, over all its tasks
-PAIR_CACHE = 1_000_000
+PART_CACHE = 1 << 16    # most parts of words, likewise
+PAIR_CACHE = 1 << 18
 RECURSE = 200           # longer words are composed left to right
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -80,7 +82,8 @@ class Transducer:
     def __init__(self, model_file: str):
         with open(model_file, "rb") as f:
             self._compile(f.read())
-        self.paths: dict[str, bytes] = {}
+        self.words = lookup.Table(self._learn, CACHE)
+        self.parts: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def _compile(self, raw: bytes) -> None:
@@ -205,16 +208,23 @@ class Transducer:
             j -= len(t) or 1
         return path[::-1]
 
-    def _known(self, word: str) -> bytes:
-        """Ids of a word, from the cache if it is there."""
-        ids = self.paths.get(word)
-        if ids is None:
+    def _learn(self, new: list[str]) -> list[bytes]:
+        """Ids of words."""
+        out = []
+        for word in new:
             cuts = [0, *(k for k in range(1, len(word)) if word[k - 1: k + 1] not in self.joined), len(word)]
-            ids = self._ids(word) if len(cuts) == 2 else b"".join([self._known(word[a:z]) for a, z in pairwise(cuts)])
-            if len(self.paths) >= CACHE:
-                self.paths.clear()
-            if len(word) <= RECURSE:
-                self.paths[word] = ids
+            out.append(b"" if not word else self._ids(word) if len(cuts) == 2 else b"".join([self._part(word[a:z]) for a, z in pairwise(cuts)]))
+        return out
+
+    def _part(self, part: str) -> bytes:
+        """Ids of what lies between two cuts, from the cache if it is there."""
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self._ids(part)
+            if len(self.parts) >= PART_CACHE:
+                self.parts.clear()
+            if len(part) <= RECURSE:
+                self.parts[part] = ids
         return ids
 
     def _ids(self, word: str) -> bytes:
@@ -249,10 +259,20 @@ class Transducer:
             text = self.normaliser(text)
         return " ".join(w for w in text.split(" ") if w) if self.squeeze else text
 
-    def encode(self, text: str | None) -> np.ndarray:
+    def _spaced(self, text: str | None) -> str:
+        """The words of a text's normalised form with spaces between them; no word has a space."""
         if not text or not (text := self.normalised(text)):
-            return np.zeros(0, np.int32)
-        return np.frombuffer(b"".join(map(self._known, self._words(text))), np.int32)
+            return ""
+        if self.prefix and self.squeeze and not self.whole and MARK not in text:
+            return MARK + text.replace(" ", " " + MARK)
+        return " ".join(self._words(text))
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        words = pc.split_pattern(pa.array(map(self._spaced, texts), pa.string()), " ")
+        return [np.frombuffer(ids, np.int32) for ids in self.words.joined(words)]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         s = b"".join(map(self.surface.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -271,9 +291,9 @@ ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_
 def _encoded(model_file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = load(model_file)
-        for b in common.slices(batches, 256):
+        for b in common.slices(batches, 1024):
             texts = b.column(1).to_pylist()
-            ids = [t.encode(x) for x in texts]
+            ids = t.encode_all(texts)
             sizes = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             whole = np.concatenate([np.zeros(0, np.int32), *ids])
             as_bytes = np.concatenate([[0], np.cumsum(t.is_byte[whole])])
